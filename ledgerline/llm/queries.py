@@ -6,9 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.llm.bpe import op6_bpe
+from ledgerline.llm.fingerprints import op10_fingerprints
+from ledgerline.llm.mixing import op7_mixing
+from ledgerline.llm.near_duplicates import op8_minhash_near_dedup
 from ledgerline.llm.quality_rules import op9_quality_rules
+from ledgerline.llm.url_filters import op2_url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filters": op2_url_filters,
+    "op6_bpe": op6_bpe,
+    "op7_mixing": op7_mixing,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op10_fingerprints": op10_fingerprints,
 }
 ORACLE_SQL: dict[str, str] = {}
