@@ -50,8 +50,8 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: fl
     level = (
         share * F.sum("source_size").over(everything).cast("double") - F.coalesce(F.sum("top").over(before), F.lit(0.0))
     ) / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    levels = ranked.withColumn("level", level)
-    fits = F.min(F.when(F.col("ratio") >= F.col("level"), F.col("level"))).over(everything)
+    levels = ranked.withColumns({"level": level, "place": F.row_number().over(Window.orderBy("ratio", F.col("source").asc_nulls_last()))})
+    fits = F.min(F.when(F.col("ratio") >= F.col("level"), F.struct("place", "level"))).over(everything)["level"]
     return levels.select(
         "source", "source_size", F.least(F.col("top"), F.coalesce(fits, F.lit(float("inf"))) * F.col("weight")).alias("target")
     )
@@ -125,25 +125,45 @@ def plan(sizes: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float =
     histogram = cut_lineage(sizes.groupBy("source", "size").agg(F.count("*").alias("n")))
     totals = histogram.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     solved = balance(histogram, targets(totals, weights, share, most), most)
-    rated = sizes.join(solved.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-    counts = rated.groupBy("source", _bin(most).alias("bin")).agg(
-        F.sum("size").alias("more"), F.sum(_whole(most) * F.col("size")).alias("base"), F.first("target").alias("target")
+    return fill(sizes.withColumnRenamed("source", "s").join(solved, F.col("source").eqNullSafe(F.col("s"))).drop("s"), solved, most)
+
+
+def fill(rated: DataFrame, solved: DataFrame, most: float, passes: int = 3) -> DataFrame:
+    """Adds to each source ``steps``: which documents get one copy more than their whole rate.
+
+    Documents stand in bins by their hash less the fraction of their rate. A pass
+    takes bins from where the last one stopped while their words fit the gap to the target;
+    later passes look only at documents no larger than the gap that is left.
+    """
+    binned = rated.select("source", "size", _bin(most).alias("bin"), (_whole(most) * F.col("size")).alias("base"))
+    floor = binned.groupBy("source").agg(F.sum("base").alias("base")).withColumnRenamed("source", "s")
+    state = solved.join(floor, F.col("source").eqNullSafe(F.col("s"))).select(
+        solved["*"],
+        (F.col("target") - F.col("base")).alias("gap"),
+        F.lit(0).alias("low"),
+        F.array().cast("array<struct<low:int,high:int,most:double>>").alias("steps"),
     )
     upto = Window.partitionBy("source").orderBy("bin")
-    # Documents of a bin below the threshold get one copy more; bin 2 * BINS never does.
-    gap = F.abs(
-        F.sum("base").over(Window.partitionBy("source"))
-        + F.sum(F.when(F.col("bin") < 2 * BINS, F.col("more")).otherwise(0)).over(upto)
-        - F.col("target")
-    )
-    none = F.abs(F.sum("base").over(Window.partitionBy("source")) - F.col("target"))
-    cut = (
-        counts.withColumns({"gap": gap, "none": none})
-        .groupBy("source")
-        .agg(F.min(F.struct("gap", (F.col("bin") + 1).alias("cut"))).alias("best"), F.min("none").alias("none"))
-        .select(F.col("source").alias("s"), F.when(F.col("none") <= F.col("best.gap"), 0).otherwise(F.col("best.cut")).alias("cut"))
-    )
-    return cut_lineage(solved.join(cut, F.col("source").eqNullSafe(F.col("s"))).drop("s"))
+    for _ in range(passes):
+        open_bins = (
+            binned.join(state.select(F.col("source").alias("s"), "gap", "low"), F.col("source").eqNullSafe(F.col("s")))
+            .where((F.col("bin") >= F.col("low")) & (F.col("bin") < 2 * BINS) & (F.col("size") <= F.col("gap")))
+            .groupBy("source", "bin", "gap")
+            .agg(F.sum("size").alias("more"))
+            .withColumn("more", F.sum("more").over(upto))
+            .where("more <= gap")
+        )
+        best = open_bins.groupBy("source").agg((F.max("bin") + 1).alias("high"), F.max("more").alias("more")).withColumnRenamed("source", "s")
+        high = F.coalesce("high", "low")
+        state = cut_lineage(
+            state.join(best, F.col("source").eqNullSafe(F.col("s")), "left").select(
+                *solved.columns,
+                (F.col("gap") - F.coalesce("more", F.lit(0))).alias("gap"),
+                high.alias("low"),
+                F.concat("steps", F.array(F.struct(F.col("low"), high.alias("high"), F.col("gap").alias("most")))).alias("steps"),
+            )
+        )
+    return state.drop("gap", "low")
 
 
 def _whole(most: float) -> Column:
@@ -159,12 +179,13 @@ def _bin(most: float) -> Column:
 def copies(docs: DataFrame, per_source: DataFrame, most: float = 2.0) -> DataFrame:
     """Adds source_size, target and copies (whole, 0 to ``most``) to (.., source, size, u)."""
     known = per_source.withColumnRenamed("source", "__s")
-    extra = ((F.col("__bin") < F.col("cut")) & (F.col("__bin") < 2 * BINS)).cast("int")
+    inside = lambda s: (F.col("__bin") >= s["low"]) & (F.col("__bin") < s["high"]) & (F.col("size") <= s["most"])
+    extra = F.exists("steps", inside).cast("int")
     return (
         docs.join(known, F.col("source").eqNullSafe(F.col("__s")), "left")
         .withColumn("__bin", _bin(most))
         .withColumn("copies", (_whole(most) + extra).cast("int"))
-        .drop("__s", "__bin", "scale", "full", "lam", "cut")
+        .drop("__s", "__bin", "scale", "full", "lam", "steps")
     )
 
 
