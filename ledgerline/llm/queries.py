@@ -8,13 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm.bpe import op6_bpe
 from ledgerline.llm.fingerprints import op10_fingerprints
+from ledgerline.llm.html_extraction import op1_html_extraction
 from ledgerline.llm.mixing import op7_mixing
 from ledgerline.llm.near_duplicates import op8_minhash_near_dedup
+from ledgerline.llm.pii import op4_pii
+from ledgerline.llm.quality_classifier import op3_quality_classifier
 from ledgerline.llm.quality_rules import op9_quality_rules
+from ledgerline.llm.token_counts import op5_token_counts
 from ledgerline.llm.url_filters import op2_url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_url_filters": op2_url_filters,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_pii": op4_pii,
+    "op5_token_counts": op5_token_counts,
     "op6_bpe": op6_bpe,
     "op7_mixing": op7_mixing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
