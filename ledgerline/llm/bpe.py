@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from ledgerline.llm.common import table, text_or_empty
 
@@ -207,14 +208,14 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None) -> Data
     Whole texts of any length, in Arrow batches, without a shuffle.
     """
     kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in (text, "ids")), F.col(text).alias("__text"))
-    schema = kept.drop("__text").schema.add("ids", "array<int>")
+    schema = kept.drop("__text").schema.add("ids", ArrayType(IntegerType()))
     return kept.mapInArrow(_encoded(path or default_vocabulary()), schema)
 
 
 def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
     """``encoded`` with decoded string instead of ``ids``; null and no ids give an empty string."""
     kept = encoded.select(*(F.col(f"`{c}`") for c in encoded.columns if c not in (ids, "decoded")), F.col(ids).alias("__ids"))
-    schema = kept.drop("__ids").schema.add("decoded", "string")
+    schema = kept.drop("__ids").schema.add("decoded", StringType())
     return kept.mapInArrow(_decoded(path or default_vocabulary()), schema)
 
 
