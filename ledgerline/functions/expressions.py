@@ -72,8 +72,8 @@ def share(part: Column, whole: Column, digits: int = 4) -> Column:
 
 
 def p95(value: Column) -> Column:
-    """The exact 95th percentile with linear interpolation; null without values."""
-    return F.percentile(value, 0.95)
+    """The exact 95th percentile with linear interpolation, to 6 places; null without values."""
+    return F.percentile(value, 0.95).cast("decimal(38,6)").cast("double")
 
 
 def latest_value(value: Column, *order: Column) -> Column:

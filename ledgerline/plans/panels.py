@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.arguments import title
@@ -14,8 +14,8 @@ def total_events(e: DataFrame) -> DataFrame:
 def error_events(e: DataFrame) -> DataFrame:
     return e.agg(F.count_if(F.col("event_type") == "error").alias("errors"))
 
-def events_by_type_over_time(e: DataFrame) -> DataFrame:
-    time = best_effort_time(F.col("event_time"))
+def events_by_type_over_time(e: DataFrame, time: Column | None = None) -> DataFrame:
+    time = best_effort_time(F.col("event_time")) if time is None else time
     counted = e.where(time.isNotNull()).groupBy(hour(time).alias("time"), "event_type").agg(F.count("*").alias("value"))
     return counted.orderBy("time", "event_type")
 

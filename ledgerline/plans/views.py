@@ -6,16 +6,19 @@ row that was loaded twice counts once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.expressions import best_effort_time, exact_mean, exact_sum, hour, json_text, latest_value, minute, p95
+from ledgerline.functions.expressions import best_effort_time, exact_mean, hour, json_text, latest_value, minute, p95
 
 
-def event_summary(app_events: DataFrame) -> DataFrame:
-    """Events, users, mean latency and cost by hour and type; times that cannot be parsed are one null hour."""
+def event_summary(app_events: DataFrame, time: Column | None = None) -> DataFrame:
+    """Events, users, mean latency and cost by hour and type; times that cannot be parsed are one null hour.
+
+    ``time`` is given where the table has one that is no text.
+    """
     return (
-        app_events.groupBy(hour(best_effort_time(F.col("event_time"))).alias("hour"), "event_type")
+        app_events.groupBy(hour(best_effort_time(F.col("event_time")) if time is None else time).alias("hour"), "event_type")
         .agg(
             F.count("*").alias("events"),
             F.count_distinct("user_id").alias("users"),
