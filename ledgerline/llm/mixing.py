@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import cut_lineage, stash, table, words
 
 BINS = 8192
+#: Sources up to which their rows are broadcast; with more the joins shuffle, and adaptive execution splits large sources.
+BROADCAST_SOURCES = 50_000
 
 
 def word_count(text: Column) -> Column:
@@ -57,6 +59,14 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: fl
     )
 
 
+def by_source(rows: DataFrame, sources: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows with the columns of their source, whose name comes as ``s``; null is a source. ``sources`` is checkpointed."""
+    named = sources.withColumnRenamed("source", "s")
+    if sources.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
+        named = F.broadcast(named)
+    return rows.join(named, F.col("source").eqNullSafe(F.col("s")), how)
+
+
 def rate(most: float) -> Column:
     """Copies expected of a document, from ``size`` and its source's ``lam`` and ``scale``."""
     tilt = most / (1 + (most - 1) * F.exp(-F.col("lam") * F.col("size") / F.col("scale")))
@@ -89,7 +99,7 @@ def balance(histogram: DataFrame, goals: DataFrame, most: float, rounds: int = 4
         words_now = F.col("n") * F.col("size") * r
         slope = words_now * (1 - r / most) * F.col("size") / F.col("scale")
         met = (
-            histogram.join(state.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+            by_source(histogram, state)
             .groupBy("source")
             .agg(exact(words_now).alias("now"), exact(slope).alias("slope"))
             .withColumnRenamed("source", "s")
@@ -117,7 +127,7 @@ def balance(histogram: DataFrame, goals: DataFrame, most: float, rounds: int = 4
         state = state.drop("done")
         if not left:
             break
-    return state.select("source", "source_size", "target", "scale", "full", "lam")
+    return cut_lineage(state.select("source", "source_size", "target", "scale", "full", "lam"))
 
 
 def plan(sizes: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -125,7 +135,7 @@ def plan(sizes: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float =
     histogram = cut_lineage(sizes.groupBy("source", "size").agg(F.count("*").alias("n")))
     totals = histogram.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     solved = balance(histogram, targets(totals, weights, share, most), most)
-    return fill(sizes.withColumnRenamed("source", "s").join(solved, F.col("source").eqNullSafe(F.col("s"))).drop("s"), solved, most)
+    return fill(by_source(sizes, solved).drop("s"), solved, most)
 
 
 def fill(rated: DataFrame, solved: DataFrame, most: float, passes: int = 3) -> DataFrame:
@@ -137,16 +147,16 @@ def fill(rated: DataFrame, solved: DataFrame, most: float, passes: int = 3) -> D
     """
     binned = rated.select("source", "size", _bin(most).alias("bin"), (_whole(most) * F.col("size")).alias("base"))
     floor = binned.groupBy("source").agg(F.sum("base").alias("base")).withColumnRenamed("source", "s")
-    state = solved.join(floor, F.col("source").eqNullSafe(F.col("s"))).select(
+    state = cut_lineage(solved.join(floor, F.col("source").eqNullSafe(F.col("s"))).select(
         solved["*"],
         (F.col("target") - F.col("base")).alias("gap"),
         F.lit(0).alias("low"),
         F.array().cast("array<struct<low:int,high:int,most:double>>").alias("steps"),
-    )
+    ))
     upto = Window.partitionBy("source").orderBy("bin")
     for _ in range(passes):
         open_bins = (
-            binned.join(state.select(F.col("source").alias("s"), "gap", "low"), F.col("source").eqNullSafe(F.col("s")))
+            by_source(binned, state.select("source", "gap", "low"))
             .where((F.col("bin") >= F.col("low")) & (F.col("bin") < 2 * BINS) & (F.col("size") <= F.col("gap")))
             .groupBy("source", "bin", "gap")
             .agg(F.sum("size").alias("more"))
@@ -178,14 +188,13 @@ def _bin(most: float) -> Column:
 
 def copies(docs: DataFrame, per_source: DataFrame, most: float = 2.0) -> DataFrame:
     """Adds source_size, target and copies (whole, 0 to ``most``) to (.., source, size, u)."""
-    known = per_source.withColumnRenamed("source", "__s")
     inside = lambda s: (F.col("__bin") >= s["low"]) & (F.col("__bin") < s["high"]) & (F.col("size") <= s["most"])
     extra = F.exists("steps", inside).cast("int")
     return (
-        docs.join(known, F.col("source").eqNullSafe(F.col("__s")), "left")
+        by_source(docs, per_source, "left")
         .withColumn("__bin", _bin(most))
         .withColumn("copies", (_whole(most) + extra).cast("int"))
-        .drop("__s", "__bin", "scale", "full", "lam", "steps")
+        .drop("s", "__bin", "scale", "full", "lam", "steps")
     )
 
 
