@@ -19,9 +19,12 @@ COLUMN_ALIASES = {"город": "city", "города": "city", "машин": "c
 WRITES = re.compile(r"\b(insert|update|delete|alter|drop|truncate|create|grant|revoke|optimize)\b", re.I)
 #: Text in quotes of any kind, or a word with what qualifies it.
 PIECES = re.compile(r"('(?:[^'\\]|\\.|'')*'|\"[^\"]*\"|`[^`]*`)|([\w.]+)|(\s+|.)", re.S)
-#: Classes of logical plans that write or run a command, by a part of their name.
-COMMANDS = re.compile(r"Command|Insert|Create|Drop|Truncate|Alter|Delete|Update|Merge|Show|Describe|Set|Refresh|Cache|Load|Analyze|Call|Repair|Replace|Use|Comment|Declare|Execute|Explain")
-HARMLESS = {"SetOperation", "UnresolvedSubqueryColumnAliases"}
+#: Classes of the topmost node of a parsed query. Anything else, commands above all, is refused.
+QUERY_NODES = frozenset(
+    "Project Filter Aggregate Sort Distinct Union Intersect Except GlobalLimit LocalLimit Offset UnresolvedHaving WithWindowDefinition "
+    "UnresolvedInlineTable LocalRelation ResolvedInlineTable SubqueryAlias UnresolvedSubqueryColumnAliases UnresolvedHint UnresolvedRelation Pivot Unpivot Join "
+    "Generate RepartitionByExpression".split()
+)
 
 
 def rewrite(query: str) -> str:
@@ -50,8 +53,7 @@ def rewrite(query: str) -> str:
 def check(spark: SparkSession, query: str, strict: bool = False) -> None:
     """Raises ValueError for anything but one query.
 
-    Spark's own parser decides: it must return one plan, and none of its nodes
-    may be a command. ``strict`` also demands that the text starts with SELECT and
+    Spark's own parser decides: it must return one plan, whose topmost node belongs to a query. ``strict`` also demands that the text starts with SELECT and
     holds no word for a change anywhere, not even in a literal.
     """
     if strict and (not re.match(r"select\b", query, re.I) or WRITES.search(query)):
@@ -61,7 +63,10 @@ def check(spark: SparkSession, query: str, strict: bool = False) -> None:
     except Exception as e:
         raise ValueError(f"not one query: {str(e).splitlines()[0]}") from None
     name = plan.getClass().getSimpleName()
-    if COMMANDS.search(name) and name not in HARMLESS:
+    while name == "UnresolvedWith":  # WITH may stand before a change, too
+        plan = plan.child()
+        name = plan.getClass().getSimpleName()
+    if name not in QUERY_NODES:
         raise ValueError(f"only queries are allowed, this is {name}")
 
 

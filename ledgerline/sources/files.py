@@ -9,7 +9,7 @@ from ledgerline.operators.corpus import supported
 
 
 def folder_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(path below the folder, length, sha256, supported) of every file at any depth."""
+    """(path below the folder, length, sha256, supported) of every file at any depth; Spark itself passes over names that start with a dot."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     path = F.regexp_replace(F.col("path"), f"^.*?{folder.rstrip('/').rpartition('/')[2]}/", "")
     return files.select(path.alias("path"), "length", F.sha2("content", 256).alias("sha256")).withColumn("supported", supported(F.col("path")))

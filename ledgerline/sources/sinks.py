@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerline.functions.expressions import month
 from ledgerline.schemas import TABLES, Table
@@ -40,8 +41,8 @@ def append(df: DataFrame, table: Table, path: str) -> None:
 
 
 def read(spark: SparkSession, table: Table, path: str) -> DataFrame:
-    schema = table.schema.add("yyyymm", "string") if table.month_of and "yyyymm" not in table.schema.fieldNames() else table.schema
-    return spark.read.schema(schema).parquet(path)
+    month_field = [StructField("yyyymm", StringType())] if table.month_of else []
+    return spark.read.schema(StructType([*table.schema.fields, *month_field])).parquet(path)
 
 
 def clear(spark: SparkSession, database: str) -> list[str]:
