@@ -83,7 +83,8 @@ def classify(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, least
         .orderBy(F.xxhash64("doc_id"), "doc_id", "__y")
         .limit(fit_rows)
     )
-    rows = wide.join(chosen, "doc_id").select(*FEATURES, "__y").collect()  # at most fit_rows, documents being unique
+    fitted = wide.join(chosen, "doc_id").select("doc_id", *FEATURES, "__y").orderBy(F.xxhash64("doc_id"), "doc_id", "__y", *FEATURES)
+    rows = fitted.drop("doc_id").limit(fit_rows).collect()
     data = np.array([tuple(r) for r in rows], float).reshape(-1, len(FEATURES) + 1)
     data = data[np.lexsort(data.T)]
     weights = fit_logistic(data[:, :-1], data[:, -1])
