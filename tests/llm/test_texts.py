@@ -1,0 +1,261 @@
+"""Quality rules, fingerprints, personal data, tokens: against brute force, libraries and held-out rows."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+from itertools import product
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm import bpe, fingerprints, pii, quality_classifier, quality_rules, token_counts
+
+DATA = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ODD = [None, "", " \t\n", "a", "a b\na b\na b\n\n", "# $ * |", "x " * 3000, "Ünï Σς 𝔘😀 ‍", "one two three four five " * 4, "<|endoftext|> x", "a@b@c.example.com +1 (555) 010-9999 300.1.1.1 10.0.0.1", "word" * 5000]
+
+
+def rows(spark, texts, extra=False):
+    made = spark.createDataFrame([(i, t, "en", f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    return made.withColumns({"quality": F.lit("clash"), "kept": F.lit(1), "spans": F.lit(2), "ids": F.lit(3)}) if extra else made
+
+
+def texts_of(spark):
+    return spark.read.parquet(f"{DATA}/documents.parquet")
+
+
+def brute_counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    often, covered = Counter(windows), set()
+    for i, w in enumerate(windows):
+        if often[w] > 1:
+            covered |= set(range(i, i + 5))
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality_counts(spark):
+    docs = rows(spark, ODD, extra=True).unionByName(texts_of(spark), allowMissingColumns=True).unionByName(rows(spark, ODD[:4], extra=True))
+    got = quality_rules.judge(docs)
+    assert got.columns.count("quality") == 1
+    for r in got.collect():
+        n, chars, symbols, repeats, windows = brute_counts(r.text)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, chars, symbols, repeats, windows)
+        assert r.base_failed == (n < 10 or 100 * windows > 20 * n)
+        assert not (r.base_failed and r.kept)
+    assert quality_rules.judge(docs.limit(0)).count() == 0 and got.count() == docs.count()
+
+
+def test_quality_verdicts(spark):
+    """Clean documents stay; of those labelled bad most go."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    judged = quality_rules.judge(docs).join(labels.select("doc_id", F.col("quality").alias("y")), "doc_id").collect()
+    good, bad = [r.kept for r in judged if r.y == 1], [r.kept for r in judged if r.y == 0]
+    assert sum(good) / len(good) > 0.97 and sum(bad) / len(bad) < 0.35
+
+
+def test_fit_finds_planted_classes():
+    """Votes drawn from two known classes: the posterior tells them apart, and counts given twice over change little."""
+    rng, patterns, good = random.Random(1), Counter(), Counter()
+    for _ in range(4000):
+        clean = rng.random() < 0.7
+        digits = rng.choices((0, 1, 2), (0.05, 0.25, 0.7) if clean else (0.45, 0.35, 0.2), k=len(quality_rules.RULES))
+        p = sum(v * 3**j for j, v in enumerate(digits))
+        patterns[p] += 1
+        good[p] += clean
+    once, twice = quality_rules.fit(dict(patterns)), quality_rules.fit({k: 2 * v for k, v in patterns.items()})
+    assert all(abs(once[k] - twice[k]) < 0.02 for k in patterns)
+    right = sum(good[p] if once[p] >= 0.5 else n - good[p] for p, n in patterns.items())
+    assert right / 4000 > 0.95
+    assert quality_rules.fit({}) == {}
+
+
+def test_classifier_holds_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").withColumns({"site": F.col("source"), "path": F.col("lang")})
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "quality")
+    held = labels.where("doc_id % 4 = 0").withColumnRenamed("quality", "y")
+    some = docs.join(labels, "doc_id", "left_semi")
+    got = quality_classifier.classify(some, labels.where("doc_id % 4 <> 0")).join(held, "doc_id").collect()
+    assert sum(r.kept == (r.y == 1) for r in got) / len(got) > 0.85
+
+
+def test_classifier_edges(spark):
+    odd = rows(spark, ODD).withColumns({"site": F.when(F.col("doc_id") > 3, "s"), "path": F.lit(None).cast("string")})
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    got = quality_classifier.classify(odd, none).collect()
+    assert len(got) == len(ODD) and all(r.kept and r.evidence == 0.5 for r in got)
+    assert quality_classifier.classify(odd.limit(0), none).count() == 0
+    labels = spark.createDataFrame([(2, 1), (3, 0), (3, 7), (None, 1)], "doc_id long, quality int")
+    assert quality_classifier.classify(odd, labels).count() == len(ODD)
+
+
+def brute_fingerprint(text, gram=5, window=8):
+    """Positions that winnowing keeps, by the order of the hashes that Spark gives each gram."""
+    return [min(range(i, min(i + window, len(text))), key=lambda j: (text[j], -j)) for i in range(max(1, len(text) - window + 1))] if text else []
+
+
+def test_fingerprints(spark):
+    docs = rows(spark, ODD).unionByName(texts_of(spark))
+    made = fingerprints.with_fingerprint(docs.withColumn("__words", fingerprints.words(F.col("text"))), "text", "print")
+    made = made.withColumn("grams", fingerprints.shingles(F.col("__words"))).withColumn("shown", fingerprints.written("print"))
+    for r in made.select("grams", "shown").collect():
+        high = [(g >> 28) for g in r.grams]
+        places = list(dict.fromkeys(brute_fingerprint(high)))
+        assert [int(x.split(":")[0]) for x in r.shown.split(",") if x] == places
+        assert [int(x.split(":")[1], 16) for x in r.shown.split(",") if x] == [high[p] % 2**36 for p in places]
+
+
+def test_fingerprint_query(spark, tmp_path):
+    texts = [t or "" for t in ODD] + ["same text of a few words here", "same text of a few words here"]
+    rows(spark, texts).unionByName(rows(spark, [None]).withColumn("doc_id", F.lit(10**12))).write.parquet(str(tmp_path / "documents.parquet"))
+    by_id = {**dict(enumerate(texts)), 10**12: ""}
+    order = sorted(by_id, reverse=True)
+    got = {r.doc_id: r for r in fingerprints.op10_fingerprints(spark, str(tmp_path)).collect()}
+    assert set(got) == set(by_id)
+    for i, me in enumerate(order):
+        text, after = by_id[me], by_id[order[(i + 1) % len(order)]]
+        k = len(text) // 3
+        edited = text[: len(text) - k] + after[:k]
+        assert got[me].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and got[me].n_chars == len(text)
+        assert 0 <= got[me].near_edited <= 1 and 0 <= got[me].near_next <= 1
+        if edited == text:
+            assert got[me].fingerprint == got[me].edited_fingerprint and got[me].near_edited == 1
+    assert got[len(ODD) + 1].near_next == 1
+
+
+BASE = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+
+
+def brute_spans(text):
+    out = []
+    for rank, (kind, pattern) in enumerate(BASE.items()):
+        for m in pattern.finditer(text):
+            digits = re.sub("[^0-9]", "", m[0])
+            odd, even = digits[-1::-2], digits[-2::-2]
+            luhn = (sum(map(int, odd)) + sum(sum(divmod(2 * int(d), 10)) for d in even)) % 10 == 0
+            fine = {"email": lambda: True, "ip": lambda: all(int(p) <= 255 for p in m[0].split(".")), "card": lambda: 14 <= len(digits) <= 19 and luhn, "phone": lambda: 10 <= len(digits) <= 15}  # noqa: B023
+            if fine[kind]():
+                out.append((m.start(), rank, f"{kind}:{m.start()}:{m.end()}"))
+    return [x[2] for x in sorted(out)]
+
+
+def test_base_spans_against_plain_patterns():
+    rng = random.Random(5)
+    parts = ["a", "B.", "@", "@x.example", ".", "1", "23", "4111 1111 1111 1111", "-", " ", "+1", "(555)", "256", "10.0.0.1", "é", "\n", "+", "%", "001", "99999"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
+        assert [f"{k}:{s}:{e}" for s, e, k in pii.base_spans(text)] == brute_spans(text), text
+
+
+def test_random_field_on_unseen_rows():
+    field = pii.train(pii.labelled_table())
+    right = total = 0
+    for before, what, label in pii.labelled_table(rows=180, seed=99):
+        words = ["of", *before.split(), what, "the"]
+        path = pii.viterbi([field.scores(words)], field.move)[0]
+        right += pii.LABELS[path[len(words) - 2]] == label
+        total += 1
+    assert right / total > 0.93
+
+
+def test_viterbi_finds_the_best_path():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    move = rng.normal(size=(4, 4))
+    cases = [rng.normal(size=(n, 4)) for n in (1, 2, 5, 3, 6)]
+    for scores, path in zip(cases, pii.viterbi(cases, move, cells=40)):
+        value = lambda p: sum(scores[t, k] for t, k in enumerate(p)) + sum(move[a, b] for a, b in zip(p, p[1:]))  # noqa: B023, E731
+        assert abs(value(path) - max(value(p) for p in product(range(4), repeat=len(scores)))) < 1e-9
+
+
+def test_personal_data_query(spark):
+    docs = rows(spark, ODD, extra=True).unionByName(texts_of(spark), allowMissingColumns=True)
+    texts = {}
+    for r in docs.collect():
+        texts.setdefault(r.doc_id, []).append(r.text or "")
+    for r in pii.find(docs).collect():
+        hashes = {hashlib.sha256(",".join(brute_spans(t)).encode()).hexdigest(): t for t in texts[r.doc_id]}
+        base = brute_spans(hashes[r.base_sha256])
+        assert set(base) <= set(r.spans.split(","))
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x.startswith(k) for x in base) for k in BASE]
+    assert pii.find(docs.limit(0)).count() == 0
+    clean = pii.scrub(docs.select("doc_id", "text")).where("doc_id = 10").collect()
+    assert any("[EMAIL]" in r.text and "[IP]" in r.text and "example" not in r.text for r in clean if r.text)
+
+
+def library():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(bpe.default_vocabulary())
+    t.no_truncation()
+    t.no_padding()
+    return t
+
+
+def test_bpe_equals_the_library(spark):
+    theirs = library()
+    docs = rows(spark, ODD, extra=True).unionByName(texts_of(spark), allowMissingColumns=True)
+    for text, r in zip([x.text for x in docs.collect()], bpe.digests(docs).collect()):
+        ids = theirs.encode(text or "", add_special_tokens=False).ids
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(theirs.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    encoded = bpe.encode(docs.drop("ids"))
+    assert encoded.columns[-1] == "ids" and bpe.decode(encoded).where("size(split(decoded, ' ')) > 1").count() > 100
+    assert bpe.digests(docs.limit(0)).count() == 0
+
+
+def test_bpe_of_random_characters():
+    theirs, mine, rng = library(), bpe.loaded(bpe.default_vocabulary()), random.Random(3)
+    pool = "aAbZ ΣσςİıßéÉ中文한'’`s'LL123٣²½\t\n\x85\xa0 ​　﻿\x00\x1c<|endoftext|>_-!?.𝔘😀🇩🇪"
+    for _ in range(4000):
+        text = "".join(rng.choice(pool) for _ in range(rng.randint(0, 40)))
+        assert mine.encode(text) == theirs.encode(text, add_special_tokens=False).ids, text
+
+
+def test_edits_keep_the_sums():
+    encoder = token_counts.encoding(token_counts.default_vocabulary())
+    count, rng = lambda s: len(encoder.encode_ordinary(s)), random.Random(2)
+    pool = ["word", " ", "  ", "\n", "a1", "don't", " x", "é", "中", "...", "\t"]
+    for size in (8, 40, 1024):
+        for _ in range(60):
+            text = "".join(rng.choice(pool) for _ in range(rng.randint(0, 200)))
+            tree = token_counts.SegmentTree(text, count, size)
+            for _ in range(6):
+                start = rng.randint(0, len(text) + 2)
+                end, new = start + rng.randint(-1, 30), "".join(rng.choice(pool) for _ in range(rng.randint(0, 8)))
+                tree.replace(start, end, new)
+                start = min(start, len(text))
+                text = text[:start] + new + text[min(max(end, start), len(text)) :]
+                assert "".join(tree.parts) == text and tree.length == len(text) and tree.tokens == count(text)
+
+
+def test_token_counts_query(spark):
+    encoder = token_counts.encoding(token_counts.default_vocabulary())
+    docs = rows(spark, ODD).unionByName(texts_of(spark)).select("doc_id", "text").withColumn("edits", token_counts.sample_edits())
+    for before, r in zip(docs.collect(), token_counts.count_tokens(docs).collect()):
+        text = before.text or ""
+        assert r.n_tokens == len(encoder.encode_ordinary(text))
+        for e in before.edits:
+            text = text[: e.start] + e.new + text[min(e.end, len(text)) :]
+        assert r.n_tokens_edited == len(encoder.encode_ordinary(text)) == sum(r.segment_tokens) and r.n_chars_edited == len(text)
+        assert r.n_chars_encoded_again <= 9 * (token_counts.SEGMENT + 200) or r.n_segments < 12 or "wordword" in (before.text or "")
+    assert token_counts.count_tokens(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op3", "op4", "op5", "op6", "op9", "op10"])
+def test_registered_queries_return_every_document(spark, name):
+    from ledgerline.llm.queries import QUERIES
+
+    query = next(f for k, f in QUERIES.items() if k.startswith(f"{name}_"))
+    got = query(spark, DATA)
+    assert sorted(r[0] for r in got.select("doc_id").collect()) == sorted(r[0] for r in texts_of(spark).select("doc_id").collect())
