@@ -12,9 +12,15 @@ Signatures are cut into bands; documents that share a band meet in a bucket. In
 a bucket every document is compared with one pivot, exactly. Those far from it are
 compared with a second pivot, the member near most first pivots: in a group of
 copies of one text that is the text itself. Linked documents form classes by
-connected components. Where a bucket still holds several classes, members of different classes are
-compared with each other: directly in buckets of at most SMALL members, and in
-larger ones where they share a second band as well.
+connected components. Where a bucket still holds several classes, its members of different classes are
+compared with each other, in buckets of all sizes alike, unless an exact filter
+says that they cannot be near. Shingles are put in one order, rare ones first. Of two texts
+of sizes x and y with a similarity of at least LEAST, the first common shingle
+in that order has at least LEAST / (1 + LEAST) * (x + y) shingles from it to the end in
+both; pairs without a common shingle so early are left out. Copies of a text
+that are far from it differ from it in more shingles than that leaves room for, so they
+meet only if they have a difference in common. The filter loses no pair: what is missed are pairs that share
+no band.
 """
 
 from __future__ import annotations
@@ -34,8 +40,6 @@ LEAST = 0.8
 CELLS = tuple(2.0**i for i in range(-7, 4))
 #: Shingles whose darts are thrown together, if no single text has more.
 AT_ONCE = 1 << 14
-#: Members up to which a bucket's classes are compared without a second band.
-SMALL = 16
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -169,7 +173,8 @@ def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     buckets = stash(members.join(full.select("band", "n", F.col("p.rep").alias("pivot"), F.col("p.size").alias("pivot_size")), "band"))
     bags = stash(
         _gram_counts(texts.join(buckets.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"))
-        .select("id", F.sort_array("grams").alias("grams"))
+        .select("id", "grams")
+        .mapInArrow(_bags, "id long, grams array<bigint>")
     )
 
     def compared(pairs: DataFrame) -> DataFrame:
@@ -202,20 +207,13 @@ def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
 
     # Buckets of several classes: their members against those of other classes.
     placed = (
-        opened.select("band", "rep", "size", "n")
+        opened.select("band", "rep", "size")
         .join(so_far.withColumnRenamed("node", "rep"), "rep", "left")
         .withColumn("component", F.coalesce("component", "rep"))
     )
     mixed_bands = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
     placed = stash(placed.join(mixed_bands, "band", "left_semi"))
-    i = F.array_position("bands", F.col("band"))
-    near_by = F.transform(F.array(*(F.lit(k) for k in range(1, 9))), lambda k: F.xxhash64("band", F.get("bands", ((i + k - 1) % F.size("bands")).cast("int"))))
-    finer = placed.where(F.col("n") > SMALL).join(reps.select("rep", "bands"), "rep").select("rep", "size", "component", F.explode(near_by).alias("band"))
-    finer = finer.unionByName(placed.where(F.col("n") <= SMALL).select("rep", "size", "component", "band"))
-    one = finer.select("band", F.col("rep").alias("a"), F.col("size").alias("sa"), F.col("component").alias("ca"))
-    two = finer.select("band", F.col("rep").alias("b"), F.col("size").alias("sb"), F.col("component").alias("cb"))
-    fit = (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & (F.least("sa", "sb") >= (least - 1e-9) * F.greatest("sa", "sb"))
-    third = compared(one.join(two, "band").where(fit).select("a", "b", "sa", "sb"))
+    third = compared(early_pairs(placed.select("rep", "size", "component").distinct(), bags, least))
     extra = third.where(~far_off).select("a", "b")
     classes = connected_components(so_far.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(extra))
     named = (
@@ -226,6 +224,42 @@ def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     return keyed.select("id", "key").distinct().join(named, "key").select("id", "key", "class")
 
 
+def early_pairs(texts: DataFrame, bags: DataFrame, least: float) -> DataFrame:
+    """(a, b, sa, sb), with repeats: all pairs of different components that can have the similarity ``least``.
+
+    ``texts`` has rep, size and component. No pair of that similarity is left out, whatever the order of
+    shingles; putting rare ones first leaves few others.
+    """
+    share = least / (1 + least)
+    grams = texts.join(bags.withColumnRenamed("id", "rep"), "rep").select("rep", "size", "component", F.explode("grams").alias("gram"))
+    # A shingle of one text only is common to no pair; such shingles come first in the order, and their number is enough.
+    counts = grams.groupBy("gram").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    ordered = (
+        grams.join(counts.where("n > 1"), "gram")
+        .groupBy("rep", "size", "component")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "gram", (F.col("low") != F.col("high")).alias("open")))).alias("grams"))
+    )
+    # What is left from a shingle to the end bounds the common shingles, and so the size of the other text.
+    early = stash(
+        ordered.select("rep", "size", "component", F.size("grams").alias("m"), F.posexplode("grams").alias("i", "g"))
+        .where("g.open")
+        .select("rep", "size", "component", F.col("g.gram").alias("gram"), (F.col("m") - F.col("i")).alias("rest"))
+        .where(F.col("rest") >= least * F.col("size") - 1e-6)
+        .withColumn("most", F.col("rest") / share - F.col("size") + 1e-6)
+    )
+    # Two members of a shingle's largest component need no comparison, so one of each pair is of another.
+    parts = early.groupBy("gram", "component").agg(F.count("*").alias("n"), F.min("size").alias("size"))
+    grouped = parts.groupBy("gram").agg(
+        F.max(F.struct("n", "component")).alias("large"), F.min("size").alias("smallest"), F.count("*").alias("k")
+    )
+    useful = early.join(grouped.where("k > 1").select("gram", "smallest", F.col("large.component").alias("large")), "gram").where("most >= smallest")
+    one = useful.where("component <> large").select("gram", F.col("rep").alias("a"), F.col("size").alias("sa"), F.col("component").alias("ca"), F.col("most").alias("ma"))
+    two = useful.select("gram", F.col("rep").alias("b"), F.col("size").alias("sb"), F.col("component").alias("cb"), F.col("most").alias("mb"))
+    fit = (F.col("ca") != F.col("cb")) & (F.col("sb") <= F.col("ma")) & (F.col("sa") <= F.col("mb"))
+    met = one.join(two, "gram").where(fit)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sa", "sb")
+
+
 def distances(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     """(a, b, distance): one less the exact weighted Jaccard similarity of shingle counts."""
     left = pairs.join(bags.withColumnRenamed("id", "a").withColumnRenamed("grams", "ga"), "a")
@@ -241,13 +275,20 @@ def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _distance(x: np.ndarray, y: np.ndarray) -> float:
-    """Of two sorted arrays of hashes with repeats."""
-    both = np.sort(np.concatenate((_numbered(x), _numbered(y))))
+    """Of two arrays of numbered hashes."""
+    both = np.sort(np.concatenate((x, y)))
     common = int(np.count_nonzero(both[1:] == both[:-1]))
     return 1 - common / (len(both) - common)
 
 
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bags = [_numbered(np.sort(grams.values.to_numpy())).view(np.int64) for grams in batch.column("grams")]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(bags, pa.list_(pa.int64()))], ["id", "grams"])
+
+
 def _numbered(x: np.ndarray) -> np.ndarray:
+    """Of sorted hashes with repeats, a hash of each and of how many equal ones are before it."""
     first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
     nth = np.arange(len(x)) - np.repeat(first, np.diff(np.append(first, len(x))))
     with np.errstate(over="ignore"):

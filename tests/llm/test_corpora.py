@@ -204,6 +204,39 @@ def test_a_large_group_of_near_copies(spark):
     assert sorted((r.doc_id or -1, r.text) for r in near_duplicates.keep_one(with_null).collect()) == [(-1, "x y z"), (5, "a b c")]
 
 
+def test_members_of_a_large_bucket_that_share_one_band(spark, monkeypatch):
+    """Near copies of each other far from the text that most are near: no other bucket brings them together."""
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randint(0, 10**6)}"
+    base = [word() for _ in range(120)]
+
+    def changed(words, n):
+        words = list(words)
+        for at in rng.sample(range(len(words)), n):
+            words[at] = word()
+        return words
+
+    texts = [base] + [changed(base, rng.randint(0, 2)) for _ in range(30)]
+    for _ in range(12):
+        far = changed(base, 8)
+        texts += [far, changed(far, 2), changed(far, 1)[: rng.randint(112, 120)] + ["again"] * rng.randint(0, 9)]
+    texts = dict(enumerate(" ".join(t) for t in texts))
+    bands = near_duplicates._bands
+
+    def one_in_common(batches):
+        import pyarrow as pa
+
+        for batch in bands(batches):
+            own = pa.array([[1, *(hash((x, k)) for k in range(1, 32))] for x in batch.column(1).to_pylist()], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([own if n == "bands" else batch.column(n) for n in batch.schema.names], batch.schema.names)
+
+    monkeypatch.setattr(near_duplicates, "_bands", one_in_common)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = brute_classes(texts)
+    assert 2 < len(set(want.values())) < len(want) - 30
+    assert {r.id: r["class"] for r in near_duplicates.near_classes(docs).collect()} == want
+
+
 def brute_targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: weights[i % 3] for i, s in enumerate(order)}
