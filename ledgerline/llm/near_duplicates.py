@@ -139,25 +139,21 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), pa.array(sizes, pa.int64()), bands], ["id", "key", "size", "bands"])
 
 
-def _gram_counts(df: DataFrame) -> DataFrame:
-    """(.., grams): shingle hashes of text, one for each occurrence."""
-    return df.withColumn("__w", words(F.col("text"))).withColumn("grams", shingles(F.col("__w"))).drop("__w")
-
-
 def words_key(text: str) -> Column:
     """Equal for texts of the same words in the same order."""
     return F.sha2(F.array_join(words(F.col(text)), " "), 256)
 
 
 def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """(id, key, class) for each distinct (id, text) of ``docs`` (doc_id, text).
+    """(id, key, class, component) for each distinct (id, text) of ``docs`` (doc_id, text).
 
-    ``class`` is the smallest id of the class, ``key`` a hash of the text's words. Texts with
-    the same words are copies: one stands for all of them. Null and empty texts have no words and
-    are copies of each other. Null ids are classed by their text but stand for a class only if no
-    other id does. Repeated rows come out once; an empty table gives an empty one.
+    ``key`` is a hash of the text's words. Texts with the same words are copies: one stands for all of
+    them. Null and empty texts have no words and are copies of each other. Texts are told apart by their words
+    and not by their ids, so a null or repeated id may stand in several classes: ``component`` names the class, and
+    ``class`` is its smallest id, null if it has none. Repeated rows come out once; an empty table gives an empty one.
     """
     texts = docs.select(F.col("doc_id").alias("id"), "text")
+    node = F.xxhash64("key")
     signed = (
         texts.withColumn("__w", words(F.col("text")))
         .select("id", F.sha2(F.array_join("__w", " "), 256).alias("key"), shingles(F.col("__w")).alias("grams"))
@@ -165,15 +161,22 @@ def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     )
     keyed = stash(signed)
     far_off = F.col("distance") > 1 - least + 1e-9
-    # One id stands for all copies; equal keys have equal bands, so any of them will do.
-    reps = keyed.groupBy("key").agg(F.min("id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands")).where("rep is not null and size > 0")
-    reps = stash(reps.drop("key"))
-    members = reps.select("rep", "size", F.explode("bands").alias("band"))
+    # Equal keys have equal bands, so those of any copy will do.
+    nodes = keyed.groupBy(node.alias("rep")).agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    nodes = stash(nodes)
+    members = nodes.where("size > 0").select("rep", "id", "size", F.explode("bands").alias("band"))
     full = members.groupBy("band").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("rep", "band").alias("h"), "rep", "size")).alias("p")).where("n > 1")
-    buckets = stash(members.join(full.select("band", "n", F.col("p.rep").alias("pivot"), F.col("p.size").alias("pivot_size")), "band"))
+    buckets = stash(members.join(full.select("band", F.col("p.rep").alias("pivot"), F.col("p.size").alias("pivot_size")), "band"))
+    # The text of a node is read from a row of its smallest id; where it has no id, from one without.
+    place = F.coalesce("id", "rep").alias("place")
     bags = stash(
-        _gram_counts(texts.join(buckets.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"))
-        .select("id", "grams")
+        texts.withColumn("__w", words(F.col("text")))
+        .withColumn("rep", F.xxhash64(F.sha2(F.array_join("__w", " "), 256)))
+        .select("rep", place, "text")
+        .join(buckets.select("rep", place).distinct(), ["rep", "place"], "left_semi")
+        .dropDuplicates(["rep", "place"])
+        .select(F.col("rep").alias("id"), words(F.col("text")).alias("__w"))
+        .select("id", shingles(F.col("__w")).alias("grams"))
         .mapInArrow(_bags, "id long, grams array<bigint>")
     )
 
@@ -217,11 +220,13 @@ def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     extra = third.where(~far_off).select("a", "b")
     classes = connected_components(so_far.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(extra))
     named = (
-        keyed.groupBy("key").agg(F.min("id").alias("rep"))
+        nodes.select("rep", "id")
         .join(classes.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("key", F.coalesce("component", "rep").alias("class"))
+        .select("rep", "id", F.coalesce("component", "rep").alias("component"))
     )
-    return keyed.select("id", "key").distinct().join(named, "key").select("id", "key", "class")
+    ids = named.groupBy("component").agg(F.min("id").alias("class"))
+    named = named.drop("id").join(ids, "component")
+    return keyed.select("id", "key").distinct().withColumn("rep", node).join(named, "rep").select("id", "key", "class", "component")
 
 
 def early_pairs(texts: DataFrame, bags: DataFrame, least: float) -> DataFrame:
@@ -295,6 +300,11 @@ def _numbered(x: np.ndarray) -> np.ndarray:
         return mixed(x.astype(np.uint64) + np.uint64(0xA0761D6478BD642F) * (nth.astype(np.uint64) + np.uint64(1)))
 
 
+def class_heads(classes: DataFrame) -> DataFrame:
+    """(component, head): of each class the row that stays, by id; a null id only if there is no other."""
+    return classes.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "key")).alias("head"))
+
+
 def keep_one(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """The documents without all but one of each class: the smallest id's row, columns unchanged.
 
@@ -302,19 +312,20 @@ def keep_one(docs: DataFrame, least: float = LEAST) -> DataFrame:
     their class has no other.
     """
     columns = docs.columns
-    classes = near_classes(docs.select("doc_id", "text"), least)
-    heads = classes.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "key")).alias("h"))
+    heads = class_heads(near_classes(docs.select("doc_id", "text"), least))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("__row"), "doc_id", F.col("text").alias("__text"))
     keyed = rows.select("__row", "doc_id", words_key("__text").alias("__key"))
     # Copies are reduced before the shuffle; the join then needs no other.
     single = keyed.groupBy("__key").agg(F.min_by("__row", F.struct(F.col("doc_id").isNull(), "doc_id")).alias("__row"))
-    return single.join(heads.select(F.col("h.key").alias("__key")), "__key", "left_semi").select("__row.*")
+    return single.join(heads.select(F.col("head.key").alias("__key")), "__key", "left_semi").select("__row.*")
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per document: doc_id, class_id and whether it is the one kept."""
+    """One row per document: doc_id, class_id and whether it is the one kept.
+
+    Classes of null ids only have a null class_id; a repeated id may be the class_id of two.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     classes = near_classes(docs)
-    return classes.select(
-        F.col("id").alias("doc_id"), F.col("class").alias("class_id"), (F.col("id") == F.col("class")).alias("kept")
-    )
+    kept = (F.col("key") == F.col("head.key")) & F.col("id").eqNullSafe(F.col("head.id"))
+    return classes.join(class_heads(classes), "component").select(F.col("id").alias("doc_id"), F.col("class").alias("class_id"), kept.alias("kept"))

@@ -237,6 +237,23 @@ def test_members_of_a_large_bucket_that_share_one_band(spark, monkeypatch):
     assert {r.id: r["class"] for r in near_duplicates.near_classes(docs).collect()} == want
 
 
+def test_texts_of_null_and_repeated_ids_are_not_one_class(spark):
+    rng = random.Random(3)
+    unlike = [" ".join(f"w{rng.randint(0, 10**6)}" for _ in range(60)) for _ in range(12)]
+    rows = [(None, t) for t in unlike] + [(None, unlike[0] + " end"), (None, unlike[1]), (40, unlike[1] + " end")]
+    more = [" ".join(f"v{rng.randint(0, 10**6)}" for _ in range(60)) for _ in range(3)]
+    rows += [(7, more[0]), (7, more[1]), (8, more[1] + " end"), (9, more[2]), (7, more[2] + " end"), (7, more[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in near_duplicates.keep_one(docs).collect()]
+    # Of each class the smallest id's row; of the two near texts without an id either one.
+    first = {(None, unlike[0]), (None, unlike[0] + " end")}
+    assert len(kept) == 15 and len(first & set(kept)) == 1
+    assert set(kept) - first == {*((None, t) for t in unlike[2:]), (40, unlike[1] + " end"), (7, more[0]), (7, more[1]), (7, more[2] + " end")}
+    classes = near_duplicates.near_classes(docs).collect()
+    assert len(classes) == len(set(rows)) and len({r.component for r in classes}) == 15
+    assert sorted((r["class"] or -1) for r in classes) == [-1] * 12 + [7] * 5 + [40] * 2
+
+
 def brute_targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: weights[i % 3] for i, s in enumerate(order)}
