@@ -3,10 +3,11 @@
 Each page is parsed once. Elements that are page furniture by their tag, role or
 class names go, and of the rest the article counts where there is one. What
 remains is a list of text blocks, each with hashes of the container subtrees
-around it. Spark counts, per host, on how many pages of different main text a
+around it and of its own element: paragraph, heading, list item, cell or bare text. Spark counts, per
+host, on how many pages of different main text a
 subtree occurs, and blocks in subtrees that recur on many pages of their host
-are deleted. Copies of one article count once, and paragraphs and headings are no
-containers, so an article that many pages repeat stays.
+are deleted. Copies of one article count once, so an article that many pages repeat stays. A block
+alone is weaker evidence than a container and must recur on more pages.
 """
 
 from __future__ import annotations
@@ -68,9 +69,16 @@ def _names(attributes: str) -> tuple[bool, str]:
     return bool(words & NAMES or HIDDEN.search(attributes)), " ".join(v for _, v in found)
 
 
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
 def blocks(html: str) -> list[tuple[str, list[int]]]:
-    """(text, hashes of the containers around it) of the main text's blocks in page order."""
-    out: list[tuple[str, int, list[int]]] = []  # text, number of its article or 0, indexes of containers
+    """(text, hashes of the subtrees it is in) of the main text's blocks in page order.
+
+    Hashes of containers are even, that of the block's own element is odd.
+    """
+    out: list[tuple[str, int, list[int], str]] = []  # text, number of its article or 0, indexes of containers, own tag
     subtrees: list[list] = []  # tag and name, first block, hash when closed
     stack: list[Element] = []
     buffer: list[str] = []
@@ -81,13 +89,13 @@ def blocks(html: str) -> list[tuple[str, list[int]]]:
             text = " ".join(entities.unescape("".join(buffer)).split())
             buffer.clear()
             if text:
-                out.append((text, stack[-1].article if stack else 0, [e.first for e in stack if e.first >= 0]))
+                own = next((e.tag for e in reversed(stack) if e.tag not in INLINE), "")
+                out.append((text, stack[-1].article if stack else 0, [e.first for e in stack if e.first >= 0], own))
 
     def close(element: Element) -> None:
         if element.first >= 0:
             tree = subtrees[element.first]
-            digest = hashlib.blake2b(repr((tree[0], [b[0] for b in out[tree[1] :]])).encode("utf-8", "surrogatepass"), digest_size=8)
-            tree[2] = int.from_bytes(digest.digest(), "big", signed=True)
+            tree[2] = _digest(repr((tree[0], [b[0] for b in out[tree[1] :]]))) & ~1
 
     def pop_to(depth: int) -> None:
         while len(stack) > depth:
@@ -152,7 +160,7 @@ def blocks(html: str) -> list[tuple[str, list[int]]]:
     flush()
     pop_to(0)
     level = 1 if any(b[1] > 0 for b in out) else -1 if any(b[1] < 0 for b in out) else 0
-    return [(text, [subtrees[i][2] for i in around]) for text, at, around in out if not level or at * level > 0]
+    return [(text, [*(subtrees[i][2] for i in around), _digest(f"{own} {text}") | 1]) for text, at, around, own in out if not level or at * level > 0]
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,19 +170,18 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page in batch.column("html"):
             found = blocks(page.as_py() or "")
             out.append([{"text": t, "within": w} for t, w in found])
-            joined = "\n".join(t for t, _ in found).encode("utf-8", "surrogatepass")
-            main.append(int.from_bytes(hashlib.blake2b(joined, digest_size=8).digest(), "big", signed=True))
+            main.append(_digest("\n".join(t for t, _ in found)))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(main, pa.int64()), pa.array(out, block)],
             ["page_id", "url", "host", "main", "blocks"],
         )
 
 
-def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2) -> DataFrame:
+def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2, many_pages: int = 20) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages`` (page_id, url, html).
 
     A subtree is a template of its host if it occurs in at least ``least_pages`` pages of
-    different main text and ``least_share`` of those of the host. Null and empty html give an empty
+    different main text, or ``many_pages`` for the element of a single block, and ``least_share`` of those of the host. Null and empty html give an empty
     text; null URLs share the empty host. Repeated rows come out as often as they
     are; html of any length is parsed whole.
     """
@@ -185,7 +192,8 @@ def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2) ->
         )
     )
     seen = parsed.select("host", "main", F.explode(F.array_distinct(F.flatten("blocks.within"))).alias("subtree")).distinct()
-    often = seen.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
+    enough = F.when(F.col("subtree").bitwiseAND(F.lit(1)) == 0, least_pages).otherwise(many_pages)
+    often = seen.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= enough)
     sizes = parsed.select("host", "main").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     templates = often.join(sizes, "host").where(F.col("n") >= least_share * F.col("pages")).select("host", "subtree")
     hit = (
@@ -193,7 +201,7 @@ def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2) ->
         .distinct()
         .join(templates, ["host", "subtree"])
         .groupBy("host", "main")
-        .agg(F.collect_set("subtree").alias("drop"))  # at most the containers of one page
+        .agg(F.collect_set("subtree").alias("drop"))  # at most the elements of one page
     )
     marked = parsed.join(stash(hit), ["host", "main"], "left")
     kept = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["within"], F.col("drop")), F.lit(False)))

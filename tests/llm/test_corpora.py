@@ -41,6 +41,16 @@ def test_templates_go_and_articles_stay(spark):
     assert html_extraction.extract(pages.limit(0)).count() == 0
 
 
+def test_recurring_blocks_without_a_container_go(spark):
+    page = lambda i, host: (i, f"http://{host}/{i}", f"<article><h1>Title {i}</h1><p>Story {i} of its own.</p><p>Call our <b>hotline</b>.</p><ul><li>Item {i}<li>All rights reserved</ul>Bare line</article>")
+    rows = [page(i, "a.example") for i in range(24)] + [page(100 + i, "b.example") for i in range(6)]
+    rows += [(200 + i, "http://c.example/", "<article><h1>Same</h1><p>The same article.</p></article>") for i in range(30)]
+    text = {r.page_id: r.text for r in html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(text[i] == f"Title {i}\nStory {i} of its own.\nItem {i}" for i in range(24))
+    assert text[101] == "Title 101\nStory 101 of its own.\nCall our hotline.\nItem 101\nAll rights reserved\nBare line"
+    assert all(text[200 + i] == "Same\nThe same article." for i in range(30))
+
+
 def test_extraction_against_the_blocks_of_each_page(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     html = {r.page_id: r.html for r in pages.collect()}
