@@ -180,8 +180,9 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2, many_pages: int = 20) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages`` (page_id, url, html).
 
-    A subtree is a template of its host if it occurs in at least ``least_pages`` pages of
-    different main text, or ``many_pages`` for the element of a single block, and ``least_share`` of those of the host. Null and empty html give an empty
+    A subtree is a template of its host if it occurs in at least ``many_pages`` pages of different main
+    text, however many the host has; a container also if it occurs in at least ``least_pages`` and these are
+    ``least_share`` of those of the host. Null and empty html give an empty
     text; null URLs share the empty host. Repeated rows come out as often as they
     are; html of any length is parsed whole.
     """
@@ -192,10 +193,10 @@ def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2, ma
         )
     )
     seen = parsed.select("host", "main", F.explode(F.array_distinct(F.flatten("blocks.within"))).alias("subtree")).distinct()
-    enough = F.when(F.col("subtree").bitwiseAND(F.lit(1)) == 0, least_pages).otherwise(many_pages)
-    often = seen.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= enough)
+    n, container = F.col("n"), F.col("subtree").bitwiseAND(F.lit(1)) == 0
+    often = seen.groupBy("host", "subtree").agg(F.count("*").alias("n")).where((n >= many_pages) | container & (n >= least_pages))
     sizes = parsed.select("host", "main").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    templates = often.join(sizes, "host").where(F.col("n") >= least_share * F.col("pages")).select("host", "subtree")
+    templates = often.join(sizes, "host").where((n >= many_pages) | (n >= least_share * F.col("pages"))).select("host", "subtree")
     hit = (
         parsed.select("host", "main", F.explode(F.array_distinct(F.flatten("blocks.within"))).alias("subtree"))
         .distinct()

@@ -51,6 +51,15 @@ def test_recurring_blocks_without_a_container_go(spark):
     assert all(text[200 + i] == "Same\nThe same article." for i in range(30))
 
 
+def test_templates_of_a_section_of_a_large_host_go(spark):
+    part = lambda i: "<div class=lead>All about sports</div><p>See also the tables.</p>" if i % 10 == 0 else ""
+    rows = [(i, f"http://a.example/{i}", f"<article><p>Story {i}</p>{part(i)}</article>") for i in range(300)]
+    rows += [(1000 + i, f"http://b.example/{i}", f"<article><p>Story {i}</p>{part(i)}</article>") for i in range(100)]
+    text = {r.page_id: r.text for r in html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(text[i] == f"Story {i}" for i in range(300))  # on 30 pages, a tenth of the host's
+    assert text[1010] == "Story 10\nAll about sports\nSee also the tables."  # on ten pages
+
+
 def test_extraction_against_the_blocks_of_each_page(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     html = {r.page_id: r.html for r in pages.collect()}
