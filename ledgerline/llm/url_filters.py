@@ -79,24 +79,66 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
+def decoded(reference: Column) -> Column:
+    """A reference in an attribute with its usual character references decoded, the ampersand last."""
+    for pattern, char in ((r"&(?:quot|#34|#[xX]22);", '"'), (r"&(?:apos|#39|#[xX]27);", "'"), (r"&(?:sol|#47|#[xX]2[fF]);", "/"), (r"&(?:amp|#38|#[xX]26);", "&")):
+        reference = F.regexp_replace(reference, pattern, char)
+    return reference
+
+
+def without_dots(name: Column) -> Column:
+    """A path without its segments ``.`` and ``..``, and what those take back."""
+    part = F.split(name, "/")
+    kept = F.aggregate(
+        part,
+        F.array().cast("array<string>"),
+        lambda out, x: F.when(x == "..", F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(1)))).when(x == ".", out).otherwise(F.array_append(out, x)),
+    )
+    ends = F.element_at(part, -1).isin(".", "..")
+    return F.concat(F.array_join(kept, "/"), F.when(ends, "/").otherwise(""))
+
+
+def resolved(url: Column, reference: Column) -> Column:
+    """The URL that a reference in the page ``url`` means; null if it has another scheme than one with ``://``."""
+    scheme = F.regexp_extract(url, r"^((?s:.*?)://)", 1)
+    home = F.concat(scheme, host(url))
+    folder = F.regexp_extract(path(url), r"^((?s:.*)/)", 1)
+    folder = F.when(folder == "", "/").otherwise(folder)
+    of_path, rest = F.regexp_extract(reference, r"^([^?#]*)", 1), F.regexp_extract(reference, r"^[^?#]*((?s:.*))$", 1)
+    return (
+        F.when(reference.startswith("//"), F.concat(F.regexp_replace(scheme, "//$", ""), reference))
+        .when(reference.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), reference)
+        .when(reference.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.lit(None).cast("string"))
+        .when(reference.startswith("?"), F.concat(home, path(url), reference))
+        .when(reference.startswith("#"), url)
+        .otherwise(F.concat(home, without_dots(F.when(of_path.startswith("/"), of_path).otherwise(F.concat(folder, of_path))), rest))
+    )
+
+
 def links(pages: DataFrame) -> DataFrame:
-    """Edges (a, b) between the nodes of pages and the targets of their canonical links and refreshes."""
+    """Edges (a, b) between the nodes of pages and the targets of all their canonical links and refreshes.
+
+    References are decoded and resolved against the page's URL.
+    """
     html = F.col("html")
-    tag = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-    refresh = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*([^\"'\s>]+)"
+    value = r"""(?:"([^"]*)"|'([^']*)'|["']?([^\s"'>]+))"""
     some = pages.where("url is not null and html is not null").where(html.rlike(r"(?i)<(link|meta)\b[^>]*\b(canonical|refresh)\b"))
-    targets = F.array(F.regexp_extract("html", tag, 1), F.regexp_extract("html", refresh, 1))
-    target = F.col("__to")
-    scheme = F.regexp_extract("url", r"^((?s:.*?)://)", 1)
-    whole = (
-        F.when(target.startswith("//"), F.concat(F.regexp_replace(scheme, "//$", ""), target))
-        .when(target.startswith("/"), F.concat(scheme, host(F.col("url")), target))
-        .otherwise(target)
-    )
+    # With quotes that do not match, a tag ends at the next >.
+    tag = r"""(?is)<(?:link|meta)\b(?:(?:[^>"']++|"[^"]*+"|'[^']*+'){0,500}+>|[^>]*+>)"""
+    tags = some.select("url", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(tag), F.lit(0)))).alias("__tag"))
+
+    def attribute(name: str) -> Column:
+        start = rf"(?is)\s{name}\s*=\s*{value}"
+        return F.concat(*(F.regexp_extract("__tag", start, i) for i in (1, 2, 3)))
+
+    canonical = F.col("__tag").rlike(r"(?i)^<link") & attribute("rel").rlike(r"(?i)(^|\s)canonical(\s|$)")
+    refresh = F.col("__tag").rlike(r"(?i)^<meta") & attribute("http-equiv").rlike(r"(?i)^\s*refresh\s*$")
+    content = decoded(attribute("content"))
+    after = r"""(?is)^[\s\d.]*[;,\s]\s*(?:url\s*=\s*)?(?:"([^"]*)"?.*|'([^']*)'?.*|([^\s"'].*))$"""
+    target = F.trim(F.when(canonical, decoded(attribute("href"))).when(refresh, F.concat(*(F.regexp_extract(content, after, i) for i in (1, 2, 3)))))
+    found = tags.select("url", target.alias("__to")).where("__to <> ''")
     return (
-        some.select("url", F.explode(targets).alias("__to"))
-        .where("__to <> ''")
-        .select(node(F.col("url")).alias("a"), node(whole).alias("b"))
+        found.select(node(F.col("url")).alias("a"), node(resolved(F.col("url"), F.col("__to"))).alias("b"))
         .where("a is not null and b is not null and a <> b")
         .distinct()
     )

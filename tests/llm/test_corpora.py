@@ -118,6 +118,16 @@ def test_links_of_pages(spark):
     assert {(r.a, r.b) for r in url_filters.links(pages).collect()} == {("a.org/1", "b.org/x?y=1"), ("a.org/1", "a.org/other")}
 
 
+def test_links_by_relative_quoted_and_repeated_references(spark):
+    html = """<link rel=canonical href="page.html?x=1&amp;y=2"><LINK href='../up/./z' rel='nofollow canonical'><link rel="canonical" href="?p=1">
+    <link rel="canonical" href="mailto:x@y.z"><link rel="canonical" href="#here"><link rel="stylesheet" href="s.css">
+    <meta http-equiv="refresh" content="0; url='http://h.org/x'"><meta content='5;URL="//i.org/y"' http-equiv=Refresh><meta http-equiv="refresh" content="30">"""
+    pages = spark.createDataFrame([("http://a.org/d/e/1?q", html), ("http://c.org", '<link rel="canonical" href="n">')], "url string, html string")
+    a = "a.org/d/e/1?q"
+    want = {(a, x) for x in ("a.org/d/e/page.html?x=1&y=2", "a.org/d/up/z", "a.org/d/e/1?p=1", "h.org/x", "i.org/y")}
+    assert {(r.a, r.b) for r in url_filters.links(pages).collect()} == want | {("c.org", "c.org/n")}
+
+
 def test_url_query_against_brute_force(spark):
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
     got = url_filters.op2_url_filters(spark, DATA).collect()
