@@ -209,7 +209,7 @@ def viterbi(batch: list[np.ndarray], move: np.ndarray, cells: int = 1 << 20) ->
 
 
 def neighbourhoods(text: str, reach: int = 2) -> list[list[tuple[int, int]]]:
-    """Spans of words around words with a digit or an at sign, joined where they touch."""
+    """Spans of words around words with a digit or an at sign, joined where only white space lies between them."""
     hits: list[tuple[int, int]] = []
     at = 0
     while found := TRIGGER.search(text, at):
@@ -225,10 +225,11 @@ def neighbourhoods(text: str, reach: int = 2) -> list[list[tuple[int, int]]]:
         before, stop = [], hits[k - 1][1] if k else 0
         left = start
         while len(before) < reach and left > stop:
-            stem = text[stop:left].rstrip("\x20\t\n\x0b\x0c\r") if left - stop < 400 else text[left - 400 : left].rstrip("\x20\t\n\x0b\x0c\r")
-            if not stem:
+            right = left
+            while right > stop and SPACE.match(text, right - 1):
+                right -= 1
+            if right == stop:
                 break
-            right = (stop if left - stop < 400 else left - 400) + len(stem)
             left = right
             while left > stop and not SPACE.match(text, left - 1):
                 left -= 1
@@ -244,7 +245,7 @@ def neighbourhoods(text: str, reach: int = 2) -> list[list[tuple[int, int]]]:
             right = nxt.start() if nxt else limit
             after.append((begin, right))
         words = [*reversed(before), (start, end), *after]
-        if out and words[0][0] <= out[-1][-1][1] + 1:
+        if out and not text[out[-1][-1][1] : words[0][0]].strip("\x20\t\n\x0b\x0c\r"):
             out[-1] += [w for w in words if w[0] >= out[-1][-1][1]]
         else:
             out.append(words)

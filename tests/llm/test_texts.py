@@ -259,3 +259,15 @@ def test_registered_queries_return_every_document(spark, name):
     query = next(f for k, f in QUERIES.items() if k.startswith(f"{name}_"))
     got = query(spark, DATA)
     assert sorted(r[0] for r in got.select("doc_id").collect()) == sorted(r[0] for r in texts_of(spark).select("doc_id").collect())
+
+
+def test_neighbourhoods_decode_as_the_whole_text(monkeypatch):
+    rng = random.Random(5)
+    rows = list(pii.labelled_table())
+    field = pii.train(rows, steps=20)
+    word = lambda: rng.choice(["the", "and", "Onan", "lyes.", "id", "12", "a@b", "7x", *(w for r in rows for w in (*r[0].split(), r[1]))])
+    gap = lambda: rng.choice([" ", " ", "  ", "\r\n", "\n\n", "\t \t", " " * 500])
+    texts = ["".join(word() + gap() for _ in range(rng.randint(0, 12))) for _ in range(600)]
+    got = pii.found_spans(texts, field)
+    monkeypatch.setattr(pii, "neighbourhoods", lambda text: [[m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]])
+    assert got == pii.found_spans(texts, field) and any(k in pii.LABELS for row in got for _, _, k in row)
