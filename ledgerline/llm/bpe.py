@@ -6,7 +6,9 @@ words, and each word into parts: one symbol per byte at first, the last with the
 end. The parts of a word stand in one contiguous array of boundaries beside
 the array of ranks of adjacent pairs; the lowest rank is found by a scan, its
 boundary is deleted and the two neighbouring ranks are refreshed, until no pair
-has a rank. Words are short, so a scan of a few numbers beats a heap.
+has a rank. In a short word a scan of a few numbers beats a heap. Runs of over SHORT bytes
+without white space are no words of a language; there the same pairs are merged in the
+same order, but found by a heap, as scans would take time with the square of the length.
 """
 
 from __future__ import annotations
@@ -16,7 +18,9 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +34,8 @@ NEVER = 1 << 60
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Words remembered by each Python worker; others are encoded again when they recur.
 REMEMBERED = 400_000
+#: Bytes of a word up to which its ranks are scanned.
+SHORT = 96
 
 
 def default_vocabulary() -> str:
@@ -72,13 +78,16 @@ class Bpe:
         for rank, (a, b) in enumerate(merges):
             if a in self.ids and b in self.ids and a + b in self.ids:
                 self.ranks.setdefault((self.ids[a], self.ids[b]), (rank, self.ids[a + b]))
-        self.known: dict[str, tuple[int, str]] = {}
+        self.known: dict[str, tuple[int, str, str]] = {}
+        self.known_ids: dict[str, list[int]] = {}
 
     def parts(self, word: str) -> list[int]:
         """Ids of one word (no white space in it)."""
         raw = [self.symbols[b] for b in word.encode("utf-8", "surrogatepass")]
         raw[-1] += self.end
         ids, ranks = [self.ids[x] for x in raw if x in self.ids], self.ranks
+        if len(ids) > SHORT:
+            return self._long(ids)
         pairs = [ranks.get(p, (NEVER, 0)) for p in zip(ids, ids[1:])]
         while pairs:
             best = min(pairs)
@@ -93,6 +102,36 @@ class Bpe:
                 pairs[i] = ranks.get((ids[i], ids[i + 1]), (NEVER, 0))
         return ids
 
+    def _long(self, ids: list[int]) -> list[int]:
+        """What parts() makes of many symbols: the lowest rank first, the leftmost of equal ones."""
+        ranks, n = self.ranks, len(ids)
+        ahead, behind = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(found[0], i, found[1], ids[i], ids[i + 1]) for i in range(n - 1) if (found := ranks.get((ids[i], ids[i + 1])))]
+        heapify(heap)
+        while heap:
+            _, i, whole, left, right = heappop(heap)
+            j = ahead[i]
+            if j >= n or ids[i] != left or ids[j] != right:  # one of the two has been merged since
+                continue
+            ids[i], ids[j] = whole, -1
+            ahead[i] = after = ahead[j]
+            if after < n:
+                behind[after] = i
+                if found := ranks.get((whole, ids[after])):
+                    heappush(heap, (found[0], i, found[1], whole, ids[after]))
+            before = behind[i]
+            if before >= 0 and (found := ranks.get((ids[before], whole))):
+                heappush(heap, (found[0], before, found[1], ids[before], whole))
+        return [x for x in ids if x >= 0]
+
+    def _remember_ids(self, word: str) -> list[int]:
+        if len(self.known_ids) >= REMEMBERED:
+            self.known_ids.clear()
+        ids = self.parts(word)
+        if len(word) < 64:
+            self.known_ids[word] = ids
+        return ids
+
     def _remember(self, word: str) -> tuple[int, str]:
         if len(self.known) >= REMEMBERED:
             self.known.clear()
@@ -118,12 +157,13 @@ class Bpe:
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
+        known, remember = self.known_ids, self._remember_ids
         for part, special in self.segments(text):
             if special:
                 out.append(self.special_ids[part])
             else:
                 for w in self.words(part):
-                    out += self.parts(w)
+                    out += known.get(w) or remember(w)
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -184,7 +224,9 @@ def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)
         for batch in batches:
-            ids = pa.array([bpe.encode(x.as_py() or "") for x in batch.column("__text")], pa.list_(pa.int32()))
+            found = [np.array(bpe.encode(x.as_py() or ""), np.int32) for x in batch.column("__text")]
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *found])))
             names = [c for c in batch.schema.names if c != "__text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), ids], [*names, "ids"])
 

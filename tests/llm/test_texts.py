@@ -271,3 +271,15 @@ def test_neighbourhoods_decode_as_the_whole_text(monkeypatch):
     got = pii.found_spans(texts, field)
     monkeypatch.setattr(pii, "neighbourhoods", lambda text: [[m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]])
     assert got == pii.found_spans(texts, field) and any(k in pii.LABELS for row in got for _, _, k in row)
+
+
+def test_words_over_the_scanned_length_against_the_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    ours, rng = bpe.Bpe(bpe.default_vocabulary()), random.Random(4)
+    for n in (bpe.SHORT - 1, bpe.SHORT, bpe.SHORT + 1, 700, 20_000):
+        for letters in ("ab", "the", "aaaa", "abcdefghijklmnopqrstuvwxyz", "éß日"):
+            word = "".join(rng.choice(letters) for _ in range(n))
+            assert ours.encode(word) == library.encode(word, add_special_tokens=False).ids == list(map(int, ours.digest(word)[1].split()))
