@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import re
+import threading
+import time
+import uuid
+from collections.abc import Callable, Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-#: Short table names and the tables they stand for.
+# Short names of tables, and Russian names of columns.
 ALIASES = {
     "cars": "v_car_inventory_summary",
     "car_inventory": "v_car_inventory_summary",
@@ -14,60 +19,138 @@ ALIASES = {
     "elasticsearch_logs": "elasticsearch_events_raw",
     "elasticsearch_documents": "elasticsearch_events_raw",
 }
-#: Russian names of columns. The first four forms are of city, then of the number of cars.
-COLUMN_ALIASES = {"город": "city", "города": "city", "машин": "cars", "машины": "cars", "количество": "cars", "количество_машин": "cars"}
-WRITES = re.compile(r"\b(insert|update|delete|alter|drop|truncate|create|grant|revoke|optimize)\b", re.I)
-#: Text in quotes of any kind, or a word with what qualifies it.
-PIECES = re.compile(r"('(?:[^'\\]|\\.|'')*'|\"[^\"]*\"|`[^`]*`)|([\w.]+)|(\s+|.)", re.S)
-#: Classes of the topmost node of a parsed query. Anything else, commands above all, is refused.
+COLUMN_ALIASES = {
+    "город": "city",
+    "города": "city",
+    "машин": "car_count",
+    "машины": "car_count",
+    "автомобили": "car_count",
+    "автомобилей": "car_count",
+    "количество": "car_count",
+    "количество_машин": "car_count",
+    "количество_автомобилей": "car_count",
+}
+#: Words that a strict query may not hold.
+WRITES = ("insert", "update", "delete", "alter", "drop", "truncate", "create", "grant", "revoke", "optimize")
+SUMMARY = "v_car_inventory_summary"
+#: Text in quotes of any kind, or a word with what qualifies it, or anything else.
+PIECES = re.compile(r"""(?P<quoted>'(?:[^'\\]|\\.|'')*'|"[^"]*"|`[^`]*`)|(?P<word>[\w.]+)|(?P<other>\s+|.)""", re.S)
+#: Nodes of a parsed query. Anything else anywhere in the plan is refused: commands, writes, scripts.
 QUERY_NODES = frozenset(
-    "Project Filter Aggregate Sort Distinct Union Intersect Except GlobalLimit LocalLimit Offset UnresolvedHaving WithWindowDefinition "
-    "UnresolvedInlineTable LocalRelation ResolvedInlineTable SubqueryAlias UnresolvedSubqueryColumnAliases UnresolvedHint UnresolvedRelation Pivot Unpivot Join "
-    "Generate RepartitionByExpression".split()
+    "Project Filter Aggregate Sort Distinct Union Intersect Except GlobalLimit LocalLimit Offset Tail UnresolvedHaving WithWindowDefinition UnresolvedWith "
+    "UnresolvedInlineTable LocalRelation ResolvedInlineTable OneRowRelation SubqueryAlias UnresolvedSubqueryColumnAliases UnresolvedHint UnresolvedRelation "
+    "UnresolvedTVFAliases UnresolvedTableValuedFunction Pivot Unpivot Join LateralJoin Generate RepartitionByExpression Sample".split()
 )
+#: Functions that run code by name or look around the machine.
+REFUSED = frozenset("reflect java_method try_reflect input_file_name input_file_block_start input_file_block_length".split())
+#: Functions that make rows.
+TABLE_FUNCTIONS = frozenset("range explode explode_outer posexplode posexplode_outer inline inline_outer stack json_tuple".split())
+
+
+def _pieces(query: str) -> list[tuple[str, str]]:
+    """(kind, text): ``quoted``, ``word`` or ``other``, which is white space or one sign."""
+    return [(m.lastgroup or "", m[0]) for m in PIECES.finditer(query)]
+
+
+def _counted(pieces: list[tuple[str, str]], at: int) -> int | None:
+    """The place after ``count(*) AS name`` if it stands at ``at``, without the name; else None."""
+    for want in ("count", "(", "*", ")", "as"):
+        while at < len(pieces) and not pieces[at][1].strip():
+            at += 1
+        if at == len(pieces) or pieces[at][0] == "quoted" or pieces[at][1].lower() != want:
+            return None
+        at += 1
+    return at
 
 
 def rewrite(query: str) -> str:
     """The query with short names replaced; text in quotes and qualified names stay as they are.
 
-    ``count(*) AS x`` over the inventory summary means its cars and becomes ``sum(cars) AS x``.
+    ``count(*) AS x`` where the summary of the inventory is read means its cars and becomes ``sum(cars) AS x``.
     """
-    out, after = [], ""
-    for quoted, word, other in PIECES.findall(query.strip().rstrip(";").rstrip()):
-        if word:
-            low = word.lower()
-            if after in ("from", "join") and low in ALIASES:
-                word = ALIASES[low]
-            elif low in COLUMN_ALIASES:
-                word = COLUMN_ALIASES[low]
-            after = low
-        elif quoted or other.strip():
-            after = ""
-        out.append(quoted or word or other)
-    text = "".join(out)
-    if re.search(r"\bfrom\s+v_car_inventory_summary\b", text, re.I):
-        text = re.sub(r"\bcount\s*\(\s*\*\s*\)\s+as\s+(\w+)", r"sum(cars) AS \1", text, flags=re.I)
-    return text
+    pieces = _pieces(query.strip().rstrip(";").rstrip())
+    named, after = [], ""
+    for kind, text in pieces:
+        low = text.lower()
+        if kind == "word":
+            text = ALIASES.get(low, text) if after in ("from", "join") else COLUMN_ALIASES.get(low, text)
+        named.append((kind, text))
+        if text.strip():
+            after = low if kind == "word" else ""
+    words = [text.lower() for kind, text in named if text.strip()]
+    if SUMMARY not in {b for a, b in zip(words, words[1:]) if a in ("from", "join")}:
+        return "".join(text for _, text in named)
+    out, at = [], 0
+    while at < len(named):
+        end = _counted(named, at) if named[at][1].lower() == "count" else None
+        out.append("sum(cars) AS" if end else named[at][1])
+        at = end or at + 1
+    return "".join(out)
+
+
+def _each(seq) -> Iterator:
+    return (seq.apply(i) for i in range(seq.size()))
+
+
+def _nodes(plan) -> Iterator:
+    """Every node of a parsed plan, of its WITH parts and of the subqueries in its expressions."""
+    waiting = [plan]
+    while waiting:
+        node = waiting.pop()
+        yield node
+        for inner in (node.children(), node.innerChildren(), node.subqueries()):
+            waiting += _each(inner)
+
+
+def _expressions(node) -> Iterator:
+    waiting = list(_each(node.expressions()))
+    while waiting:
+        found = waiting.pop()
+        yield found
+        waiting += _each(found.children())
+
+
+def _name(parts) -> str:
+    return ".".join(_each(parts)).lower()
 
 
 def check(spark: SparkSession, query: str, strict: bool = False) -> None:
-    """Raises ValueError for anything but one query.
+    """Raises ValueError for anything but one query over known tables.
 
-    Spark's own parser decides: it must return one plan, whose topmost node belongs to a query. ``strict`` also demands that the text starts with SELECT and
-    holds no word for a change anywhere, not even in a literal.
+    Spark's own parser reads the text; every node of the plan must belong to a query, every relation be a table or view of
+    the catalog or a WITH part, and no function may run code by name. ``strict`` also demands that the text starts with
+    SELECT and holds no word for a change anywhere, not even in a literal.
     """
-    if strict and (not re.match(r"select\b", query, re.I) or WRITES.search(query)):
+    if strict and (query[:6].lower() != "select" or {w.lower() for w in re.findall(r"\w+", query)} & {*WRITES}):
         raise ValueError("only SELECT queries without words for changes are allowed")
     try:
         plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(query)
     except Exception as e:
         raise ValueError(f"not one query: {str(e).splitlines()[0]}") from None
-    name = plan.getClass().getSimpleName()
-    while name == "UnresolvedWith":  # WITH may stand before a change, too
-        plan = plan.child()
-        name = plan.getClass().getSimpleName()
-    if name not in QUERY_NODES:
-        raise ValueError(f"only queries are allowed, this is {name}")
+    nodes = list(_nodes(plan))
+    kinds = [n.getClass().getSimpleName() for n in nodes]
+    for kind in kinds:
+        if kind not in QUERY_NODES:
+            raise ValueError(f"only queries are allowed, this holds {kind}")
+    parts = {cte._1().lower() for node, kind in zip(nodes, kinds) if kind == "UnresolvedWith" for cte in _each(node.cteRelations())}
+    for node, kind in zip(nodes, kinds):
+        if kind == "UnresolvedRelation":
+            name = list(_each(node.multipartIdentifier()))
+            if node.isStreaming():
+                raise ValueError("streams are not for queries")
+            quoted = ".".join("`" + p.replace("`", "``") + "`" for p in name)
+            if not (len(name) == 1 and name[0].lower() in parts) and not spark.catalog.tableExists(quoted):
+                raise ValueError(f"unknown table {quoted}")
+        if kind == "UnresolvedTableValuedFunction" and _name(node.name()) not in TABLE_FUNCTIONS:
+            raise ValueError(f"not a function for queries: {_name(node.name())}")
+        for found in _expressions(node):
+            of = found.getClass().getSimpleName()
+            if of == "ExpressionWithUnresolvedIdentifier":
+                raise ValueError("names of functions are written out")
+            if of == "UnresolvedGenerator" and found.name().funcName().lower() not in TABLE_FUNCTIONS:
+                raise ValueError(f"not a function for queries: {found.name().funcName()}")
+            if of == "UnresolvedFunction" and (_name(found.nameParts()) in REFUSED or found.nameParts().size() > 1):
+                raise ValueError(f"not a function for queries: {_name(found.nameParts())}")
 
 
 def run_query(spark: SparkSession, query: str, args: dict | None = None, strict: bool = False) -> DataFrame:
@@ -75,3 +158,37 @@ def run_query(spark: SparkSession, query: str, args: dict | None = None, strict:
     text = rewrite(query)
     check(spark, text, strict)
     return spark.sql(text, args=args or {})
+
+
+def rows_within(result: DataFrame, seconds: float = 90.0, attempts: int = 3, pause: Callable[[float], None] = time.sleep) -> list:
+    """The rows of a result, for small ones. Its jobs are cancelled after ``seconds``, which raises TimeoutError.
+
+    A run that fails otherwise is tried again, ``attempts`` times in all; a query that cannot be analysed is not.
+    """
+    context = result.sparkSession.sparkContext
+    for attempt in range(1, attempts + 1):
+        tag, late = f"query-{uuid.uuid4().hex}", threading.Event()
+
+        def stop(tag=tag, late=late) -> None:
+            late.set()
+            context.cancelJobsWithTag(tag)
+
+        timer = threading.Timer(seconds, stop)
+        context.addJobTag(tag)
+        context.setInterruptOnCancel(True)
+        timer.start()
+        try:
+            return result.collect()
+        except AnalysisException:
+            raise
+        except Exception:
+            if late.is_set():
+                raise TimeoutError(f"the query took more than {seconds} s") from None
+            if attempt == attempts:
+                raise
+            pause(attempt)
+        finally:
+            timer.cancel()
+            context.removeJobTag(tag)
+            context.setInterruptOnCancel(False)
+    raise ValueError("attempts must be at least 1")

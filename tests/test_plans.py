@@ -76,6 +76,58 @@ def test_everything_else_fails(spark, text):
         guarded.run_query(spark, text)
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "FROM guard_t INSERT INTO a SELECT id INSERT INTO b SELECT id",
+        "SELECT * FROM (SELECT TRANSFORM(id) USING 'cat' AS (x) FROM guard_t)",
+        "FROM guard_t MAP id USING 'cat'",
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.home')",
+        "SELECT id FROM guard_t WHERE id = (SELECT java_method('java.lang.System', 'getProperty', 'user.home'))",
+        "SELECT id FROM guard_t ORDER BY try_reflect('java.lang.System', 'getProperty', 'user.home')",
+        "SELECT transform(array(1), x -> reflect('java.lang.System', 'getProperty', 'user.home'))",
+        "SELECT IDENTIFIER('reflect')('java.lang.System', 'getProperty', 'user.home')",
+        "SELECT system.builtin.reflect('java.lang.System', 'getProperty', 'user.home')",
+        "SELECT * FROM guard_t LATERAL VIEW reflect('a', 'b') e AS x",
+        "SELECT * FROM parquet.`/path`",
+        "SELECT * FROM `/path`",
+        "WITH a AS (SELECT * FROM text.`/etc/hosts`) SELECT * FROM a",
+        "SELECT (SELECT max(value) FROM text.`/etc/hosts`)",
+        "SELECT * FROM IDENTIFIER('parquet.`/path`')",
+        "SELECT * FROM python_worker_logs()",
+        "SELECT input_file_name() FROM guard_t",
+        "SELECT * FROM no_such_table",
+    ],
+)
+def test_the_whole_plan_is_checked(spark, text):
+    spark.range(3).createOrReplaceTempView("guard_t")
+    with pytest.raises(ValueError):
+        guarded.run_query(spark, text)
+
+
+def test_queries_of_every_shape_pass_the_guard(spark):
+    spark.range(3).createOrReplaceTempView("guard_t")
+    for text in (
+        "SELECT id, count(*) AS n FROM guard_t GROUP BY id HAVING n > 0 ORDER BY id LIMIT 2",
+        "SELECT * FROM guard_t WHERE id IN (SELECT id FROM guard_t) AND EXISTS (SELECT 1 FROM guard_t) AND id > (SELECT min(id) FROM guard_t)",
+        "SELECT x FROM guard_t LATERAL VIEW explode(array(1, 2)) e AS x",
+        "SELECT * FROM range(3)",
+        "SELECT rank() OVER w FROM guard_t WINDOW w AS (ORDER BY id)",
+        "WITH a AS (WITH b AS (SELECT 1 AS y) SELECT * FROM b) SELECT * FROM a, guard_t",
+        "SELECT id FROM guard_t PIVOT (count(*) FOR id IN (1, 2))".replace("SELECT id", "SELECT *"),
+    ):
+        guarded.run_query(spark, text).collect()
+
+
+def test_rows_within_a_time(spark):
+    assert guarded.rows_within(spark.range(2)) == spark.range(2).collect()
+    slow = spark.range(10**12).where("hash(id) = hash(id + 1)").agg(F.count("*"))
+    with pytest.raises(TimeoutError):
+        guarded.rows_within(slow, 1.0)
+    with pytest.raises(Exception, match="no luck"):
+        guarded.rows_within(spark.range(1).select(F.raise_error(F.lit("no luck"))), attempts=2, pause=lambda _: None)
+
+
 def test_strict_guard(spark):
     for text in ("WITH a AS (SELECT 1) SELECT * FROM a", "SELECT 'delete' AS x"):
         with pytest.raises(ValueError):
@@ -88,6 +140,9 @@ def test_short_names():
     assert r("select * from x JOIN car_inventory c") == "select * from x JOIN v_car_inventory_summary c"
     assert r("SELECT * FROM analytics.car_inventory") == "SELECT * FROM analytics.car_inventory"
     assert r("SELECT count(*) AS n FROM cars") == "SELECT sum(cars) AS n FROM v_car_inventory_summary"
+    assert r("SELECT 1 FROM x JOIN cars c") == "SELECT 1 FROM x JOIN v_car_inventory_summary c"
+    assert r("SELECT city, COUNT ( * )  as n, 'count(*) AS n' FROM x JOIN cars") == "SELECT city, sum(cars) AS n, 'count(*) AS n' FROM x JOIN v_car_inventory_summary"
+    assert r("SELECT автомобилей FROM x") == "SELECT car_count FROM x"
     assert r("SELECT count(*) AS n FROM x") == "SELECT count(*) AS n FROM x"
     assert r("SELECT город FROM cars WHERE city = 'город from cars'") == "SELECT city FROM v_car_inventory_summary WHERE city = 'город from cars'"
 
@@ -132,6 +187,25 @@ def test_programs(spark):
             p.create(bad, overwrite=True)
 
 
+def test_programs_reach_neither_the_session_nor_unchecked_columns(spark):
+    generators.car_inventory(spark, 30).createOrReplaceTempView("program_cars")
+    p = programs.Programs(spark)
+    for bad in ("helpers._catalog", "run_query('SELECT 1')._frame", "helpers.schema.__self__"):
+        with pytest.raises(ValueError):
+            p.create(PROGRAM.replace("helpers.bounded_limit(args.get(\"limit\"))", bad))
+    with pytest.raises(ValueError):
+        p.create(PROGRAM.replace("FROM program_cars", "FROM analytics.program_cars"))
+    p.create(PROGRAM.replace("FROM program_cars", "FROM analytics.program_cars").replace("    n =", "    helpers.column_exists('program_cars', 'city')\n    n ="))
+    assert p.update("query_by_city", PROGRAM).name == "query_by_city" and p.run("query_by_city") == ["Minsk", "Moscow", "Tokyo"]
+    for call in (lambda: p.update("query_other", PROGRAM), lambda: p.create(PROGRAM, True, "query_other")):
+        with pytest.raises(ValueError):
+            call()
+    h = programs.Helpers(spark)
+    assert h.table_exists("program_cars") == "program_cars" and h.column_exists("program_cars", "city") == "city"
+    assert h.literal("a'b\\") == "'a\\'b\\\\'" and h.literal(True) == "1" and h.quoted_name("a`b") == "`a``b`" and h.quoted_text(5) == "'5'"
+    assert len(h.count_by("program_cars", ["city"]).collect()) == 3 and "program_cars" in {t["name"] for t in h.list_tables()}
+
+
 def test_intervals_match_closed_and_first(spark):
     points = spark.createDataFrame([("a", 1), ("a", 5), ("a", 7), ("a", 8), ("b", 5), (None, 5)], "k string, t int")
     rows = joins.numbered([("a", "one", 1, 5), ("a", "two", 5, 7)], "k string, name string, start int, stop int", spark)
