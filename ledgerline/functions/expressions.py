@@ -93,3 +93,19 @@ def text_hash(text: Column) -> Column:
     codes = F.transform(F.split(text, ""), lambda c: F.ascii(c).cast("bigint"))
     folded = F.aggregate(codes, F.lit(0).cast("bigint"), lambda h, c: F.pmod(h * 31 + c, F.lit(2**32)))
     return F.when(folded >= 2**31, F.lit(2**32) - folded).otherwise(folded)
+
+
+def usage(body: Column) -> Column:
+    """Struct (input, output, total, unit) of a completion's token counts; null where the answer has none."""
+    shape = "usage struct<prompt_tokens:bigint,completion_tokens:bigint,total_tokens:bigint>"
+    found = F.from_json(body, shape)["usage"]
+    named = (("prompt_tokens", "input"), ("completion_tokens", "output"), ("total_tokens", "total"))
+    return F.when(found.isNotNull(), F.struct(*(found[a].alias(b) for a, b in named), F.lit("TOKENS").alias("unit")))
+
+
+def level(value: Column, steps: list[tuple[float | None, str]]) -> Column:
+    """The name of the last step at or below a value; a step of None is the one that all values reach."""
+    found = F.lit(None).cast("string")
+    for least, name in steps:
+        found = F.when(F.lit(True) if least is None else value >= least, name).otherwise(found)
+    return found

@@ -48,9 +48,10 @@ def chunks(docs: DataFrame, text: str = "text", size: int = 1500, overlap: int =
     return spread.withColumn("chunk", F.substring(F.col(text), F.col("chunk_no") * step + 1, F.lit(size))).drop(text)
 
 
-def nearest(vectors: DataFrame, query: list[float], k: int, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """The k vectors of highest cosine similarity to one query; equal ones by id."""
-    q = F.array(*(F.lit(float(x)) for x in query))
+def nearest(vectors: DataFrame, query: list[float] | Column, k: int, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """The k vectors of highest cosine similarity to one query, such as a scalar subquery; equal ones by id."""
+    given = query.cast("array<double>") if isinstance(query, Column) else F.array(*(F.lit(float(x)) for x in query))
+    vectors, q = vectors.select(id, vector, given.alias("__q")), F.col("__q")
     add = lambda a, x: a + x
     dot = F.aggregate(F.zip_with(F.col(vector), q, lambda a, b: a.cast("double") * b), F.lit(0.0), add)
     norm = lambda c: F.sqrt(F.aggregate(F.transform(c, lambda a: a.cast("double") * a.cast("double")), F.lit(0.0), add))

@@ -38,7 +38,7 @@ def between(df: DataFrame, time: str, start, end, partition: str | None = None)
 def recent(df: DataFrame, time: str, span: str) -> DataFrame:
     """Rows of the last ``span`` before the latest row, not before now: data may be old.
 
-    The latest time is one value, a scalar subquery in effect.
+    The latest time is a scalar subquery, so the comparison is a filter at the scan.
     """
-    latest = df.agg(F.max(time).alias("__latest"))
-    return df.join(F.broadcast(latest), F.col(time) > F.col("__latest") - F.expr(f"interval {span}")).drop("__latest")
+    latest = df.agg(F.max(time)).scalar()
+    return df.where(F.col(time) > latest - F.expr(f"interval {span}"))

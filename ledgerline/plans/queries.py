@@ -8,13 +8,18 @@ the decorator with the SQL that DuckDB runs on the same files.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import expressions as x
-from ledgerline.operators import corpus, filters, joins, series, versions
+from ledgerline.operators import corpus, filters, joins, ranking, series, versions
 from ledgerline.plans import catalog, guarded, panels, views
+from ledgerline.schemas import OFFSETS, table_from_source
+from ledgerline.session import fresh_path
+from ledgerline.sources import changes, generators, metrics
+from ledgerline.sources import documents as bulk
 from ledgerline.streaming import micro_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -259,16 +264,16 @@ def half_open_interval(spark, sf_dir):
 
 @query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-20' AND ts >= TIMESTAMP '2024-01-05' GROUP BY 1, 2")
 def stream_microbatch_equiv(spark, sf_dir):
-    """Micro-batches that overlap, loaded twice over; versions make them one load of the whole interval."""
-    e = read(spark, sf_dir, "events")
-    cuts = ["2024-01-05", "2024-01-09 12:00:00", "2024-01-15", "2024-01-20"]
-    loaded = None
-    for run, (start, end) in enumerate(zip(cuts, cuts[1:])):
-        overlap = F.lit(start).cast("timestamp_ntz") - F.expr("interval 120 seconds") if run else F.lit(start).cast("timestamp_ntz")
-        batch = e.where((F.col("ts") >= overlap) & (F.col("ts") < F.lit(end).cast("timestamp_ntz"))).withColumn("version", F.lit(run))
-        loaded = batch if loaded is None else loaded.unionByName(batch)
-    once = versions.latest_by_key(loaded, ["event_id"], "version")
-    return ntz(once.groupBy(x.hour(F.col("ts")).alias("hour"), "event_type").agg(F.count("*").alias("n")), "hour")
+    """Micro-batches from checkpoint to checkpoint, each with an overlap, into a table whose versions make them one load."""
+    e = read(spark, sf_dir, "events").where(F.col("ts") >= F.lit("2024-01-05").cast("timestamp_ntz"))
+    source = e.withColumns({"document_id": F.col("event_id").cast("string"), "ts": F.col("ts").cast("timestamp")})
+    path, offsets = fresh_path(spark, "micro-batches"), spark.createDataFrame([], OFFSETS)
+    for run, end in enumerate((datetime(2024, 1, 9, 12), datetime(2024, 1, 15), datetime(2024, 1, 20))):
+        put = lambda batch, run=run: batch.withColumn("version", F.lit(run)).write.mode("append").parquet(path)
+        lookback = timedelta(days=5) if not run else micro_batches.LOOKBACK
+        offsets = micro_batches.run_micro_batch(source, offsets, end, put, "events", "hourly", "ts", lookback=lookback)
+    loaded = versions.latest_by_key(spark.read.parquet(path), ["event_id"], "version")
+    return ntz(loaded.groupBy(x.hour(F.col("ts")).alias("hour"), "event_type").agg(F.count("*").alias("n")), "hour")
 
 
 @query("SELECT time_bucket(INTERVAL '5 minutes', ts) AS window_start, event_type, count(*) AS events FROM events GROUP BY 1, 2")
@@ -331,13 +336,17 @@ def manifest_removed(spark, sf_dir):
 
 
 @query("""SELECT coalesce(f.path, m.path) AS path, CASE WHEN m.path IS NULL THEN 'new' WHEN f.path IS NULL THEN 'removed' WHEN f.s = m.s THEN 'unchanged' ELSE 'changed' END AS state
- FROM (SELECT doc_id AS path, sha256(text) AS s FROM documents WHERE doc_id % 7 <> 0) f
- FULL JOIN (SELECT doc_id AS path, sha256(CASE WHEN doc_id % 5 = 0 THEN text || '!' ELSE text END) AS s FROM documents WHERE doc_id % 3 <> 0) m ON f.path = m.path""")
+ FROM (SELECT doc_id AS path, sha256(text) AS s FROM documents) f
+ FULL JOIN (SELECT l.doc_id AS path, sha256(CASE WHEN quality = 0 THEN text || '!' ELSE text END) AS s FROM labels l JOIN documents d ON l.doc_id = d.doc_id
+ UNION ALL SELECT -1 - item_id, sha256(text) FROM benchmark) m ON f.path = m.path""")
 def manifest_classified(spark, sf_dir):
-    d = read(spark, sf_dir, "documents")
-    files = d.where("doc_id % 7 <> 0").select(F.col("doc_id").alias("path"), F.sha2("text", 256).alias("sha256"))
-    old = F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
-    return corpus.manifest_diff(files, d.where("doc_id % 3 <> 0").select(F.col("doc_id").alias("path"), F.sha2(old, 256).alias("sha256")))
+    """Documents against what was known of them: the labelled ones, those of low quality with another text, and passages that are no documents."""
+    d, labels, benchmark = (read(spark, sf_dir, n) for n in ("documents", "labels", "benchmark"))
+    path = F.col("doc_id").alias("path")
+    old = F.when(F.col("quality") == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    known = d.join(labels.select("doc_id", "quality"), "doc_id").select(path, F.sha2(old, 256).alias("sha256"))
+    gone = benchmark.select((-1 - F.col("item_id")).alias("path"), F.sha2("text", 256).alias("sha256"))
+    return corpus.manifest_diff(d.select(path, F.sha2("text", 256).alias("sha256")), known.unionByName(gone))
 
 
 @query("""SELECT vec_id, CAST(round(CAST(list_sum(list_transform(list_zip(embedding, q), lambda z: CAST(z[1] AS DOUBLE) * CAST(z[2] AS DOUBLE)))
@@ -345,7 +354,7 @@ def manifest_classified(spark, sf_dir):
  FROM embeddings, (SELECT embedding AS q FROM embeddings WHERE vec_id = 0) ORDER BY 2 DESC, 1 LIMIT 10""")
 def embedding_topk(spark, sf_dir):
     v = read(spark, sf_dir, "embeddings")
-    return corpus.nearest(v, v.where("vec_id = 0").first()["embedding"], 10)
+    return corpus.nearest(v, v.where("vec_id = 0").select("embedding").scalar(), 10)
 
 
 @query("""SELECT event_id, CASE WHEN value >= prev THEN value - prev WHEN prev IS NOT NULL THEN value END AS increase
@@ -369,10 +378,9 @@ def left_join_counts(spark, sf_dir):
     return part.join(lines, part.p_partkey == lines.l_partkey, "left").select("p_partkey", F.coalesce("lines", F.lit(0)).cast("bigint").alias("lines"))
 
 
-@query("""SELECT s.s_suppkey, c.c_custkey FROM (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0) s
- FULL JOIN (SELECT c_custkey FROM customer WHERE c_custkey <= 100) c ON s.s_suppkey = c.c_custkey""")
+@query("SELECT s_suppkey, c_custkey FROM supplier FULL JOIN customer ON s_suppkey = c_custkey")
 def full_join_keys(spark, sf_dir):
-    s, c = read(spark, sf_dir, "supplier").where("s_suppkey % 2 = 0"), read(spark, sf_dir, "customer").where("c_custkey <= 100")
+    s, c = read(spark, sf_dir, "supplier"), read(spark, sf_dir, "customer")
     return s.select("s_suppkey").join(c.select("c_custkey"), s.s_suppkey == c.c_custkey, "full")
 
 
@@ -412,13 +420,12 @@ def set_operations(spark, sf_dir):
 @query("""SELECT o_orderkey, rank() OVER w AS rank, dense_rank() OVER w AS dense, ntile(4) OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS quarter,
  first_value(o_orderkey) OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS best FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderdate)""")
 def ranking_windows(spark, sf_dir):
-    by_date = Window.partitionBy("o_orderstatus").orderBy("o_orderdate")
-    by_price = Window.partitionBy("o_orderstatus").orderBy(F.desc("o_totalprice"), "o_orderkey")
-    o = read(spark, sf_dir, "orders")
-    return o.select(
-        "o_orderkey", F.rank().over(by_date).cast("bigint").alias("rank"), F.dense_rank().over(by_date).cast("bigint").alias("dense"),
-        F.ntile(4).over(by_price).cast("bigint").alias("quarter"), F.first("o_orderkey").over(by_price).alias("best"),
-    )
+    """Ranks inside three large groups, whose rows stay in many tasks."""
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    by_date = ranking.value_ranks(o, "o_orderstatus", "o_orderdate")
+    best = o.groupBy("o_orderstatus").agg(F.min_by("o_orderkey", F.struct(-F.col("o_totalprice"), "o_orderkey")).alias("best"))
+    placed = ranking.places(o, "o_orderstatus", "o_totalprice", "o_orderkey", descending=True)
+    return placed.join(by_date, ["o_orderstatus", "o_orderdate"]).join(best, "o_orderstatus").select("o_orderkey", "rank", "dense", ranking.tile(4).cast("bigint").alias("quarter"), "best")
 
 
 @query(f"SELECT brand, {mean_sql('price_usd', 2)} AS avg_price_usd FROM {CARS} GROUP BY 1")
@@ -441,13 +448,197 @@ def old_models_by_warehouse(spark, sf_dir):
 @query("""SELECT city, stock_status, count(*) AS cars FROM (SELECT CASE (g - 1) % 3 WHEN 0 THEN 'Tokyo' WHEN 1 THEN 'Moscow' ELSE 'Minsk' END AS city,
  CASE WHEN g % 19 = 0 THEN 'maintenance' WHEN g % 7 = 0 THEN 'reserved' ELSE 'available' END AS stock_status FROM range(1, 3001) t(g)) GROUP BY 1, 2""")
 def generated_inventory(spark, sf_dir):
-    from ledgerline.sources.generators import car_inventory
-
-    return car_inventory(spark).groupBy("city", "stock_status").agg(F.count("*").alias("cars"))
+    return generators.car_inventory(spark).groupBy("city", "stock_status").agg(F.count("*").alias("cars"))
 
 
 @query("SELECT strftime(TIMESTAMP '2026-05-21 12:00:00' + to_minutes(CAST(g * 6 AS BIGINT)), '%Y.%m.%d') AS day, count(*) AS documents FROM range(720) t(g) GROUP BY 1")
 def generated_documents(spark, sf_dir):
-    from ledgerline.sources.generators import log_documents
+    return generators.log_documents(spark).groupBy(F.substring("_index", -10, 10).alias("day")).agg(F.count("*").alias("documents"))
+
+
+@query(f"SELECT city, brand, count(*) AS cars, {mean_sql('price_usd', 2)} AS avg_price_usd FROM {CARS} GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 20")
+def load_summary_top20(spark, sf_dir):
+    grouped = inventory(spark, sf_dir).groupBy("city", "brand").agg(F.count("*").alias("cars"), x.exact_mean(F.col("price_usd")).alias("avg_price_usd"))
+    return grouped.orderBy(F.desc("cars"), "city", "brand").limit(20)
+
+
+@query(f"SELECT city, warehouse_name, count(*) AS cars FROM {CARS} WHERE brand = '1-URGENT' GROUP BY 1, 2")
+def brand_by_city_and_warehouse(spark, sf_dir):
+    return inventory(spark, sf_dir).where("brand = '1-URGENT'").groupBy("city", "warehouse_name").agg(F.count("*").alias("cars"))
+
+
+@query(f"SELECT city, stock_status, {mean_sql('price_usd', 2)} AS avg_price_usd FROM {CARS} GROUP BY 1, 2")
+def mean_price_by_city_and_status(spark, sf_dir):
+    return inventory(spark, sf_dir).groupBy("city", "stock_status").agg(x.exact_mean(F.col("price_usd")).alias("avg_price_usd"))
+
+
+@query("""SELECT event_id, user_id, event_type, value, CASE WHEN event_type = 'error' THEN 'true' ELSE 'false' END AS "__deleted" FROM events""")
+def cdc_flatten(spark, sf_dir):
+    """Events as change envelopes with JSON images, flattened again; errors are deletes, whose image is the one before."""
+    e = read(spark, sf_dir, "events")
+    image, gone = F.to_json(F.struct("event_id", "user_id", "event_type", "value")), F.col("event_type") == "error"
+    envelopes = e.select(F.when(gone, "d").otherwise("c").alias("op"), F.when(gone, image).alias("before"), F.when(~gone, image).alias("after"), F.unix_micros(F.col("ts").cast("timestamp")).alias("lsn"))
+    schema = table_from_source([("event_id", "bigint", False), ("user_id", "bigint", False), ("event_type", "text", False), ("value", "double precision", False)])
+    return changes.flat_rows(envelopes, schema).drop("__order")
+
+
+@query("""SELECT event_id, user_id, event_type FROM events""")
+def cdc_flatten_documents(spark, sf_dir):
+    """The same for documents: images are JSON texts with typed values."""
+    document = F.format_string('{"event_id":{"$numberLong":"%d"},"user_id":{"$numberLong":"%d"},"event_type":"%s"}', "event_id", "user_id", "event_type")
+    quoted = F.concat(F.lit('"'), F.replace(document, F.lit('"'), F.lit('\\"')), F.lit('"'))
+    envelopes = read(spark, sf_dir, "events").select(F.lit("c").alias("op"), F.lit(None).cast("string").alias("before"), quoted.alias("after"), F.lit(0).alias("lsn"))
+    schema = table_from_source([("event_id", "bigint", False), ("user_id", "bigint", False), ("event_type", "text", False)])
+    return changes.document_rows(envelopes, schema).select("event_id", "user_id", "event_type")
+
+
+@query("""SELECT event_type AS metric_name, '{"__name__":' || to_json(event_type) || ',"k":' || to_json(json_extract_string(props, '$.k')) || '}' AS labels_json,
+ date_trunc('millisecond', ts) AS sample_time, value FROM events""")
+def remote_write_rows(spark, sf_dir):
+    """Events encoded as compressed write requests, one for each series and hour, and decoded again."""
+    e = read(spark, sf_dir, "events")
+    labels = F.create_map(F.lit("__name__"), F.col("event_type"), F.lit("k"), F.get_json_object("props", "$.k"))
+    point = F.struct(F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"), "value")
+    grouped = e.groupBy("event_type", F.get_json_object("props", "$.k").alias("k"), x.hour(F.col("ts"))).agg(F.any_value(labels).alias("labels"), F.collect_list(point).alias("samples"))
+    rows = metrics.sample_rows(metrics.pushed_series(metrics.write_payloads(grouped)))
+    return ntz(rows.select("metric_name", "labels_json", "sample_time", "value"), "sample_time")
+
+
+@query("""SELECT event_type AS metric_name, '{"__name__":' || to_json(event_type) || ',"k":' || to_json(json_extract_string(props, '$.k')) || ',"note":"a\\\\b\\"c\\nd"}' AS labels_json,
+ date_trunc('second', ts) AS sample_time, value FROM events""")
+def exposition_text(spark, sf_dir):
+    """Events as lines of exposition text, with what must be escaped in a label, and read again."""
+    e = read(spark, sf_dir, "events")
+    labels = F.create_map(F.lit("k"), F.get_json_object("props", "$.k"), F.lit("note"), F.lit('a\\b"c\nd'), F.lit("none"), F.lit(""))
+    lines = metrics.exposition_lines(e.select(F.col("event_type").alias("metric_name"), labels.alias("labels"), "value", F.col("ts").alias("sample_time")))
+    return ntz(metrics.exposition_rows(lines).select("metric_name", "labels_json", "sample_time", "value"), "sample_time")
+
+
+@query("""SELECT 'events-' || strftime(ts, '%Y.%m.%d') AS index_name, CAST(event_id AS VARCHAR) AS document_id, date_trunc('second', ts) AS event_time, props AS document_json FROM events""")
+def bulk_documents(spark, sf_dir):
+    """Events written as a bulk file, actions in three spellings, and read again."""
+    e = read(spark, sf_dir, "events")
+    start = F.get(F.array(*(F.lit(a) for a in ('{"index":{', '{ "create" : {', '{ "index": { '))), (F.col("event_id") % 3).cast("int"))
+    action = F.concat(start, F.format_string('"_index":"events-%s","_id":"%d"}}', F.date_format("ts", "yyyy.MM.dd"), "event_id"))
+    document = F.concat(F.lit('{"@timestamp":"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit('","props":'), F.col("props"), F.lit("}"))
+    path = fresh_path(spark, "bulk")
+    e.select(F.concat(action, F.lit("\n"), document).alias("value")).write.text(path)
+    rows = bulk.hit_rows(bulk.bulk_hits(spark, path), "bulk", 1)
+    return ntz(rows.select("index_name", "document_id", "event_time", F.get_json_object("document_json", "$.props").alias("document_json")), "event_time").withColumn(
+        "document_json", F.regexp_replace("document_json", ":", ": ")
+    )
+
+
+@query("""SELECT event_type, user_id, count(*) AS samples, CAST(round(CAST(sum(CAST(increase AS DECIMAL(28,6))) AS DOUBLE), 3) AS DOUBLE) AS gained FROM (
+ SELECT event_type, user_id, CASE WHEN value >= prev THEN value - prev WHEN prev IS NOT NULL THEN value END AS increase
+ FROM (SELECT *, lag(value) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS prev FROM events)) GROUP BY 1, 2""")
+def counter_gain_by_series(spark, sf_dir):
+    grown = series.increases(read(spark, sf_dir, "events"), ["user_id", "event_type"], "ts", "value", ["event_id"])
+    return grown.groupBy("event_type", "user_id").agg(F.count("*").alias("samples"), F.round(x.exact_sum(F.col("increase")), 3).alias("gained"))
+
+
+def scenario_samples(spark: SparkSession, hours: int = 72) -> DataFrame:
+    """The metric scenario as rows of the samples' table."""
+    made = generators.service_metrics(spark, hours)
+    named = F.map_concat("labels", F.create_map(F.lit("__name__"), F.col("metric_name")))
+    return metrics.sample_rows(made.select(named.alias("labels"), F.unix_millis("sample_time").alias("timestamp"), "value"), "backfill")
+
+
+@query("""SELECT name AS metric_name, CAST(n * 4321 AS BIGINT) AS samples FROM (VALUES ('synthetic_service_up', 10), ('synthetic_incident_active', 5), ('synthetic_db_connections', 5),
+ ('synthetic_db_query_duration_seconds_p95', 5), ('synthetic_db_replication_lag_seconds', 5), ('synthetic_db_disk_usage_ratio', 5), ('synthetic_process_restarts_total', 10),
+ ('synthetic_log_events_total', 25), ('synthetic_http_requests_total', 30), ('synthetic_http_request_duration_seconds_p95', 15)) t(name, n)""")
+def metric_families(spark, sf_dir):
+    return scenario_samples(spark).groupBy("metric_name").agg(F.count("*").alias("samples"))
+
+
+@query("""SELECT 'mysql-billing-1:3306' AS instance, 'db-mysql-billing' AS service, turned AS "at", state FROM (VALUES (TIMESTAMP '2026-05-23 13:05:00', 'down'), (TIMESTAMP '2026-05-23 13:29:00', 'up')) t(turned, state)""")
+def targets_down_and_up(spark, sf_dir):
+    return ntz(views.transitions(scenario_samples(spark)), "at")
+
+
+SERVICE_NAMES = ", ".join(f"('{t[2]}')" for t in generators.TARGETS)
+
+
+@query(f"""SELECT service, CAST(round((1440 - CASE WHEN service = 'db-mysql-billing' THEN 24 ELSE 0 END) / 1440.0, 4) AS DOUBLE) AS availability, CAST(1440 AS BIGINT) AS samples FROM (VALUES {SERVICE_NAMES}) t(service)""")
+def availability_by_service(spark, sf_dir):
+    return views.availability(scenario_samples(spark), "24 hours")
+
+
+JITTER = "sin((h + m * 17) * CAST(0.013 AS DOUBLE))"
+
+
+def _hashes(suffix: str, rows: list[tuple]) -> str:
+    """Values of (service, h, ..) for SQL: the 32-bit hash of the service and a suffix, which DuckDB does not have."""
+
+    def text_hash(text: str) -> int:
+        h = 0
+        for c in text:
+            h = (h * 31 + ord(c)) % 2**32
+        return min(h, 2**32 - h)
+
+    return ", ".join(f"('{r[0]}', {text_hash(r[0] + suffix)}, {', '.join(repr(v) for v in r[1:])})" for r in rows)
+
+
+def _minutes(hours: int) -> str:
+    """SQL of the minutes since 1970 (m) and of the day (d) in the last hours of the scenario."""
+    return f"(SELECT m, m % 1440 AS d FROM (SELECT CAST(epoch(TIMESTAMP '2026-05-24 12:00:00') AS BIGINT) // 60 - i AS m FROM range({hours * 60}) t(i)))"
+
+
+DATABASES = [(t[2], {e: v for e, *v in generators.ENGINES}[t[1]]) for t in generators.TARGETS if t[0] == "db"]
+
+
+@query(f"""SELECT service, CAST(round(max(v), 4) AS DOUBLE) AS highest, count(*) AS samples FROM (
+ SELECT service, least(0.98, base + CASE WHEN service = 'db-mongodb-events' AND d BETWEEN 1020 AND 1155 THEN 0.28 ELSE 0 END + (sin((d + 180) / 1440.0 * 2 * pi()) + 1) / 2 * 0.05 + abs({JITTER} * 0.015)) AS v
+ FROM {_minutes(24)} CROSS JOIN (VALUES {_hashes(":disk", [(s, v[2]) for s, v in DATABASES])}) t(service, h, base)) GROUP BY 1""")
+def disk_usage_by_service(spark, sf_dir):
+    found = views.gauge_by(scenario_samples(spark), "synthetic_db_disk_usage_ratio", "service", "24 hours")
+    return found.select("service", F.round("highest", 4).alias("highest"), "samples")
+
+
+@query(f"""SELECT service, CAST(round(max(v), 4) AS DOUBLE) AS highest, count(*) AS samples FROM (
+ SELECT service, CASE WHEN service = 'db-mysql-billing' AND d BETWEEN 785 AND 808 THEN 180 ELSE CASE WHEN service = 'db-postgres-primary' AND d BETWEEN 135 AND 190 THEN 45
+ WHEN service = 'db-mongodb-events' AND d BETWEEN 1020 AND 1155 THEN 18 ELSE 1.5 END + abs({JITTER} * 3) END AS v
+ FROM {_minutes(24)} CROSS JOIN (VALUES {_hashes(":lag", [(s, 0) for s, _ in DATABASES])}) t(service, h, base)) GROUP BY 1""")
+def replication_lag_by_service(spark, sf_dir):
+    found = views.gauge_by(scenario_samples(spark), "synthetic_db_replication_lag_seconds", "service", "24 hours")
+    return found.select("service", F.round("highest", 4).alias("highest"), "samples")
+
+
+@query(f"""SELECT service, CAST(round(max(v), 4) AS DOUBLE) AS highest, count(*) AS samples FROM (
+ SELECT service, CASE WHEN service = 'db-mysql-billing' AND d BETWEEN 785 AND 808 THEN 0 ELSE greatest(0.005, base * CASE WHEN service = 'db-postgres-primary' AND d BETWEEN 135 AND 190 THEN 6
+ WHEN service = 'db-mongodb-events' AND d BETWEEN 1020 AND 1155 THEN 3.8 ELSE 1 END + {JITTER} * 0.008) END AS v
+ FROM {_minutes(24)} CROSS JOIN (VALUES {_hashes(":query", [(s, v[1]) for s, v in DATABASES])}) t(service, h, base)) GROUP BY 1""")
+def query_time_by_service(spark, sf_dir):
+    found = views.gauge_by(scenario_samples(spark), "synthetic_db_query_duration_seconds_p95", "service", "24 hours")
+    return found.select("service", F.round("highest", 4).alias("highest"), "samples")
+
+
+@query(f"""SELECT service, CAST(max(v) AS DOUBLE) AS highest, count(*) AS samples FROM (
+ SELECT service, CASE WHEN service = 'db-mysql-billing' AND d BETWEEN 785 AND 808 THEN 0 ELSE round_even(base + (sin((d - 240) / 1440.0 * 2 * pi()) + 1) / 2 * 26 + {JITTER} * 6, 0) END AS v
+ FROM {_minutes(24)} CROSS JOIN (VALUES {_hashes(":conn", [(s, v[0]) for s, v in DATABASES])}) t(service, h, base)) GROUP BY 1""")
+def connections_by_service(spark, sf_dir):
+    return views.gauge_by(scenario_samples(spark), "synthetic_db_connections", "service", "24 hours").select("service", "highest", "samples")
+
+
+ROUTE_LATENCY = [(f"{s}:{r}", latency, s, 1.2 if r == "/login" else 1.6 if r == "/send" else 1.0) for s, _, latency, _, rs in generators.SERVICES for r in rs]
+
+
+@query(f"""SELECT service, CAST(round(max(v), 4) AS DOUBLE) AS highest, count(*) AS samples FROM (
+ SELECT service, greatest(0.01, base * weight * CASE WHEN service = 'payment-service' AND d BETWEEN 570 AND 625 THEN 8 WHEN service = 'notification-service' AND d BETWEEN 1260 AND 1340 THEN 3.2 ELSE 1 END
+ + {JITTER} * 0.025) AS v FROM {_minutes(24)} CROSS JOIN (VALUES {_hashes(":lat", ROUTE_LATENCY)}) t(name, h, base, service, weight)) GROUP BY 1""")
+def request_latency_by_service(spark, sf_dir):
+    found = views.gauge_by(scenario_samples(spark), "synthetic_http_request_duration_seconds_p95", "service", "24 hours")
+    return found.select("service", F.round("highest", 4).alias("highest"), "samples")
+
 
-    return log_documents(spark).groupBy(F.substring("_index", -10, 10).alias("day")).agg(F.count("*").alias("documents"))
+@query(f"""SELECT service, CAST(round(sum(CASE WHEN v >= p THEN v - p WHEN p IS NOT NULL THEN v END), 0) AS DOUBLE) AS gained, count(*) AS samples FROM (SELECT *, lag(v) OVER (PARTITION BY service, status ORDER BY m) AS p FROM (
+ SELECT service, m, status, greatest(0, m * (greatest(1, base * (0.65 + (sin((d - 360) / 1440.0 * 2 * pi()) + 1) / 2 * 0.7) + {JITTER} * base * 0.04) / 3
+ * CASE WHEN status = 0 THEN 1 - (errors + abs(sin((e + m * 17) * CAST(0.013 AS DOUBLE)) * errors)) ELSE errors + abs(sin((e + m * 17) * CAST(0.013 AS DOUBLE)) * errors) END) + n * CASE WHEN status = 0 THEN 1 ELSE 7 END) AS v
+ FROM {_minutes(1)} CROSS JOIN (SELECT a.service, a.h, a.base, a.errors, a.n, b.h AS e FROM (VALUES {_hashes("", [(s, r, er, len(rs[0])) for s, r, _, er, rs in generators.SERVICES])}) a(service, h, base, errors, n)
+ JOIN (VALUES {_hashes(":err", [(s, 0) for s, *_ in generators.SERVICES])}) b(service, h, z) ON a.service = b.service) CROSS JOIN (VALUES (0), (1)) s(status))) GROUP BY 1""")
+def requests_by_service(spark, sf_dir):
+    """Gain of one route's counters, the first of each service, over the last hour."""
+    first = [rs[0] for *_, rs in generators.SERVICES]
+    samples = scenario_samples(spark).where(F.get_json_object("labels_json", "$.route").isin(first))
+    found = views.counter_by(samples, "synthetic_http_requests_total", "service", "1 hour")
+    return found.select("service", F.round("gained", 0).alias("gained"), "samples")

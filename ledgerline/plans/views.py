@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.expressions import best_effort_time, exact_mean, hour, json_text, latest_value, minute, p95
+from ledgerline.functions.expressions import best_effort_time, exact_mean, exact_sum, hour, json_text, latest_value, minute, p95
+from ledgerline.operators.filters import recent
+from ledgerline.operators.series import changes, increases
 
 
 def event_summary(app_events: DataFrame, time: Column | None = None) -> DataFrame:
@@ -127,10 +129,50 @@ def label_values(samples: DataFrame, metric: str, label: str) -> DataFrame:
     return samples.where(F.col("metric_name") == metric).select(value.alias("label_value")).where("label_value is not null").distinct().orderBy("label_value")
 
 
+#: Fixed value: the job whose target is the exporter of the metrics itself.
+EXPORTER = "synthetic-exporter"
+
+
+def label(name: str) -> Column:
+    return json_text(F.col("labels_json"), f"$.{name}")
+
+
+def services(samples: DataFrame) -> DataFrame:
+    """Samples of the services that are watched: those of the exporter's own target go, as it is up when they are down."""
+    return samples.where((label("job") != EXPORTER) & (label("service") != ""))
+
+
 def availability(samples: DataFrame, span: str = "6 hours") -> DataFrame:
     """Share of up samples by service over the last span of the data; the exporter's own target is no service."""
-    from ledgerline.operators.filters import recent
+    up = recent(services(samples.where(F.col("metric_name") == "synthetic_service_up")), "sample_time", span)
+    return up.groupBy(label("service").alias("service")).agg(exact_mean(F.col("value"), 4).alias("availability"), F.count("*").alias("samples")).orderBy("availability", "service")
+
+
+def gauge_by(samples: DataFrame, metric: str, by: str, span: str = "6 hours") -> DataFrame:
+    """Last, mean and highest value of a gauge by a label over the last span of the data."""
+    kept = recent(samples.where(F.col("metric_name") == metric), "sample_time", span)
+    return (
+        kept.groupBy(label(by).alias(by))
+        .agg(
+            latest_value(F.col("value"), F.col("sample_time"), F.col("fingerprint")).alias("last"),
+            exact_mean(F.col("value"), 6).alias("mean"),
+            F.max("value").alias("highest"),
+            F.count("*").alias("samples"),
+        )
+        .orderBy(by)
+    )
+
+
+def counter_by(samples: DataFrame, metric: str, by: str, span: str = "6 hours") -> DataFrame:
+    """What a counter gained by a label over the last span of the data, resets taken into account."""
+    kept = recent(samples.where(F.col("metric_name") == metric), "sample_time", span)
+    grown = increases(kept.select("fingerprint", "sample_time", "value", label(by).alias(by)), ["fingerprint"])
+    return grown.groupBy(by).agg(F.round(exact_sum(F.col("increase")), 3).alias("gained"), F.count("*").alias("samples")).orderBy(by)
+
 
-    up = recent(samples.where(F.col("metric_name") == "synthetic_service_up"), "sample_time", span)
-    service = json_text(F.col("labels_json"), "$.service")
-    return up.groupBy(service.alias("service")).agg(exact_mean(F.col("value"), 4).alias("availability"), F.count("*").alias("samples")).orderBy("availability", "service")
+def transitions(samples: DataFrame, metric: str = "synthetic_service_up", span: str = "24 hours") -> DataFrame:
+    """When each target went up or down over the last span of the data."""
+    kept = recent(services(samples.where(F.col("metric_name") == metric)), "sample_time", span)
+    moved = changes(kept.select(label("instance").alias("instance"), label("service").alias("service"), "sample_time", "value"), ["instance", "service"])
+    turned = moved.where("before is not null").withColumn("state", F.when(F.col("value") > 0, "up").otherwise("down"))
+    return turned.select("instance", "service", F.col("sample_time").alias("at"), "state").orderBy("at", "instance")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -19,3 +22,23 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
     for key, value in (fixed | {k.replace("__", "."): v for k, v in settings.items()}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder below the one the cluster names in spark.checkpoint.dir.
+
+    Where the setting is absent a temporary folder will do on one machine; on a cluster, whose executors would not see it,
+    that is an error.
+    """
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def fresh_path(spark: SparkSession, kind: str) -> str:
+    """A path below the shared folder that nothing has."""
+    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"

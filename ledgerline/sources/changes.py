@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -48,9 +48,17 @@ def flat_rows(envelopes: DataFrame, schema: StructType, order: str = "lsn") -> D
     return named.where("r is not null").select("r.*", "__deleted", "__order")
 
 
+def plain_json(document: Column) -> Column:
+    """A document's JSON: out of a JSON text if it is in one, and without the wrappers that say a value's type."""
+    inner = F.when(F.ltrim(document).startswith('"'), F.get_json_object(F.concat(F.lit('{"v":'), document, F.lit("}")), "$.v")).otherwise(document)
+    numbers = F.regexp_replace(inner, r'\{\s*"\$number(?:Long|Int|Double|Decimal)"\s*:\s*"?(-?[0-9.eE+-]+)"?\s*\}', "$1")
+    return F.regexp_replace(numbers, r'\{\s*"\$(?:oid|date)"\s*:\s*("(?:[^"\\]|\\.)*"|-?[0-9]+)\s*\}', "$1")
+
+
 def document_rows(envelopes: DataFrame, schema: StructType, order: str = "lsn") -> DataFrame:
-    """The same for documents, whose image is a JSON text inside the envelope's JSON."""
-    return flat_rows(envelopes.withColumn("before", F.coalesce("before", F.get_json_object("after", "$.before"))), schema, order)
+    """The same for documents, whose images are JSON texts inside the envelope's JSON."""
+    before = F.coalesce("before", F.get_json_object("after", "$.before"))
+    return flat_rows(envelopes.withColumns({"before": plain_json(before), "after": plain_json(F.col("after"))}), schema, order)
 
 
 def change_stream(spark: SparkSession, folder: str, schema: StructType | str) -> DataFrame:

@@ -38,16 +38,27 @@ def range_scan(documents: DataFrame, start, end, pattern: str = "*") -> DataFram
 
 
 def bulk_hits(spark: SparkSession, path: str) -> DataFrame:
-    """(_index, _id, _source) of bulk files, in which a line for the action and one for the document alternate.
+    """(_index, _id, _source) of bulk files, in which a line for the action (index or create) and one for the document alternate.
 
-    A pair is split where a document is followed by an action, inside the record reader, so
-    files are split among tasks between pairs and never read whole.
+    Files are split inside the record reader where a document is followed by an action as
+    tools write it, so they are split among tasks and never read whole. Lines that follow in such a record are further pairs,
+    whose actions are spelled otherwise. A line that is no action where one must stand raises.
     """
-    text = spark.read.option("lineSep", '{"index":').text(path).where(F.trim("value") != "")
-    action = F.concat(F.lit('{"index":'), F.substring_index("value", "\n", 1))
-    document = F.regexp_extract("value", r"^[^\n]*\n([^\n]*)", 1)
-    return text.select(
-        F.get_json_object(action, "$.index._index").alias("_index"),
-        F.get_json_object(action, "$.index._id").alias("_id"),
-        document.alias("_source"),
-    ).where("_source <> ''")
+    start = '{"index":'
+    text = spark.read.option("lineSep", start).text(path).where(F.trim("value") != "")
+    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
+    # The reader takes the start of an action away, but for a file that begins with another spelling.
+    first = F.concat(F.lit(start), F.get("__lines", F.lit(0)))
+    lines_of = F.when(F.get_json_object(first, "$.index").isNotNull(), F.concat(F.array(first), F.slice("__lines", 2, F.size("__lines")))).otherwise(F.col("__lines"))
+    pairs = F.transform(F.sequence(F.lit(0), F.floor((F.size("__lines") - 1) / 2).cast("int")), lambda i: F.struct(F.get("__lines", 2 * i).alias("action"), F.get("__lines", 2 * i + 1).alias("document")))
+    spread = text.select(lines.alias("__lines")).select(lines_of.alias("__lines")).select(F.explode(pairs).alias("p")).select("p.*")
+    named = F.coalesce(F.get_json_object("action", "$.index"), F.get_json_object("action", "$.create"))
+    action = F.when(named.isNotNull(), named).otherwise(F.raise_error(F.concat(F.lit("no action: "), F.substring("action", 1, 80))).cast("string"))
+    parted = spread.select(action.alias("action"), F.col("document").alias("_source"))
+    return parted.select(F.get_json_object("action", "$._index").alias("_index"), F.get_json_object("action", "$._id").alias("_id"), "_source").where("_source is not null")
+
+
+def ordered(documents: DataFrame, field: str, *then: str) -> DataFrame:
+    """Documents by a field that some tables do not have: it is null there; nulls come last."""
+    known = documents if field in documents.columns else documents.withColumn(field, F.lit(None).cast("string"))
+    return known.orderBy(F.asc_nulls_last(field), *then)

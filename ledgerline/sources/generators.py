@@ -44,7 +44,17 @@ INCIDENTS = [
     ("postgres_checkpoint_saturation", "db-postgres-primary", "warning", 135, 190),
     ("notification_queue_backlog", "notification-service", "warning", 1260, 1340),
 ]
-REQUESTS = {"api-gateway": 420, "auth-service": 95, "payment-service": 55, "orders-service": 120, "notification-service": 38}
+# Fixed values of the metric scenario: a service's requests a minute, latency in seconds, share of errors and routes.
+SERVICES = [
+    ("api-gateway", 420.0, 0.18, 0.002, ["/api/v1/search", "/api/v1/profile", "/api/v1/checkout"]),
+    ("auth-service", 95.0, 0.11, 0.0015, ["/login", "/refresh", "/oauth/callback"]),
+    ("payment-service", 55.0, 0.28, 0.004, ["/charge", "/refund", "/webhook/provider"]),
+    ("orders-service", 120.0, 0.22, 0.0025, ["/orders", "/orders/{id}", "/cart/checkout"]),
+    ("notification-service", 38.0, 0.35, 0.003, ["/send", "/templates/render", "/delivery-status"]),
+]
+# Fixed values of the metric scenario: an engine's connections, query time in seconds and share of the disk in use.
+ENGINES = [("postgresql", 82.0, 0.045, 0.54), ("mysql", 64.0, 0.035, 0.54), ("mongodb", 48.0, 0.055, 0.62)]
+ENVIRONMENT = "synthetic-prod"
 
 # Fixed values of the log scenario: services with host and paths.
 LOG_SERVICES = [
@@ -110,42 +120,101 @@ def car_inventory(spark: SparkSession, n: int = 3000, batch: str = "demo", end:
     )
 
 
+def counter(per_minute: Column, time: Column, start: Column) -> Column:
+    """A counter's reading: a rate for every minute since 1970 and where it started, never below 0."""
+    return F.greatest(F.lit(0.0), F.floor(F.unix_seconds(time) / 60) * per_minute + start)
+
+
+def scenario(spark: SparkSession, hours: int, end: str) -> DataFrame:
+    """Every target at every minute of the span, with its service's or engine's fixed values and the incident that is on."""
+    last = F.unix_seconds(F.lit(end).cast("timestamp"))
+    times = spark.range(0, hours * 60 + 1).select(F.timestamp_seconds(last - (hours * 60 - F.col("id")) * 60).alias("sample_time"))
+    columns = "kind string, engine string, service string, job string, instance string, team string, tier string"
+    targets = numbered(TARGETS, columns, spark).drop("place")
+    services = numbered(SERVICES, "service string, requests double, latency double, errors double, routes array<string>", spark).drop("place")
+    engines = numbered(ENGINES, "engine string, base_connections double, base_query double, base_disk double", spark).drop("place")
+    planned = spark.createDataFrame([(s, i, v) for i, s, v, _, _ in INCIDENTS], "service string, planned string, severity string")
+    described = targets.join(services, "service", "left").join(engines, "engine", "left").join(planned, "service", "left")
+    spans = numbered([(s, i, a, b) for i, s, _, a, b in INCIDENTS], "service string, incident string, start int, stop int", spark)
+    # Ten targets: every time meets each of them once, from one array.
+    every = described.groupBy().agg(F.collect_list(F.struct(*described.columns)).alias("every"))
+    spread = times.withColumn("every", every.scalar()).select("sample_time", F.explode("every").alias("t")).select("sample_time", "t.*")
+    at = F.hour("sample_time") * 60 + F.minute("sample_time")
+    return first_interval(spread, F.broadcast(spans), "service", at, "start", "stop", "place").drop("place", "start", "stop")
+
+
 def service_metrics(spark: SparkSession, hours: int = 72, end: str = "2026-05-24 12:00:00") -> DataFrame:
-    """(metric_name, labels, sample_time, value) of availability, incidents, request rate and database lag, each minute."""
-    minutes = hours * 60
-    times = spark.range(0, minutes + 1).select((F.lit(end).cast("timestamp") - F.make_dt_interval(mins=(F.lit(minutes) - F.col("id")).cast("int"))).alias("sample_time"))
-    targets = numbered(TARGETS, "kind string, engine string, service string, job string, instance string, team string, tier string", spark)
-    incidents = numbered(INCIDENTS, "incident string, service string, severity string, start int, stop int", spark)
-    # Ten targets: every time meets each of them once, from an array.
-    spread = times.withColumn("t", F.explode(F.array(*(F.struct(*(F.lit(v).cast("string").alias(n) for n, v in zip(targets.columns[1:], row))) for row in TARGETS)))).select("sample_time", "t.*")
-    minute = F.hour("sample_time") * 60 + F.minute("sample_time")
-    state = first_interval(spread, incidents, "service", minute, "start", "stop", "place")
-    wave = lambda phase: (F.sin((minute + phase) / 1440 * 2 * F.pi()) + 1) / 2
-    jitter = lambda name, size: F.sin((text_hash(name) + F.floor(F.unix_seconds("sample_time") / 60) * 17) * 0.013) * size
-    base = F.coalesce(F.get(F.array(*(F.lit(float(v)) for v in REQUESTS.values())), F.array_position(F.array(*map(F.lit, REQUESTS)), F.col("service")).cast("int") - 1), F.lit(15.0))
-    busy = F.when(F.col("incident") == "payment_gateway_degradation", 1.45).otherwise(1.0)
-    down = F.coalesce(F.col("incident") == "mysql_billing_crash_loop", F.lit(False))
-    service = F.col("kind") == "service"
-    values = {
-        "synthetic_service_up": F.when(down, 0.0).otherwise(1.0),
-        "synthetic_incident_active": F.col("incident").isNotNull().cast("double"),
-        "synthetic_http_requests_per_minute": F.when(service, F.greatest(F.lit(1.0), base * (0.65 + wave(-360) * 0.7) * busy + jitter(F.col("service"), base * 0.04))),
-        "synthetic_db_replication_lag_seconds": F.when(
-            ~service,
-            F.when(down, 180.0).otherwise(
-                F.greatest(
-                    F.lit(0.0),
-                    F.when(F.col("incident") == "postgres_checkpoint_saturation", 45.0).when(F.col("incident") == "mongodb_events_disk_pressure", 18.0).otherwise(1.5)
-                    + F.abs(jitter(F.concat("service", F.lit(":lag")), 3.0)),
-                )
-            ),
-        ),
-    }
-    metric = F.explode(F.array(*(F.struct(F.lit(n).alias("metric_name"), v.alias("value")) for n, v in values.items())))
-    labels = F.map_filter(
-        F.create_map(*(x for n in ("job", "instance", "service", "team", "tier", "engine") for x in (F.lit(n), F.col(n)))), lambda _, v: v.isNotNull()
+    """(metric_name, labels, sample_time, value): 115 samples of ten families each minute.
+
+    Availability and incidents of all targets; connections, query time, lag, disk, restarts and log events of databases; requests
+    and latency by route, restarts and log events of services.
+    """
+    time, service, engine = F.col("sample_time"), F.col("service"), F.col("engine")
+    on = lambda name: F.coalesce(F.col("incident") == name, F.lit(False))
+    busy, crashed, full, slow, queue = (on(name) for name, *_ in INCIDENTS)
+    at = F.hour(time) * 60 + F.minute(time)
+    wave = lambda phase: (F.sin((at + phase) / 1440 * 2 * F.pi()) + 1) / 2
+    jitter = lambda name, size: F.sin((text_hash(name) + F.floor(F.unix_seconds(time) / 60) * 17) * 0.013) * size
+    named = lambda what: F.concat(service, F.lit(f":{what}"))
+    length, zero = F.length(service), F.lit(0.0)
+
+    def sample(metric: str, value: Column, **labels: str | Column) -> Column:
+        own = F.create_map(*(x for k, v in labels.items() for x in (F.lit(k), v if isinstance(v, Column) else F.lit(v)))) if labels else F.create_map().cast("map<string,string>")
+        return F.struct(F.lit(metric).alias("metric_name"), own.alias("own"), value.cast("double").alias("value"))
+
+    def log(level: str, event: str | Column, rate: Column, start: int) -> Column:
+        return sample("synthetic_log_events_total", counter(rate, time, length * start), level=level, event=event)
+
+    up = F.when(crashed, zero).otherwise(1.0)
+    query = F.when(crashed, zero).otherwise(
+        F.greatest(F.lit(0.005), F.col("base_query") * F.when(slow, 6.0).when(full, 3.8).otherwise(1.0) + jitter(named("query"), 0.008))
     )
-    return state.select("sample_time", labels.alias("labels"), metric.alias("m")).select("m.metric_name", "labels", "sample_time", "m.value").where("value is not null")
+    lag = F.greatest(zero, F.when(slow, 45.0).when(full, 18.0).otherwise(1.5) + F.abs(jitter(named("lag"), 3.0)))
+    disk = F.col("base_disk") + F.when(full, 0.28).otherwise(0.0) + wave(180) * 0.05 + F.abs(jitter(named("disk"), 0.015))
+    connections = F.rint(F.col("base_connections") + wave(-240) * 26 + jitter(named("conn"), 6.0))
+    of_engine = {"db_engine": engine}
+    database = F.array(
+        sample("synthetic_db_connections", F.when(crashed, zero).otherwise(connections), **of_engine, state="active"),
+        sample("synthetic_db_query_duration_seconds_p95", query, **of_engine),
+        sample("synthetic_db_replication_lag_seconds", F.when(crashed, 180.0).otherwise(lag), **of_engine),
+        sample("synthetic_db_disk_usage_ratio", F.least(F.lit(0.98), disk), **of_engine, mount="/var/lib/data"),
+        sample("synthetic_process_restarts_total", counter(F.when(crashed, 1 / 60).otherwise(0.0), time, length), reason="crash_loop"),
+        log("error", F.when(crashed, "database_unavailable").otherwise("slow_query"), F.when(crashed, 20.0).when(query > 0.2, 3.0).otherwise(0.2), 11),
+        log("info", "healthcheck_ok", F.when(crashed, 0.0).otherwise(12.0), 13),
+    )
+    rate = F.greatest(F.lit(1.0), F.col("requests") * (0.65 + wave(-360) * 0.7) * F.when(busy, 1.45).otherwise(1.0) + jitter(service, F.col("requests") * 0.04))
+    errors = (
+        F.when(busy, 0.18 + F.abs(jitter(service, 0.025)))
+        .when(queue, 0.045 + F.abs(jitter(service, 0.012)))
+        .otherwise(F.greatest(zero, F.col("errors") + F.abs(jitter(named("err"), F.col("errors")))))
+    )
+    each = rate / F.size("routes")
+    requests = lambda r, status, share, salt: sample("synthetic_http_requests_total", counter(each * share, time, F.length(r) * salt), route=r, status_class=status)
+    weight = lambda r: F.when(r == "/checkout", 1.7).when(r == "/login", 1.2).when(r == "/send", 1.6).otherwise(1.0)
+    latency = lambda r: F.greatest(
+        F.lit(0.01), F.col("latency") * weight(r) * F.when(busy, 8.0).when(queue, 3.2).otherwise(1.0) + jitter(F.concat(service, F.lit(":"), r, F.lit(":lat")), 0.025)
+    )
+    by_route = F.transform(
+        "routes",
+        lambda r: F.array(requests(r, "2xx", 1 - errors, 1), requests(r, "5xx", errors, 7), sample("synthetic_http_request_duration_seconds_p95", latency(r), route=r)),
+    )
+    ill = F.col("incident").isNotNull()
+    application = F.array(
+        log("error", F.when(ill, "request_failed").otherwise("handled_exception"), rate * errors, 19),
+        log("warn", F.when(ill, "degraded_dependency").otherwise("retry"), rate * F.when(ill, 0.07).otherwise(0.003), 23),
+        log("info", "request_completed", rate * 0.96, 29),
+        sample(
+            "synthetic_process_restarts_total", counter(F.when(ill, 0.08).otherwise(0.0002), time, length * 31),
+            reason=F.when(ill, "oom_or_probe_failure").otherwise("rolling_deploy"),
+        ),
+    )
+    both = F.array(sample("synthetic_service_up", up, component_kind=F.col("kind")))
+    incident = F.array(sample("synthetic_incident_active", ill.cast("double"), incident=F.col("planned"), severity=F.col("severity")))
+    of_kind = F.when(F.col("kind") == "db", database).otherwise(F.concat(F.flatten(by_route), application))
+    samples = F.concat(both, F.when(F.col("planned").isNotNull(), incident).otherwise(F.slice(incident, 1, 0)), of_kind)
+    common = F.create_map(*(x for n in ("job", "instance", "service", "team", "tier") for x in (F.lit(n), F.col(n))), F.lit("environment"), F.lit(ENVIRONMENT))
+    rows = scenario(spark, hours, end).select("sample_time", common.alias("common"), F.explode(samples).alias("s"))
+    return rows.select("s.metric_name", F.map_concat("common", "s.own").alias("labels"), "sample_time", "s.value")
 
 
 def log_documents(spark: SparkSession, n: int = 720, hours: int = 72, end: str = "2026-05-24 12:00:00", prefix: str = "nginx-logs") -> DataFrame:

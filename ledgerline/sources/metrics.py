@@ -5,10 +5,11 @@ from __future__ import annotations
 import json
 import struct
 from collections.abc import Iterator
+from datetime import UTC, datetime, timedelta
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.expressions import canonical_labels, fingerprint, millis
@@ -96,7 +97,36 @@ def _decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def pushed_series(payloads: DataFrame) -> DataFrame:
     """(labels, timestamp, value) rows of a column ``content`` of compressed write requests, batch or stream."""
-    return payloads.where(F.length("content") <= MOST_BODY).select("content").mapInPandas(_decoded, SERIES)
+    too_large = F.raise_error(F.format_string("a payload has %d bytes, over %d", F.length("content"), F.lit(MOST_BODY))).cast("binary")
+    content = F.when(F.length("content") <= MOST_BODY, F.col("content")).when(F.length("content") > MOST_BODY, too_large)
+    return payloads.select(content.alias("content")).where("content is not null").mapInPandas(_decoded, SERIES)
+
+
+def _number(n: int) -> bytes:
+    out = bytearray()
+    while n > 127:
+        out.append(n & 127 | 128)
+        n >>= 7
+    return bytes([*out, n])
+
+
+def _message(tag: int, body: bytes) -> bytes:
+    return _number(tag << 3 | 2) + _number(len(body)) + body
+
+
+def _encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        bodies = []
+        for labels, samples in zip(batch["labels"], batch["samples"]):
+            pairs = b"".join(_message(1, _message(1, k.encode()) + _message(2, v.encode())) for k, v in sorted(dict(labels).items()))
+            readings = b"".join(_message(2, b"\x09" + struct.pack("<d", s["value"]) + b"\x10" + _number(s["timestamp"] % 2**64)) for s in samples)
+            bodies.append(pa.compress(_message(1, pairs + readings), codec="snappy", asbytes=True))
+        yield pd.DataFrame({"content": bodies})
+
+
+def write_payloads(series: DataFrame) -> DataFrame:
+    """``content``, a compressed write request for each row of (labels, samples array of timestamp and value): what pushed_series() reads."""
+    return series.select("labels", "samples").mapInPandas(_encoded, "content binary")
 
 
 def landed_payloads(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
@@ -121,6 +151,24 @@ def sample_rows(series: DataFrame, ingest_mode: str = "remote_write", source: st
     )
 
 
+#: What a backfill asks for unless told otherwise.
+BACKFILL_QUERY, BACKFILL_STEP = "up", "60s"
+
+
+def backfill_request(body: dict | None = None, now: datetime | None = None) -> dict:
+    """queries, start, end and step of a backfill: by default the last hour, up to now, of one query."""
+    given = body or {}
+    several = given.get("queries")
+    stamp = lambda t: t.strftime("%Y-%m-%dT%H:%M:%SZ")
+    now = now or datetime.now(UTC)
+    return {
+        "queries": several if isinstance(several, list) and several else [given.get("query") or BACKFILL_QUERY],
+        "start": given.get("start") or stamp(now - timedelta(hours=1)),
+        "end": given.get("end") or stamp(now),
+        "step": given.get("step") or BACKFILL_STEP,
+    }
+
+
 RANGE_RESULT = "array<struct<metric:map<string,string>,values:array<array<string>>>>"
 
 
@@ -170,15 +218,29 @@ LINE = r"^([a-zA-Z_:][\w:]*)(?:\{(.*)\})?\s+(\S+)(?:\s+([\d.]+))?\s*$"
 LABEL = r'([a-zA-Z_]\w*)="((?:[^"\\]|\\.)*)"'
 
 
+def _plain(value: Column) -> Column:
+    """A label's value without escapes; a character that is in no text keeps double backslashes apart from the rest."""
+    apart = F.replace(value, F.lit("\\\\"), F.lit("\x00"))
+    for escaped, char in (('\\"', '"'), ("\\n", "\n"), ("\x00", "\\")):
+        apart = F.replace(apart, F.lit(escaped), F.lit(char))
+    return apart
+
+
+def exposition_lines(samples: DataFrame) -> DataFrame:
+    """``value``, a line of exposition text for each row of (metric_name, labels, value, sample_time); empty labels go."""
+    escaped = lambda v: F.replace(F.replace(F.replace(v, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n"))
+    pairs = F.transform(
+        F.filter(F.array_sort(F.map_entries("labels")), lambda e: F.length(e["value"]) > 0), lambda e: F.concat(e["key"], F.lit('="'), escaped(e["value"]), F.lit('"'))
+    )
+    return samples.select(F.format_string("%s{%s} %s %d", "metric_name", F.array_join(pairs, ","), F.col("value").cast("string"), F.unix_seconds(F.col("sample_time").cast("timestamp"))).alias("value"))
+
+
 def exposition_rows(lines: DataFrame, ingest_mode: str = "backfill") -> DataFrame:
     """Rows of prometheus_samples from exposition text (column ``value``); comments and lines that do not parse go."""
     v = F.col("value")
     name = F.regexp_extract(v, LINE, 1)
     names = F.regexp_extract_all(F.regexp_extract(v, LINE, 2), F.lit(LABEL), F.lit(1))
-    values = F.transform(
-        F.regexp_extract_all(F.regexp_extract(v, LINE, 2), F.lit(LABEL), F.lit(2)),
-        lambda x: F.regexp_replace(F.regexp_replace(x, r'\\"', '"'), r"\\\\", r"\\"),
-    )
+    values = F.transform(F.regexp_extract_all(F.regexp_extract(v, LINE, 2), F.lit(LABEL), F.lit(2)), _plain)
     seconds = F.regexp_extract(v, LINE, 4).try_cast("double")
     parsed = lines.where(~v.startswith("#") & (name != "")).select(
         F.map_concat(F.create_map(F.lit("__name__"), name), F.map_from_arrays(names, values)).alias("labels"),

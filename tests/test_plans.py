@@ -311,3 +311,50 @@ def test_queries_match_sql(spark, name):
     assert columns == sorted(theirs.columns)
     plain = lambda rows: sorted(tuple("" if v is None else repr(v) for v in r) for r in rows)
     assert plain(mine.select(*columns).collect()) == plain(theirs.project(", ".join(f'"{c}"' for c in columns)).fetchall())
+
+
+def test_ranks_in_buckets_against_windows(spark):
+    from pyspark.sql import Window
+
+    from ledgerline.operators import ranking
+
+    df = spark.range(500).select("id", (F.col("id") % 3).alias("g"), F.round(F.rand(1) * 40, 1).alias("v")).unionByName(spark.createDataFrame([(900, 7, 1.0), (901, 8, 2.0), (902, 8, 2.0)], "id long, g long, v double"))
+    w = Window.partitionBy("g").orderBy("v", "id")
+    want = df.select("id", F.row_number().over(w).alias("place"), F.ntile(4).over(w).alias("t"))
+    got = ranking.places(df, "g", "v", "id", buckets=16).select("id", F.col("place").cast("int"), ranking.tile(4).cast("int").alias("t"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    for q in (0.0, 0.5, 0.95, 1.0):
+        exact = {r.g: r.p for r in df.groupBy("g").agg(F.percentile("v", q).cast("decimal(38,6)").cast("double").alias("p")).collect()}
+        assert {r.g: r.p for r in ranking.group_quantile(df, "g", "v", q, "p", 16).collect()} == exact
+    d = Window.partitionBy("g").orderBy("v")
+    ranks = {(r.g, r.v, r["rank"], r.dense) for r in ranking.value_ranks(df, "g", "v").collect()}
+    assert ranks == {tuple(r) for r in df.select("g", "v", F.rank().over(d), F.dense_rank().over(d)).collect()}
+
+
+def test_trace(spark, tmp_path):
+    from ledgerline.plans import trace
+
+    t = trace.Trace(spark, str(tmp_path / "trace"))
+    assert t.call("double", lambda n: 2 * n, n=4) == 8
+
+    def fails(source_code):
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        t.call("fails", fails, source_code="x" * 1000)
+    rows = {r.name: r for r in spark.read.parquet(str(tmp_path / "trace")).collect()}
+    assert rows["double"].output == "8" and rows["fails"].level == "ERROR" and '"chars": 1000' in rows["fails"].input
+    assert trace.shortened("x" * 9000) == {"truncated": True, "chars": 9002, "preview": '"' + "x" * 7999}
+    (tmp_path / "file").write_text("")
+    assert trace.Trace(spark, str(tmp_path / "file" / "below")).call("f", lambda: 1) == 1
+
+
+def test_usage_and_levels(spark):
+    from ledgerline.functions import expressions as x
+
+    df = spark.createDataFrame([('{"usage":{"prompt_tokens":3,"completion_tokens":4,"total_tokens":7}}',), ('{"id":1}',), ("broken",)], "b string")
+    assert [r[0] and tuple(r[0]) for r in df.select(x.usage(F.col("b"))).collect()] == [(3, 4, 7, "TOKENS"), None, None]
+    steps = [(None, "green"), (0.5, "yellow"), (0.9, "red")]
+    assert [r[0] for r in spark.createDataFrame([(0.1,), (0.5,), (2.0,)], "v double").select(x.level(F.col("v"), steps)).collect()] == ["green", "yellow", "red"]
+    with pytest.raises(ValueError):
+        panels.rows_of(spark.range(11), most=10)

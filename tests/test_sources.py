@@ -169,3 +169,42 @@ def test_golden_counts_of_generators(spark):
     m = generators.service_metrics(spark, 72)
     assert m.select("sample_time").distinct().count() == 4321
     assert m.where("metric_name = 'synthetic_service_up' and value = 0").count() == 3 * 24
+
+
+def test_a_minute_of_the_metric_scenario(spark):
+    m = generators.service_metrics(spark, 0, "2026-05-24 13:10:00")
+    rows = {(r.metric_name, r.labels["service"], r.labels.get("route"), r.labels.get("status_class"), r.labels.get("level")): r for r in m.collect()}
+    assert m.count() == 115 and len({r.metric_name for r in rows.values()}) == 10 and {r.labels["environment"] for r in rows.values()} == {"synthetic-prod"}
+    down = rows["synthetic_log_events_total", "db-mysql-billing", None, None, "error"]
+    assert down.labels["event"] == "database_unavailable" and rows["synthetic_db_replication_lag_seconds", "db-mysql-billing", None, None, None].value == 180
+    assert rows["synthetic_incident_active", "db-mysql-billing", None, None, None].labels["severity"] == "critical"
+
+
+def test_settings_of_a_backfill():
+    import datetime
+
+    now = datetime.datetime(2024, 1, 1, 12, tzinfo=datetime.UTC)
+    assert metrics.backfill_request({}, now) == {"queries": ["up"], "start": "2024-01-01T11:00:00Z", "end": "2024-01-01T12:00:00Z", "step": "60s"}
+    assert metrics.backfill_request({"queries": ["a", "b"], "query": "c", "step": "5s"}, now)["queries"] == ["a", "b"]
+    assert metrics.backfill_request({"queries": [], "query": "c"}, now)["queries"] == ["c"]
+
+
+def test_payloads_over_the_limit_raise(spark, monkeypatch):
+    monkeypatch.setattr(metrics, "MOST_BODY", 10)
+    with pytest.raises(PySparkException):
+        metrics.pushed_series(spark.createDataFrame([(bytearray(20),)], "content binary")).collect()
+
+
+def test_bulk_actions_in_other_spellings(spark, tmp_path):
+    (tmp_path / "a.ndjson").write_text('{ "create": {"_index":"i","_id":"1"}}\n{"v":1}\n{"index":{"_index":"i","_id":"2"}}\n{"v":2}\n{"index" : {"_index":"i","_id":"3"}}\r\n{"v":3}\r\n')
+    assert sorted(map(tuple, documents.bulk_hits(spark, str(tmp_path)).collect())) == [("i", "1", '{"v":1}'), ("i", "2", '{"v":2}'), ("i", "3", '{"v":3}')]
+    (tmp_path / "b.ndjson").write_text('{"index":{"_index":"i","_id":"4"}}\n{"v":4}\n{"v":5}\n{"v":6}\n')
+    with pytest.raises(PySparkException):
+        documents.bulk_hits(spark, str(tmp_path)).collect()
+    assert documents.ordered(spark.createDataFrame([(2,), (1,)], "n int"), "none", "n").first().n == 1
+
+
+def test_typed_values_of_documents(spark):
+    rows = [('{"id":{"$oid":"ab"},"n":{"$numberLong":"5"},"t":{"$date":17}}',), (json.dumps('{"id":"c","n":6,"t":{"$date":"2024"}}'),)]
+    got = spark.createDataFrame(rows, "d string").select(changes.plain_json(F.col("d"))).collect()
+    assert [json.loads(r[0]) for r in got] == [{"id": "ab", "n": 5, "t": 17}, {"id": "c", "n": 6, "t": "2024"}]
