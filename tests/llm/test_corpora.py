@@ -1,6 +1,7 @@
 """Pages, URLs, mixing, near duplicates and the pipeline: against brute force."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -19,10 +20,55 @@ def test_blocks_of_a_page():
     <div class="ad">buy</div><article><header><h1>Title &amp; &#233;</h1></header><p>One   two<br>three<p>Four <b>five</b>
     <div class='share-bar'>share</div><form><input><label>x</label></form><!-- no --><ul><li>six<li>seven</ul>
     <section class="comments"><p>nice</p></section></article><aside>side</aside><footer>foot</footer></body></html>"""
-    assert [t for t, _ in html_extraction.blocks(page)] == ["Title & é", "One two three", "Four five", "six", "seven"]
-    assert html_extraction.blocks("") == [] and [t for t, _ in html_extraction.blocks("plain <b>text</b> < 3")] == ["plain text < 3"]
-    deep = "<div>" * 5000 + "x" + "</div>" * 5000
-    assert [t for t, _ in html_extraction.blocks(deep)] == ["x"]
+    assert shown(page) == ["Title & é", "One two three", "Four five", "six", "seven"]
+    assert shown("") == [] and shown("plain <b>text</b> < 3") == ["plain text < 3"]
+    assert shown("<div>" * 5000 + "x" + "</div>" * 5000) == ["x"]
+    assert shown("a<p>b</i></b><!-- <p>c --> d<p title='>'>e<p title=\"f>g") == ["a", "b d", "e", "g"] and shown("<p>x<script>y") == ["x"]
+
+
+def shown(page):
+    return [t for t in html_extraction.parse(page).texts if t]
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<p>x</b>" * 60_000, "<div>" * 60_000 + "x" + "<i>y</i></p>" * 60_000, "<!" * 500_000, "<a title='" * 100_000, "<b>" * 30_000 + "<p>x" * 30_000, "<ul><li>" * 30_000])
+def test_long_odd_pages_take_time_by_their_length(page):
+    start = time.perf_counter()
+    html_extraction.parse(page)
+    assert time.perf_counter() - start < 4
+
+
+def test_templates_without_any_telling_tag_or_name_go(spark):
+    """Menus, notices, a footer and an advert as plain div and p; the article is known only by not recurring."""
+
+    def page(i, host):
+        menu = "<div>" + "".join(f"<div><a href=/{n}>{host} part {n}</a></div>" for n in range(5)) + "</div>"
+        notice = "<div><p>We changed our terms.</p><p>Read them.</p></div>" if i % 2 else ""
+        return f"<body>{menu}<div><p>Title {i} of {host}</p><div><p>One {i}.</p>{notice}<p>Two {i}.</p></div></div><div><div>Write to us</div><div>{host} &copy; 2024</div></div></body>"
+
+    rows = [(h * 1000 + i, f"http://h{h}.example/{i}", page(i, f"h{h}")) for h in range(3) for i in range(30)]
+    got = html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 90 and all(r.text == f"Title {r.page_id % 1000} of h{r.page_id // 1000}\nOne {r.page_id % 1000}.\nTwo {r.page_id % 1000}." for r in got)
+
+
+def test_the_query_against_brute_force_counts_of_subtrees(spark):
+    folder = "/root/testdata/sf0.1"
+    pages = spark.read.parquet(f"{folder}/pages.parquet").collect()
+    parsed = {p.page_id: html_extraction.parse(p.html or "") for p in pages}
+    main = {i: "\n".join(t for t in p.texts if t) for i, p in parsed.items()}
+    seen, texts, drop = defaultdict(set), defaultdict(set), defaultdict(set)
+    for p in pages:
+        h = brute_parts(p.url)[0]
+        texts[h].add(main[p.page_id])
+        for d in {*parsed[p.page_id].owns, *(t[0] for t in parsed[p.page_id].trees)}:
+            seen[h, d].add(main[p.page_id])
+    for (h, d), on in seen.items():
+        if len(on) >= 20 and (d % 2 == 0 or len(on) >= 0.5 * len(texts[h])) or d % 2 == 0 and len(on) >= 5 and len(on) >= 0.2 * len(texts[h]):
+            drop[h].add(d)
+    got = {r.page_id: r.text for r in html_extraction.op1_html_extraction(spark, folder).collect()}
+    for p in pages:
+        one, gone = parsed[p.page_id], drop[brute_parts(p.url)[0]]
+        left = [t for i, t in enumerate(one.texts) if t and one.owns[i] not in gone and not any(a <= i < b for d, a, b in one.trees if d in gone)]
+        assert got[p.page_id] == "\n".join(left)
 
 
 def test_templates_go_and_articles_stay(spark):
@@ -52,19 +98,20 @@ def test_recurring_blocks_without_a_container_go(spark):
 
 
 def test_templates_of_a_section_of_a_large_host_go(spark):
-    part = lambda i: "<div class=lead>All about sports</div><p>See also the tables.</p>" if i % 10 == 0 else ""
+    part = lambda i: "<div class=lead>All about sports</div><p>Yes.</p>" if i % 10 == 0 else ""
     rows = [(i, f"http://a.example/{i}", f"<article><p>Story {i}</p>{part(i)}</article>") for i in range(300)]
     rows += [(1000 + i, f"http://b.example/{i}", f"<article><p>Story {i}</p>{part(i)}</article>") for i in range(100)]
     text = {r.page_id: r.text for r in html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert all(text[i] == f"Story {i}" for i in range(300))  # on 30 pages, a tenth of the host's
-    assert text[1010] == "Story 10\nAll about sports\nSee also the tables."  # on ten pages
+    # On 30 pages, a tenth of the host's: the container goes, the paragraph may be each article's own.
+    assert all(text[i] == (f"Story {i}" if i % 10 else f"Story {i}\nYes.") for i in range(300))
+    assert text[1010] == "Story 10\nAll about sports\nYes."  # on ten pages
 
 
 def test_extraction_against_the_blocks_of_each_page(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     html = {r.page_id: r.html for r in pages.collect()}
     for r in html_extraction.op1_html_extraction(spark, DATA).collect():
-        own = [t for t, _ in html_extraction.blocks(html[r.page_id] or "")]
+        own = shown(html[r.page_id] or "")
         assert set(r.text.split("\n")) <= {*own, ""} and (r.text or not own)
 
 
