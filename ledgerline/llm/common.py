@@ -7,12 +7,11 @@ clash with columns of a caller's table.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import fresh_path, shared_folder
+
 WHITE = r"[\x20\x09-\x0D]"
 NOT_WHITE = r"[^\x20\x09-\x0D]"
 
@@ -42,26 +41,14 @@ def shingles(word_array: Column, k: int = 5) -> Column:
     return F.slice(runs, 1, F.when(n < k, F.least(n, F.lit(1))).otherwise(n - (k - 1)))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """This application's folder below the one the cluster names in spark.checkpoint.dir.
-
-    A temporary folder is set only where the setting is absent (tests on one machine).
-    """
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
-    return context._jsc.sc().getCheckpointDir().get()
-
-
 def stash(df: DataFrame) -> DataFrame:
     """Writes a table to the shared folder as Parquet and reads it again.
 
     For what is used more than once and is costly to compute: an executor that is
     lost takes nothing with it.
     """
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = fresh_path(df.sparkSession, "table")
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

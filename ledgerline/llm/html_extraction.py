@@ -229,11 +229,18 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "texts": pa.array([p.texts for p in pages], pa.list_(pa.string())),
             "owns": pa.array([p.owns for p in pages], pa.list_(pa.int64())),
             "trees": pa.array([[dict(zip(("digest", "first", "end"), t)) for t in p.trees] for p in pages], tree),
+            "live": pa.array([live(p) for p in pages], pa.list_(pa.int64())),
         }
         kept = {n: batch.column(n) for n in ("page_id", "url", "host")}
         yield pa.RecordBatch.from_pydict(kept | made)
 
 
+def live(page: Page) -> list[int]:
+    """Digests of the subtrees that hold a block with a text: if none of them is a template, the page is as the check leaves it."""
+    texts = [0, *accumulate(t is not None for t in page.texts)]
+    return [own for own, t in zip(page.owns, page.texts) if t is not None] + [d for d, first, end in page.trees if texts[end] > texts[first]]
+
+
 def kept_blocks(texts: list[str | None], owns: list[int], trees: list[dict], templates: set[int]) -> list[str]:
     """The blocks that are in no template and that no rule marks."""
     change = [0] * (len(texts) + 1)
@@ -280,12 +287,12 @@ def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2, ma
     """
     named = pages.select("page_id", "url", F.xxhash64(host(F.col("url"))).alias("host"), "html")
     parsed = stash(
-        named.mapInArrow(_parsed, f"page_id long, url string, host long, main long, texts array<string>, owns array<bigint>, trees {TREES}")
+        named.mapInArrow(_parsed, f"page_id long, url string, host long, main long, texts array<string>, owns array<bigint>, trees {TREES}, live array<bigint>")
     )
-    templates = templates_of(parsed, least_pages, least_share, many_pages, leaf_share)
+    templates = stash(templates_of(parsed, least_pages, least_share, many_pages, leaf_share))
+    # Only pages from which a template takes a text need to know which; their texts alone may have to move.
     hit = (
-        parsed.select("host", "main", F.explode(F.array_distinct(F.concat("owns", "trees.digest"))).alias("digest"))
-        .distinct()
+        parsed.select("host", "main", F.explode(F.array_distinct("live")).alias("digest"))
         .join(templates, ["host", "digest"])
         .groupBy("host", "main")
         .agg(F.collect_set("digest").alias("drop"))  # at most the elements of one page
