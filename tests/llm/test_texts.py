@@ -98,17 +98,75 @@ def brute_fingerprint(text, gram=5, window=8):
     return [min(range(i, min(i + window, len(text))), key=lambda j: (text[j], -j)) for i in range(max(1, len(text) - window + 1))] if text else []
 
 
+def brute_grams(text, gram=5):
+    """High bits of each gram's hash, by Spark's hashes of the polynomial values; words' hashes come from the caller."""
+    n = len(text)
+    runs = [text[i : i + gram] for i in range(max(n - gram + 1, min(n, 1)))]
+    out = []
+    for run in runs:
+        value = run[0]
+        for w in run[1:]:
+            value = (value * fingerprints.BASE + w) % fingerprints.PRIME
+        out.append(value)
+    return out
+
+
 def test_fingerprints(spark):
     docs = rows(spark, ODD).unionByName(texts_of(spark))
-    made = fingerprints.with_fingerprint(docs.withColumn("__words", fingerprints.words(F.col("text"))), "text", "print")
-    made = made.withColumn("grams", fingerprints.shingles(F.col("__words"))).withColumn("shown", fingerprints.written("print"))
-    for r in made.select("grams", "shown").collect():
+    made = fingerprints.with_fingerprint(docs.withColumn("w", fingerprints.hashed_words(F.col("text"))), "text", "print")
+    made = made.withColumn("grams", fingerprints.rolled(F.col("w"))).withColumn("shown", fingerprints.written("print"))
+    found = made.select("w", "grams", "shown").collect()
+    values = sorted({g for r in found for g in brute_grams(r.w)})
+    mixed = dict(spark.createDataFrame([(v,) for v in values], "v long").select("v", F.xxhash64("v")).collect())
+    for r in found:
+        assert r.grams == [mixed[v] for v in brute_grams(r.w)]
         high = [(g >> 28) for g in r.grams]
         places = list(dict.fromkeys(brute_fingerprint(high)))
         assert [int(x.split(":")[0]) for x in r.shown.split(",") if x] == places
         assert [int(x.split(":")[1], 16) for x in r.shown.split(",") if x] == [high[p] % 2**36 for p in places]
 
 
+def shown_hashes(fingerprint):
+    return {x.split(":")[1] for x in fingerprint.split(",") if x}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_likenesses_against_brute_force(spark):
+    """near_edited and near_next from the sets of hashes; a far id, repeated ids and rows, and null ids and texts are in the table."""
+    rng = random.Random(9)
+    text = lambda: " ".join(f"w{rng.randint(0, 40)}" for _ in range(rng.randint(0, 60)))
+    made = [(i, text()) for i in range(0, 400, 3)] + [(10**15, text()), (None, text()), (None, None), (5, None), (7, "one"), (7, "one"), (7, text()), (-(2**63), "low")]
+    docs = spark.createDataFrame(made, "doc_id long, text string").withColumns({"__b": F.lit("clash"), "__key": F.lit(1), "print": F.lit(2)})
+    hashes = {t: h for t, h in docs.select(F.coalesce("text", F.lit("")).alias("t"), F.xxhash64(F.coalesce("text", F.lit("")))).collect()}
+    order = sorted(((i, t or "") for i, t in made), key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]], r[1]))
+    got = fingerprints.compare(docs).collect()
+    print_of = {}
+    for r in got:
+        print_of.setdefault((r.doc_id, r.n_chars), []).append(r)
+    assert len(got) == len(made)
+    own = dict(fingerprints.with_fingerprint(spark.createDataFrame([(t,) for t in hashes], "t string"), "t", "p").select("t", fingerprints.written("p")).collect())
+    want = []
+    for at, (i, t) in enumerate(order):
+        after = order[(at + 1) % len(order)][1]
+        edited = t[: len(t) - len(t) // 3] + after[: len(t) // 3]
+        want.append((i, t, after, edited))
+    prints = dict(fingerprints.with_fingerprint(spark.createDataFrame(list({(w[3],) for w in want}), "t string"), "t", "p").select("t", fingerprints.written("p")).collect())
+    expected = Counter((i, len(t), own[t], prints[e], round(jaccard(shown_hashes(own[t]), shown_hashes(prints[e])), 9), round(jaccard(shown_hashes(own[t]), shown_hashes(own[a])), 9)) for i, t, a, e in want)
+    assert Counter((r.doc_id, r.n_chars, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in got) == expected
+    assert fingerprints.compare(docs.limit(0)).count() == 0
+
+
+def test_buckets_are_even_whatever_the_ids(spark):
+    even = spark.range(6400).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    for docs in (even.unionByName(spark.createDataFrame([(10**15, "far")], even.schema)), even.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, 5).otherwise(F.col("doc_id")))):
+        sizes = [r["count"] for r in fingerprints.neighbourhoods(docs).where("not __guest").groupBy("__b").count().collect()]
+        assert len(sizes) > 80 and max(sizes) < 200
+        assert fingerprints.neighbourhoods(docs).where("__guest").count() == len(sizes)
+
+
 def test_fingerprint_query(spark, tmp_path):
     texts = [t or "" for t in ODD] + ["same text of a few words here", "same text of a few words here"]
     rows(spark, texts).unionByName(rows(spark, [None]).withColumn("doc_id", F.lit(10**12))).write.parquet(str(tmp_path / "documents.parquet"))
