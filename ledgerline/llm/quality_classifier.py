@@ -1,6 +1,6 @@
 """Quality of documents by hierarchical empirical Bayes.
 
-A logistic classifier over counts of a whole text gives each document's
+A logistic classifier over hashed single words and pairs of words, and over counts of the whole text, gives each document's
 evidence; it is fitted on a bounded sample of labelled rows. Evidence is averaged
 by site and by path below it in grouped aggregation over all documents. A site's
 mean is shrunk towards the global one and a path's towards its site's, the more
@@ -11,15 +11,21 @@ plus what its path adds to the global log-odds.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stash, table
+from ledgerline.llm.common import stash, table, words
 from ledgerline.llm.quality_rules import text_counts
 
 #: Rows that the classifier is fitted on at most, those of smallest hash of doc_id.
 FIT_ROWS = 20_000
+#: Buckets that words and pairs of words are hashed to.
+BUCKETS = 512
 FEATURES = {
     "log_words": "ln(1 + n_words)",
     "few_words": "cast(n_words < 10 as double)",
@@ -56,6 +62,47 @@ def logit(p: Column) -> Column:
     return F.log(bounded / (1 - bounded))
 
 
+def grams(word_array: Column) -> Column:
+    """The bucket of each word and of each pair of neighbours. ``word_array`` must be a column of a table, not an expression."""
+    single = F.transform(word_array, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
+    pairs = F.transform(word_array, lambda w, i: F.pmod(F.xxhash64(w, F.get(word_array, i + 1)), F.lit(BUCKETS)).cast("int"))
+    return F.concat(single, F.slice(pairs, 1, F.greatest(F.size(word_array) - 1, F.lit(0))))
+
+
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's grams as counts by bucket over the root of their number."""
+    for batch in batches:
+        bags = [np.bincount(g.values.to_numpy(), minlength=BUCKETS) / max(len(g.values), 1) ** 0.5 for g in batch.column("__grams")]
+        kept = {n: batch.column(n) for n in batch.schema.names if n != "__grams"}
+        yield pa.RecordBatch.from_pydict(kept | {"bag": pa.array([b.astype(np.float32) for b in bags], pa.list_(pa.float32()))})
+
+
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id, site, path, FEATURES and __grams of every row."""
+    with_words = docs.select("doc_id", "site", "path", "text").withColumn("__words", words(F.col("text")))
+    counted = text_counts(with_words.withColumn("__buckets", grams(F.col("__words"))).drop("__words"))
+    return counted.select("doc_id", "site", "path", *(F.expr(e).cast("double").alias(k) for k, e in FEATURES.items()), F.col("__buckets").alias("__grams"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int) -> np.ndarray:
+    """Weights of FEATURES, of the buckets, and the constant: from at most ``fit_rows`` labelled rows, which come to the driver."""
+    chosen = (
+        labels.where("quality in (0, 1) and doc_id is not null")
+        .select("doc_id", F.col("quality").cast("double").alias("__y"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "__y")
+        .limit(fit_rows)
+    )
+    rows = measured(docs.select("doc_id", "site", "path", "text")).join(F.broadcast(chosen), "doc_id")
+    first = rows.select("doc_id", "__y", *FEATURES, "__grams").orderBy(F.xxhash64("doc_id"), "doc_id", "__y", *FEATURES, F.xxhash64("__grams")).limit(fit_rows)
+    schema = ", ".join(["doc_id bigint", "__y double", *(f"{k} double" for k in FEATURES), "bag array<float>"])
+    found = first.mapInArrow(_bags, schema).toArrow()
+    plain = np.column_stack([found.column(k).to_numpy() for k in FEATURES]).reshape(-1, len(FEATURES))
+    bags = found.column("bag").combine_chunks().flatten().to_numpy().reshape(-1, BUCKETS).astype(float)
+    data, y = np.hstack([plain, bags]), found.column("__y").to_numpy()
+    order = np.lexsort((*data[:, : len(FEATURES)].T, y, found.column("doc_id").to_numpy()))  # the same fit in any order of rows
+    return fit_logistic(data[order], y[order])
+
+
 def _strength(groups: DataFrame, mean: str, prior: Column, n: str) -> float:
     """Documents that a prior is worth, by moments of the group means around it: between 1 and 10,000."""
     inside = F.sum(F.col(n) * F.col(mean) * (1 - F.col(mean)))
@@ -75,23 +122,14 @@ def classify(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, least
     (0 or 1; other values are left out). Null and empty texts have zero counts. Without labels all evidence
     is 0.5 and everything is kept. Rows are never dropped; an empty table stays empty.
     """
-    counted = stash(text_counts(docs.select("doc_id", "site", "path", "text")).drop("text"))
-    wide = counted.select("doc_id", "site", "path", *(F.expr(e).cast("double").alias(k) for k, e in FEATURES.items()))
-    chosen = (
-        labels.where("quality in (0, 1) and doc_id is not null")
-        .select("doc_id", F.col("quality").alias("__y"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "__y")
-        .limit(fit_rows)
-    )
-    fitted = wide.join(chosen, "doc_id").select("doc_id", *FEATURES, "__y").orderBy(F.xxhash64("doc_id"), "doc_id", "__y", *FEATURES)
-    rows = fitted.drop("doc_id").limit(fit_rows).collect()
-    data = np.array([tuple(r) for r in rows], float).reshape(-1, len(FEATURES) + 1)
-    data = data[np.lexsort(data.T)]
-    weights = fit_logistic(data[:, :-1], data[:, -1])
+    weights = fit(docs, labels, fit_rows)
     score = F.lit(float(weights[-1]))
     for name, weight in zip(FEATURES, weights):
         score = score + F.col(name) * float(weight)
-    scored = wide.select("doc_id", "site", "path", score.alias("score"))
+    by_bucket = F.from_json(F.lit(json.dumps(list(map(float, weights[len(FEATURES) : -1])))), "array<double>")
+    of_grams = F.aggregate("__grams", F.lit(0.0), lambda total, b: total + F.get(by_bucket, b))
+    score = score + of_grams / F.sqrt(F.greatest(F.size("__grams"), F.lit(1)))
+    scored = stash(measured(docs).select("doc_id", "site", "path", score.alias("score")))
     scored = scored.withColumn("evidence", 1 / (1 + F.exp(-F.least(F.greatest("score", F.lit(-30.0)), F.lit(30.0)))))
 
     exact = F.sum(F.col("evidence").cast("decimal(20,9)"))  # decimals: the same sum in any order

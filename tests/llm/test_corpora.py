@@ -185,6 +185,41 @@ def test_url_query_against_brute_force(spark):
         assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict == (verdict or r.verdict)
 
 
+def test_url_query_with_aliases_against_brute_force(spark, tmp_path):
+    """Written pages with canonical links and refreshes: components and votes by plain search."""
+    rng = random.Random(5)
+    urls = [f"http://{h}/{p}{i}" for i, (h, p) in enumerate(zip(rng.choices(["a.org", "b.org", "q.net", "m.com", "x.example.com"], [4, 4, 3, 1, 1], k=120), rng.choices(["", "es/", "fr/", "en/"], k=120)))]
+    near, rows = defaultdict(set), []
+    for i, url in enumerate(urls):
+        tags = ""
+        for other in rng.sample(urls, rng.choice([0, 0, 1])):
+            host = url.split("/")[2]
+            near[url].add(other)
+            near[other].add(url)
+            same = other.split("/")[2] == host and rng.random() < 0.5
+            target = other.split(host, 1)[1] if same else other
+            tags += rng.choice([f'<link rel="canonical" href="{target}">', f"<meta http-equiv=refresh content=\"1; url='{target}'\">"])
+        rows.append((i, url, f"<html><head>{tags}</head><body>x</body></html>"))
+    rows += [(500, None, rows[0][2]), (501, urls[3], None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filters.op2_url_filters(spark, str(tmp_path)).collect()}
+    blocked = 0
+    for i, url, _ in rows:
+        rule, verdict = brute_rule(*brute_parts(url))
+        if verdict is None:
+            seen, todo = set(), [url]
+            while todo:
+                x = todo.pop()
+                if x not in seen:
+                    seen.add(x)
+                    todo += near.get(x, ())
+            votes = {brute_rule(*brute_parts(x))[1] for x in seen}
+            verdict = "block" if "block" in votes and "allow" not in votes else "allow"
+            blocked += verdict == "block"
+        assert got[i] == (rule, verdict)
+    assert blocked > 3 and len(got) == len(rows)
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 50)], "random"])
 def test_components(spark, edges):
     if edges == "random":

@@ -81,6 +81,37 @@ def test_classifier_holds_out(spark):
     some = docs.join(labels, "doc_id", "left_semi")
     got = quality_classifier.classify(some, labels.where("doc_id % 4 <> 0")).join(held, "doc_id").collect()
     assert sum(r.kept == (r.y == 1) for r in got) / len(got) > 0.85
+    # Calibration on rows that were not fitted: of those given a probability, about so many are good.
+    for low, high in ((0.0, 0.2), (0.8, 1.01)):
+        some = [r for r in got if low <= r.quality < high]
+        assert len(some) > 50 and abs(sum(r.y for r in some) / len(some) - sum(r.quality for r in some) / len(some)) < 0.1
+
+
+def test_shrinkage_against_brute_force(spark):
+    """Path means from the evidence of single documents, with one-document groups and null names."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").withColumns({"site": F.when(F.col("doc_id") % 5 > 0, F.concat("source", F.lit("x"))), "path": F.when(F.col("doc_id") % 7 > 0, F.col("lang"))})
+    docs = docs.unionByName(docs.limit(1).withColumns({"doc_id": F.lit(10**6).cast("long"), "site": F.lit("alone")}))
+    labels = spark.read.parquet(f"{DATA}/labels.parquet").select("doc_id", "quality")
+    got = quality_classifier.classify(docs, labels).join(docs.select("doc_id", "site", "path"), "doc_id").collect()
+
+    def strength(groups):  # (documents, mean, what it is drawn to)
+        n = sum(g[0] for g in groups)
+        within = sum(g[0] * g[1] * (1 - g[1]) for g in groups) / n
+        between = sum(g[0] * (g[1] - g[2]) ** 2 for g in groups) / n - within * len(groups) / n
+        return min(max(within / between, 1.0), 10_000.0) if between > 0 else 10_000.0
+
+    paths, sites = {}, {}
+    for r in got:
+        for groups, key in ((paths, (r.site, r.path)), (sites, r.site)):
+            groups.setdefault(key, []).append(r.evidence)
+    mean = lambda x: sum(x) / len(x)
+    top = mean([r.evidence for r in got])
+    k_site = strength([(len(e), mean(e), top) for e in sites.values()])
+    prior = {s: (sum(e) + k_site * top) / (len(e) + k_site) for s, e in sites.items()}
+    k_path = strength([(len(e), mean(e), prior[s]) for (s, _), e in paths.items()])
+    for r in got:
+        e = paths[r.site, r.path]
+        assert abs(r.path_mean - (sum(e) + k_path * prior[r.site]) / (len(e) + k_path)) < 1e-4
 
 
 def test_classifier_edges(spark):
