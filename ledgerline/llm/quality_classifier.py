@@ -77,11 +77,11 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict(kept | {"bag": pa.array([b.astype(np.float32) for b in bags], pa.list_(pa.float32()))})
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, site, path, FEATURES and __grams of every row."""
-    with_words = docs.select("doc_id", "site", "path", "text").withColumn("__words", words(F.col("text")))
+def measured(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, site, path, ``more`` columns, FEATURES and __grams of every row."""
+    with_words = docs.select("doc_id", "site", "path", *more, "text").withColumn("__words", words(F.col("text")))
     counted = text_counts(with_words.withColumn("__buckets", grams(F.col("__words"))).drop("__words"))
-    return counted.select("doc_id", "site", "path", *(F.expr(e).cast("double").alias(k) for k, e in FEATURES.items()), F.col("__buckets").alias("__grams"))
+    return counted.select("doc_id", "site", "path", *more, *(F.expr(e).cast("double").alias(k) for k, e in FEATURES.items()), F.col("__buckets").alias("__grams"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int) -> np.ndarray:
@@ -92,7 +92,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int) -> np.ndarray:
         .orderBy(F.xxhash64("doc_id"), "doc_id", "__y")
         .limit(fit_rows)
     )
-    rows = measured(docs.select("doc_id", "site", "path", "text")).join(F.broadcast(chosen), "doc_id")
+    rows = measured(docs.select("doc_id", "site", "path", "text").join(F.broadcast(chosen), "doc_id"), "__y")
     first = rows.select("doc_id", "__y", *FEATURES, "__grams").orderBy(F.xxhash64("doc_id"), "doc_id", "__y", *FEATURES, F.xxhash64("__grams")).limit(fit_rows)
     schema = ", ".join(["doc_id bigint", "__y double", *(f"{k} double" for k in FEATURES), "bag array<float>"])
     found = first.mapInArrow(_bags, schema).toArrow()
