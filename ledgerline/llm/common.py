@@ -97,6 +97,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if state == mark:
             break
         mark = state
+    else:
+        raise RuntimeError(f"components are not settled after {max_rounds} rounds")
     pairs = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = pairs.select(F.col("component").alias("node"), "component")
     return pairs.unionByName(roots).groupBy("node").agg(F.min("component").alias("component"))
