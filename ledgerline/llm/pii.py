@@ -32,6 +32,11 @@ CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]")
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
+PUNCTUATION = ".,;:!?\"'()[]{}<>#*$%&|"
+NAMED = re.compile(r"[\"']?[A-Za-z_][A-Za-z0-9_.-]{0,40}[\"']?(?:=|:(?!//))")
+LONG = re.compile(r"[A-Za-z0-9_+/=-]+")
+# Places where letters turn to digits or back, of which a random key has many.
+SWITCH = re.compile(r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
 #: Labels of the random field; the first is no identifier.
 LABELS = ("other", "secret", "local_phone", "national_id")
 
@@ -76,14 +81,26 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+def core_of(word: str) -> tuple[int, int]:
+    """Where in a word its identifier would stand: without punctuation around it and without ``name=`` or ``name:`` before it."""
+    named = NAMED.match(word)
+    start = named.end() if named else 0
+    core = word[start:].strip(PUNCTUATION)
+    if not core:
+        start, core = 0, word.strip(PUNCTUATION)
+    at = word.find(core, start)
+    return at, at + len(core)
+
+
 def shape(word: str) -> str:
     """Runs of letters, hex digits and digits by kind and coarse length; other characters as they are."""
-    core = word.strip(".,;:!?\"'()[]{}<>#*$%&|")
+    start, end = core_of(word)
+    core = word[start:end]
     if not core:
         return "punct"
     if len(core) >= 16 and re.fullmatch(r"[0-9a-fA-F]+", core) and re.search(r"[a-fA-F]", core):
         return "longhex"
-    if len(core) >= 16 and core.isalnum() and core.isascii() and re.search(r"[0-9]", core) and re.search(r"[A-Za-z]", core):
+    if len(core) >= 16 and LONG.fullmatch(core) and len(SWITCH.findall(core)) >= 4:
         return "longmix"
     out = re.sub(r"[^\W\d_]+", lambda m: "x" if m[0].islower() else "X", core)
     return re.sub(r"[0-9]+", lambda m: "d" + (str(len(m[0])) if len(m[0]) < 7 else "many"), out)[:24]
@@ -92,25 +109,35 @@ def shape(word: str) -> str:
 def features(words: list[str], i: int) -> list[str]:
     """Of the word at i: its shape, its neighbours' shapes and their lower-case cue words."""
     at = lambda j: shape(words[j]) if 0 <= j < len(words) else "edge"
-    cue = lambda j: words[j].strip(".,;:!?\"'()#*$%&|").lower()[:12] if 0 <= j < len(words) else ""
-    return ["bias", f"0={at(i)}", f"-1={at(i - 1)}", f"+1={at(i + 1)}", f"-1|0={at(i - 1)}|{at(i)}", f"w-1={cue(i - 1)}", f"w-2={cue(i - 2)}", f"eq={int('=' in (words[i - 1] if i else ''))}"]
+    cue = lambda j: words[j].strip(PUNCTUATION).lower()[:12] if 0 <= j < len(words) else ""
+    named = NAMED.match(words[i])
+    own = named[0].strip("\"'=:").lower()[:12] if named else ""
+    return ["bias", f"0={at(i)}", f"-1={at(i - 1)}", f"+1={at(i + 1)}", f"-1|0={at(i - 1)}|{at(i)}", f"w-1={cue(i - 1)}", f"w-2={cue(i - 2)}", f"w0={own}", f"named={int(bool(own))}|{at(i)}", f"eq={int('=' in (words[i - 1] if i else ''))}"]
 
 
-def labelled_table(rows: int = 240, seed: int = 7) -> list[tuple[str, str, str]]:
-    """(text before, identifier or other number, label) examples from fixed templates."""
+def labelled_table(rows: int = 480, seed: int = 7) -> list[tuple[str, str, str]]:
+    """(text before, identifier or other number, label) examples from fixed templates; all words of the second have the label."""
     rng = random.Random(seed)
     d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     h = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    k = lambda n: "".join(rng.choice("ABCDEFGHJKMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz0123456789") for _ in range(n))
     w = lambda: "".join(rng.choice(["an", "the", "re", "ou", "st", "ing", "da", "lo"]) for _ in range(rng.randint(1, 4)))
+    w = lambda lower=w: lower().capitalize() if rng.random() < 0.3 else lower()
+    one = lambda *of: rng.choice(of)
     made = [
-        lambda: (rng.choice(["token =", "api_key =", "secret =", "password =", "TOKEN ="]), f'"{h(rng.choice([32, 40, 64]))}"', "secret"),
-        lambda: (rng.choice(["key", "bearer", w()]), f"{h(40)}", "secret"),
-        lambda: (rng.choice(["call", "phone", "tel", w(), w()]), f"555-{d(4)}", "local_phone"),
-        lambda: (rng.choice(["ssn", "SSN", "id", w()]), f"{d(3)}-{d(2)}-{d(4)}", "national_id"),
-        lambda: (rng.choice(["version", "Version", "License, version", "BY-NC", w()]), rng.choice(["3.", "2.0.", "4.0.", "1.1", "v2"]), "other"),
-        lambda: (rng.choice(["page", "in", "the", w(), w()]), rng.choice([d(1), d(2), d(3), "19" + d(2), "20" + d(2), d(5), d(9)]), "other"),
-        lambda: (w(), rng.choice([f"{d(2)}%", f"${d(3)}", f"{d(1)}:{d(2)}", f"{d(4)}-{d(2)}-{d(2)}", f"{d(1)}-{d(1)}", f"x{d(1)}", f"{d(2)}-{d(2)}", f"19{d(2)}-20{d(2)}"]), "other"),
-        lambda: (w(), rng.choice([f"{w()}.{d(2)}@mail{d(1)}.example.com", f"{d(2)}.{d(3)}.{d(2)}.{d(3)}", d(16)]), "other"),
+        lambda: (one("token =", "api_key =", "secret =", "password =", "TOKEN ="), f'"{one(h(32), h(40), h(64), k(24), k(40))}"', "secret"),
+        lambda: (one("key", "bearer", w()), one(h(40), f"sk_live_{k(24)}", f"key-{k(32)}", k(36)), "secret"),
+        lambda: (w(), one("token", "api_key", "secret", "password", "access_token") + one('="{}"', "={}", ":{}", "='{}'").format(one(h(32), h(40), k(24))), "secret"),
+        lambda: (one("call", "phone", "tel", "phone:", w(), w()), one(f"555-{d(4)}", f"{d(3)}-{d(4)}", f"{d(3)}.{d(4)}"), "local_phone"),
+        lambda: (one("call", "phone", "mobile", "tel", w()), one(f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"{d(3)}.{d(3)}.{d(4)}", f"{d(1)} {d(3)}-{d(4)}"), "local_phone"),
+        lambda: (one("ssn", "SSN", "id", "ssn:", "security number", w()), f"{d(3)}-{d(2)}-{d(4)}", "national_id"),
+        lambda: (one("version", "Version", "License, version", "BY-NC", w()), one("3.", "2.0.", "4.0.", "1.1", "v2", f"{d(1)}.{d(1)}.{d(2)}"), "other"),
+        lambda: (one("page", "in", "the", w(), w()), one(d(1), d(2), d(3), "19" + d(2), "20" + d(2), d(5), d(9), f"{d(1)},{d(3)}"), "other"),
+        lambda: (w(), one(f"{d(2)}%", f"${d(3)}", f"{d(1)}:{d(2)}", f"{d(4)}-{d(2)}-{d(2)}", f"{d(1)}-{d(1)}", f"x{d(1)}", f"{d(2)}-{d(2)}", f"19{d(2)}-20{d(2)}"), "other"),
+        lambda: (w(), one(f"{d(2)}/{d(2)}/{d(4)}", f"{d(2)}.{d(2)}.{d(4)}", f"{d(3)}-{d(3)}", f"({d(4)})", f"[{d(2)}]", f"{d(2)}.{d(2)}", f"{d(4)} {d(4)}"), "other"),
+        lambda: (one("commit", "sha256", "md5", "checksum", "digest"), one(h(32), h(40), h(64)), "other"),
+        lambda: (w(), one("size", "width", "id", "page", "n", "ratio") + one("=", ":") + one(d(1), d(2), d(4), f"{d(1)}.{d(2)}"), "other"),
+        lambda: (w(), one(f"{w()}.{d(2)}@mail{d(1)}.example.com", f"{d(2)}.{d(3)}.{d(2)}.{d(3)}", d(16), f"http://{w()}.com/{d(4)}/{w()}-{d(2)}"), "other"),
         lambda: (f"+{d(1)}", f"({d(3)})", "other"),
     ]
     return [made[i % len(made)]() for i in range(rows)]
@@ -146,30 +173,31 @@ def train(rows: Iterable[tuple[str, str, str]], steps: int = 60, rate: float = 0
     fill = lambda: rng.choice(["the", "and", "Onan", "ereth", "with,", "lyes."])
     cases = []
     for before, what, label in rows:
-        words = [fill(), *before.split(), what, fill(), fill()]
-        gold = [0] * len(words)
-        gold[1 + len(before.split())] = LABELS.index(label)
-        cases.append((words, np.array(gold)))
+        first, marked = [fill(), *before.split()], what.split()
+        words = [*first, *marked, fill(), fill()]
+        cases.append((words, np.array([0] * len(first) + [LABELS.index(label)] * len(marked) + [0, 0])))
     index: dict[str, int] = {}
-    coded = [[np.array([index.setdefault(x, len(index)) for x in features(words, i)]) for i in range(len(words))] for words, _ in cases]
+    coded = np.array([[index.setdefault(x, len(index)) for x in features(words, i)] for words, _ in cases for i in range(len(words))])
+    plain = np.array([not TRIGGER.search(w) for words, _ in cases for w in words])
+    ends = np.cumsum([len(words) for words, _ in cases])
     field = Field(index, np.zeros((len(index), len(LABELS))), np.zeros((len(LABELS), len(LABELS))))
     for _ in range(steps):
         emit, move = -decay * field.emit, -decay * field.move
-        for (words, gold), ids in zip(cases, coded):
-            scores = np.array([field.emit[k].sum(0) for k in ids])
-            scores[[not TRIGGER.search(w) for w in words], 1:] = -1e9
+        every = field.emit[coded].sum(1)
+        every[plain, 1:] = -1e9
+        errors = np.empty_like(every)
+        for (words, gold), end in zip(cases, ends):
+            scores = every[end - len(words) : end]
             ahead = _forward(scores, field.move)
             back = _forward(scores[::-1], field.move.T)[::-1]
             whole = np.logaddexp.reduce(ahead[-1])
-            node = np.exp(ahead + back - scores - whole)
-            for t, k in enumerate(ids):
-                error = -node[t]
-                error[gold[t]] += 1
-                np.add.at(emit, k, error / len(cases))
-                if t:
-                    pair = np.exp(ahead[t - 1][:, None] + field.move + (back[t])[None, :] - whole)
-                    move -= pair / len(cases)
-                    move[gold[t - 1], gold[t]] += 1 / len(cases)
+            error = -np.exp(ahead + back - scores - whole)
+            error[np.arange(len(words)), gold] += 1
+            errors[end - len(words) : end] = error / len(cases)
+            pairs = np.exp(ahead[:-1, :, None] + field.move + back[1:, None, :] - whole)
+            move -= pairs.sum(0) / len(cases)
+            np.add.at(move, (gold[:-1], gold[1:]), 1 / len(cases))
+        np.add.at(emit, coded.ravel(), np.repeat(errors, coded.shape[1], axis=0))
         field.emit += rate * 4 * emit
         field.move += rate * move
     return field
@@ -253,7 +281,7 @@ def neighbourhoods(text: str, reach: int = 2) -> list[list[tuple[int, int]]]:
 
 
 def found_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, str]]]:
-    """All spans of each text: base spans, and the random field's where they overlap none of them."""
+    """All spans of each text: base spans, and the random field's, one for each word, where they overlap none of them."""
     base = [base_spans(t) for t in texts]
     places, sequences, known = [], [], {}
     for i, text in enumerate(texts):
@@ -268,11 +296,9 @@ def found_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, str
     for (i, spans), path in zip(places, viterbi(sequences, field.move) if sequences else []):
         for (start, end), label in zip(spans, path):
             if label:
-                word = texts[i][start:end]
-                core = word.strip(".,;:!?\"'()[]{}<>#*$%&|")
-                at = start + word.find(core)
-                if core and not any(at < e and s < at + len(core) for s, e, _ in base[i]):
-                    extra[i].append((at, at + len(core), LABELS[label]))
+                first, last = (start + x for x in core_of(texts[i][start:end]))
+                if first < last and not any(first < e and s < last for s, e, _ in base[i]):
+                    extra[i].append((first, last, LABELS[label]))
     rank = {k: n for n, k in enumerate((*KINDS, *LABELS))}
     return [sorted(b + x, key=lambda s: (s[0], rank[s[2]])) for b, x in zip(base, extra)]
 
