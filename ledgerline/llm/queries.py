@@ -16,6 +16,7 @@ from ledgerline.llm.quality_classifier import op3_quality_classifier
 from ledgerline.llm.quality_rules import op9_quality_rules
 from ledgerline.llm.token_counts import op5_token_counts
 from ledgerline.llm.url_filters import op2_url_filters
+from ledgerline.llm.url_sql import OP2_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
@@ -29,4 +30,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_fingerprints": op10_fingerprints,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_url_filters": OP2_SQL}

@@ -4,12 +4,14 @@ import random
 import time
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerline.llm import common, html_extraction, mixing, near_duplicates, url_filters
+from ledgerline.llm.url_sql import OP2_SQL
 
 DATA = "/root/testdata/sf0.001"
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
@@ -220,6 +222,36 @@ def test_url_query_with_aliases_against_brute_force(spark, tmp_path):
     assert blocked > 3 and len(got) == len(rows)
 
 
+def sql_rows(folder, sql):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{folder}/pages.parquet/*.parquet')")
+    return con.execute(sql).fetchall()
+
+
+def test_url_query_against_its_sql(spark, tmp_path):
+    """Odd URLs, references of all kinds, long chains of aliases, repeated rows and nulls."""
+    rng = random.Random(8)
+    hosts = ["a.org", "B.org", "q.net", "m.com", "x.example.com", "www.example.com"]
+    urls = [f"http://{rng.choice(hosts)}{rng.choice(['', '/', '/es/', '/fr/x/', '/en/', '/d/e/'])}{rng.choice(['', str(i), f'{i}?q={i}', f'p{i}#f'])}" for i in range(150)] + URLS
+    urls += [f"http://chain.org/{i}" for i in range(30)]
+    references = ["page.html?x=1&amp;y=2", "../up/./z", "..", "?p=1", "#here", "mailto:x@y.z", "//q.net/es/9", "/fr/7", "", "&#x2f;&sol;i.org/&quot;1", " http://q.net/fr/1 "]
+    rows = []
+    for i, url in enumerate(urls):
+        chained = (url or "").startswith("http://chain.org")
+        tags = [rng.choice(references[:6] + references[-4:] + [u for u in urls[i // 3 * 3 : i // 3 * 3 + 3] if u]) for _ in range(rng.choice([0, 1, 1, 2]))]
+        if chained:
+            tags = [str(int(url.rsplit("/", 1)[1]) + 1)] if not url.endswith("/29") else ["http://q.net/es/end"]
+        shown = "".join(rng.choice(["<link rel='x canonical' href=\"{}\">", "<LINK href='{}' rel=canonical>", "<meta http-equiv=refresh content=\"1; url='{}'\">", "<meta content='5;URL={}' http-equiv=Refresh>"]).format(t) for t in tags)
+        rows.append((i, url, f"<head>{shown}<link rel=stylesheet href=s.css></head>" if i % 17 or chained else None))
+    rows += rows[20:25]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = [tuple(r) for r in url_filters.op2_url_filters(spark, str(tmp_path)).collect()]
+    want = sql_rows(tmp_path, OP2_SQL)
+    key = lambda r: tuple(map(str, r))
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert sum(r[3] is None and r[4] == "block" for r in got) > 30
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 50)], "random"])
 def test_components(spark, edges):
     if edges == "random":
