@@ -34,6 +34,10 @@ RULES = (
 )
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_bangs", "n_plain", "n_stops")
 BASE_FAILED = "n_words < 10 or 100 * n_repeat_words > 20 * n_words"
+#: Prior rates of bad, abstaining and good votes on good and on bad documents, prior share of good ones, weight of priors by document.
+GOOD_PRIOR, BAD_PRIOR, SHARE, STRENGTH = (0.04, 0.26, 0.70), (0.50, 0.30, 0.20), 0.8, 0.05
+#: Iterations end when no posterior moves by SETTLED, after ROUNDS at most; documents of at least LEAST are kept.
+ROUNDS, SETTLED, LEAST = 100, 1e-9, 0.5
 
 
 def _removed(text: Column, pattern: str) -> Column:
@@ -97,7 +101,7 @@ def _digits(pattern: int) -> list[int]:
     return [pattern // 3**j % 3 for j in range(len(RULES))]
 
 
-def fit(patterns: dict[int, int], rounds: int = 100, strength: float = 0.05) -> dict[int, float]:
+def fit(patterns: dict[int, int], rounds: int = ROUNDS, strength: float = STRENGTH) -> dict[int, float]:
     """Posterior probability of good for each vote pattern, from counts of patterns.
 
     Starts from the balance of votes. ``strength`` times the number of documents
@@ -112,7 +116,7 @@ def fit(patterns: dict[int, int], rounds: int = 100, strength: float = 0.05) ->
     for p, d in votes.items():
         good, bad = d.count(2), d.count(0)
         post[p] = (1 + good) / (2 + good + 3 * bad)
-    prior = {1: (0.04, 0.26, 0.70), 0: (0.50, 0.30, 0.20)}
+    prior = {1: GOOD_PRIOR, 0: BAD_PRIOR}
     weight = strength * total + 1
     for _ in range(rounds):
         share, rates = 0.0, {0: [], 1: []}
@@ -120,7 +124,7 @@ def fit(patterns: dict[int, int], rounds: int = 100, strength: float = 0.05) ->
             mass = {p: n * (post[p] if side else 1 - post[p]) for p, n in patterns.items()}
             whole = sum(mass.values())
             if side:
-                share = min(max((whole + 0.8 * weight) / (total + weight), 1e-6), 1 - 1e-6)
+                share = min(max((whole + SHARE * weight) / (total + weight), 1e-6), 1 - 1e-6)
             for j in range(len(RULES)):
                 got = [weight * x for x in prior[side]]
                 for p, m in mass.items():
@@ -132,12 +136,12 @@ def fit(patterns: dict[int, int], rounds: int = 100, strength: float = 0.05) ->
             new[p] = 1 / (1 + exp(-max(min(odds, 500), -500)))
         moved = max(abs(new[p] - post[p]) for p in new)
         post = new
-        if moved < 1e-9:
+        if moved < SETTLED:
             break
     return post
 
 
-def judge(docs: DataFrame, text: str = "text", least: float = 0.5, keep_text: bool = True) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", least: float = LEAST, keep_text: bool = True) -> DataFrame:
     """Adds COUNTS, base_failed, quality (posterior, 6 decimals) and kept to every row.
 
     kept is false where base_failed, else quality >= least. Rows are never dropped;

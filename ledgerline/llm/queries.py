@@ -14,6 +14,7 @@ from ledgerline.llm.near_duplicates import op8_minhash_near_dedup
 from ledgerline.llm.pii import op4_pii
 from ledgerline.llm.quality_classifier import op3_quality_classifier
 from ledgerline.llm.quality_rules import op9_quality_rules
+from ledgerline.llm.quality_sql import OP9_SQL
 from ledgerline.llm.token_counts import op5_token_counts
 from ledgerline.llm.url_filters import op2_url_filters
 from ledgerline.llm.url_sql import OP2_SQL
@@ -30,4 +31,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_fingerprints": op10_fingerprints,
 }
-ORACLE_SQL: dict[str, str] = {"op2_url_filters": OP2_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_url_filters": OP2_SQL, "op9_quality_rules": OP9_SQL}

@@ -6,10 +6,12 @@ import re
 from collections import Counter
 from itertools import product
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, fingerprints, pii, quality_classifier, quality_rules, token_counts
+from ledgerline.llm.quality_sql import OP9_SQL
 
 DATA = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -58,6 +60,20 @@ def test_quality_verdicts(spark):
     assert sum(good) / len(good) > 0.97 and sum(bad) / len(bad) < 0.35
 
 
+@pytest.mark.parametrize("size", ["odd", "empty", "0.01"])
+def test_quality_query_against_its_sql(spark, tmp_path, size):
+    """Odd texts and repeated rows among others, no rows at all, and a whole table."""
+    docs = rows(spark, ODD, extra=True).unionByName(texts_of(spark), allowMissingColumns=True).unionByName(rows(spark, ODD[:4], extra=True))
+    given = {"odd": docs, "empty": docs.limit(0), "0.01": spark.read.parquet("/root/testdata/sf0.01/documents.parquet")}[size]
+    given.repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    got = quality_rules.op9_quality_rules(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(OP9_SQL)
+    assert [c[0] for c in want.description] == got.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want.fetchall(), key=str)
+
+
 def test_fit_finds_planted_classes():
     """Votes drawn from two known classes: the posterior tells them apart, and counts given twice over change little."""
     rng, patterns, good = random.Random(1), Counter(), Counter()
