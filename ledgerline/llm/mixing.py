@@ -35,28 +35,39 @@ def draw(*columns: str) -> Column:
     return (F.pmod(F.xxhash64(*columns), F.lit(2**30)) + 0.5) / float(2**30)
 
 
-def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
+def in_order(rows: DataFrame, *order: Column) -> DataFrame:
+    """Adds ``place``, the row number by ``order`` from 0. Ranges of rows are sorted, each by itself; one window sees one row for each range."""
+    ranged = stash(rows.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("__range").agg(F.count("*").alias("n")).select("__range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__start"))
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - 1
+    return ranged.join(F.broadcast(starts), "__range").withColumn("place", F.col("__start") + inside).drop("__range", "__start")  # as many starts as shuffle partitions
+
+
+def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float, rounds: int = 200) -> DataFrame:
     """(source, source_size, target) from (source, size) totals, one row per source.
 
     Sources in code-point order, null last, take ``weights`` in turn. Their targets
     are the smaller of ``most`` times their size and a common level times their
-    weight, with the level at which all add up to ``share`` of all sizes: the
-    fixed point of resharing what stands above a limit.
+    weight, with the level at which all add up to ``share`` of all sizes. What stands above a limit
+    is reshared until no further source does: each round is one sum over all sources, and levels only rise.
     """
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.get(F.array(*(F.lit(float(w)) for w in weights)), (place % len(weights)).cast("int"))
-    ranked = sizes.withColumn("weight", weight).withColumn("top", most * F.col("source_size").cast("double"))
-    ranked = ranked.withColumn("ratio", F.col("top") / F.col("weight"))
-    before = Window.orderBy("ratio", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    level = (
-        share * F.sum("source_size").over(everything).cast("double") - F.coalesce(F.sum("top").over(before), F.lit(0.0))
-    ) / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    levels = ranked.withColumns({"level": level, "place": F.row_number().over(Window.orderBy("ratio", F.col("source").asc_nulls_last()))})
-    fits = F.min(F.when(F.col("ratio") >= F.col("level"), F.struct("place", "level"))).over(everything)["level"]
-    return levels.select(
-        "source", "source_size", F.least(F.col("top"), F.coalesce(fits, F.lit(float("inf"))) * F.col("weight")).alias("target")
-    )
+    weight = F.get(F.array(*(F.lit(float(w)) for w in weights)), (F.col("place") % len(weights)).cast("int"))
+    ranked = in_order(sizes.select("source", "source_size"), F.col("source").asc_nulls_last())
+    ranked = cut_lineage(ranked.select("source", "source_size", weight.alias("weight"), (most * F.col("source_size").cast("double")).alias("top")))
+    exact = lambda name: F.coalesce(F.sum(F.col(name).cast("decimal(32,6)")), F.lit(0)).alias(name)
+    whole = ranked.agg(exact("source_size"), exact("weight")).first()
+    budget = share * float(whole["source_size"])
+    level, limited = 0.0, -1
+    for _ in range(rounds):
+        over = ranked.where(F.col("top") < level * F.col("weight")).agg(F.count("*").alias("n"), exact("top"), exact("weight")).first()
+        if over["n"] <= limited:
+            break
+        limited, left = over["n"], float(whole["weight"] - over["weight"])
+        level = (budget - float(over["top"])) / left if left else float("inf")
+    else:
+        raise RuntimeError(f"targets are not settled after {rounds} rounds")
+    return ranked.select("source", "source_size", F.least("top", F.lit(level) * F.col("weight")).alias("target"))
 
 
 def by_source(rows: DataFrame, sources: DataFrame, how: str = "inner") -> DataFrame:
@@ -78,7 +89,8 @@ def balance(histogram: DataFrame, goals: DataFrame, most: float, rounds: int = 4
 
     ``histogram`` has (source, size, n). A Newton step that leaves the bracket known
     so far is replaced by its middle. Starts from the solution for documents of one size;
-    stops when every source is within a ten-thousandth of its target.
+    stops when every source is within a ten-thousandth of its target. Where the rounds end before,
+    fill() still closes the gap.
     """
     squares = F.col("n").cast("decimal(20,0)") * F.col("size") * F.col("size")
     spread = histogram.groupBy("source").agg(

@@ -433,6 +433,27 @@ def test_mixing_meets_its_targets(spark, tmp_path):
         assert abs(taken[s] - want[s]) <= max(0.01 * want[s], largest[s])
 
 
+@pytest.mark.parametrize("share", [0.0, 0.4, 1.5, 1.9, 2.0, 3.0])
+def test_targets_of_many_sources(spark, share):
+    """Thousands of sources, in one range or in several, of sizes from nothing to millions: order, limits and level by plain rounds."""
+    rng = random.Random(11)
+    names = {rng.choice("aBzé漢😀") + str(rng.randrange(10**6)) for _ in range(2500)} | {None, "", "~"}
+    size = {s: int(rng.lognormvariate(5, 3)) for s in names} | {"~": 0}
+    sizes = spark.createDataFrame(list(size.items()), "source string, source_size long").repartition(3)
+    got = mixing.targets(sizes, (3, 1, 2), share, 2.0).collect()
+    want = brute_targets(size, share=share)
+    assert len(got) == len(want) == len({r.source for r in got})
+    for r in got:
+        assert r.source_size == size[r.source] and abs(r.target - want[r.source]) <= 1e-9 * max(1, want[r.source])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # four ranges, not one
+    try:
+        placed = mixing.in_order(sizes.select("source").repartition(7), F.col("source").asc_nulls_last()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r.source for r in sorted(placed, key=lambda r: r.place)] == sorted(names, key=lambda s: (s is None, s or ""))
+    assert sorted(r.place for r in placed) == list(range(len(names)))
+
+
 def test_mix_edges(spark):
     docs = spark.createDataFrame([(i, t, "en", s, 0) for i, (t, s) in enumerate([("a b", None), (None, "x"), ("", "x"), ("c d e", "x"), ("c d e", "x")])], DOCUMENT).withColumns({"size": F.lit("clash"), "copies": F.lit(1)})
     got = mixing.mix(docs)
