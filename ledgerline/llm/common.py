@@ -52,6 +52,14 @@ def stash(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*stashes: DataFrame) -> None:
+    """Deletes stashed tables that nothing reads any more: all that was made of them has been written."""
+    for df in stashes:
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``checkpoint()`` into the shared folder. For narrow tables: its files are not compressed."""
     shared_folder(df.sparkSession)
@@ -72,7 +80,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     clean = edges.select("a", "b").where(F.col("a").isNotNull() & F.col("b").isNotNull())
     both = clean.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     current = cut_lineage(both)
-    mark = None
+    edges_before = current.count()
     for _ in range(max_rounds):
         # Large star: every larger neighbour of a node points to the node's smallest.
         directed = current.where("a <> b")
@@ -92,11 +100,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .distinct()
         )
         loops = current.where("a = b")
-        current = cut_lineage(small.unionByName(loops).distinct())
-        state = current.where("a <> b").agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
-        if state == mark:
+        before, current = current, cut_lineage(small.unionByName(loops).distinct())
+        edges_now = current.count()
+        # Settled when the round has changed no edge.
+        if edges_now == edges_before and current.join(before, ["a", "b"], "left_anti").isEmpty():
             break
-        mark = state
+        edges_before = edges_now
     else:
         raise RuntimeError(f"components are not settled after {max_rounds} rounds")
     pairs = current.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import connected_components, shingles, stash, table, words
+from ledgerline.llm.common import connected_components, discard, shingles, stash, table, words
 
 DARTS, ROWS = 192, 6  # 32 bands: a pair at similarity 0.8 shares none with probability 6e-5
 LEAST = 0.8
@@ -153,7 +153,6 @@ def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     ``class`` is its smallest id, null if it has none. Repeated rows come out once; an empty table gives an empty one.
     """
     texts = docs.select(F.col("doc_id").alias("id"), "text")
-    node = F.xxhash64("key")
     signed = (
         texts.withColumn("__w", words(F.col("text")))
         .select("id", F.sha2(F.array_join("__w", " "), 256).alias("key"), shingles(F.col("__w")).alias("grams"))
@@ -161,20 +160,19 @@ def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     )
     keyed = stash(signed)
     far_off = F.col("distance") > 1 - least + 1e-9
-    # Equal keys have equal bands, so those of any copy will do.
-    nodes = keyed.groupBy(node.alias("rep")).agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands"))
-    nodes = stash(nodes)
+    # Equal keys have equal bands, so those of any copy will do. A node's number is drawn once, as its row is written, so no two texts share one.
+    nodes = keyed.groupBy("key").agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    nodes = stash(nodes.withColumn("rep", F.monotonically_increasing_id()))
     members = nodes.where("size > 0").select("rep", "id", "size", F.explode("bands").alias("band"))
     full = members.groupBy("band").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("rep", "band").alias("h"), "rep", "size")).alias("p")).where("n > 1")
     buckets = stash(members.join(full.select("band", F.col("p.rep").alias("pivot"), F.col("p.size").alias("pivot_size")), "band"))
     # The text of a node is read from a row of its smallest id; where it has no id, from one without.
-    place = F.coalesce("id", "rep").alias("place")
+    place = F.coalesce("id", F.xxhash64("key")).alias("place")
     bags = stash(
-        texts.withColumn("__w", words(F.col("text")))
-        .withColumn("rep", F.xxhash64(F.sha2(F.array_join("__w", " "), 256)))
-        .select("rep", place, "text")
-        .join(buckets.select("rep", place).distinct(), ["rep", "place"], "left_semi")
-        .dropDuplicates(["rep", "place"])
+        texts.withColumn("key", words_key("text"))
+        .select("key", place, "text")
+        .join(nodes.join(buckets.select("rep").distinct(), "rep", "left_semi").select("rep", "key", place), ["key", "place"])
+        .dropDuplicates(["rep"])
         .select(F.col("rep").alias("id"), words(F.col("text")).alias("__w"))
         .select("id", shingles(F.col("__w")).alias("grams"))
         .mapInArrow(_bags, "id long, grams array<bigint>")
@@ -219,14 +217,15 @@ def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     third = compared(early_pairs(placed.select("rep", "size", "component").distinct(), bags, least))
     extra = third.where(~far_off).select("a", "b")
     classes = connected_components(so_far.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(extra))
-    named = (
-        nodes.select("rep", "id")
+    named = stash(
+        nodes.select("rep", "key", "id")
         .join(classes.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("rep", "id", F.coalesce("component", "rep").alias("component"))
+        .select("key", "id", F.coalesce("component", "rep").alias("component"))
     )
+    discard(nodes, buckets, bags, first, far, second, placed, third)
     ids = named.groupBy("component").agg(F.min("id").alias("class"))
     named = named.drop("id").join(ids, "component")
-    return keyed.select("id", "key").distinct().withColumn("rep", node).join(named, "rep").select("id", "key", "class", "component")
+    return keyed.select("id", "key").distinct().join(named, "key").select("id", "key", "class", "component")
 
 
 def early_pairs(texts: DataFrame, bags: DataFrame, least: float) -> DataFrame:
