@@ -286,13 +286,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, cover
     they are. Null and empty texts are clean; repeated rows are judged alike; an empty table of documents or items changes nothing.
     """
 
+    names = docs.columns
+
     def finish(batch, texts, marks, owners, runs):
         found = [int(m.sum()) for m in marks]
         kept = [n <= coverage * len(m) and (longest is None or run < longest) for n, m, run in zip(found, marks, runs)]
         old = batch.column("text").cast(pa.binary())
         new = pa.array([without_hits(old[i].as_py(), marks[i]) if n else old[i].as_py() for i, n in enumerate(found)], pa.binary()).cast(pa.string())
-        columns = [new if c == "text" else batch.column(c) for c in docs.columns]
-        return pa.RecordBatch.from_arrays(columns, docs.columns).filter(pa.array(kept, pa.bool_()))
+        columns = [new if c == "text" else batch.column(c) for c in names]
+        return pa.RecordBatch.from_arrays(columns, names).filter(pa.array(kept, pa.bool_()))
 
     return scan(docs, items, finish, docs.schema, window)
 
