@@ -8,6 +8,9 @@ import time
 import uuid
 from collections.abc import Callable, Iterator
 
+from py4j.java_gateway import JavaObject, is_instance_of
+from py4j.java_collections import JavaArray
+from pyspark.core.context import SparkContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +50,15 @@ REFUSED = frozenset("reflect java_method try_reflect input_file_name input_file_
 TABLE_FUNCTIONS = frozenset("range explode explode_outer posexplode posexplode_outer inline inline_outer stack json_tuple".split())
 
 
+#: What trees a parsed query is made of, and the other objects that stand in them: values without a tree inside.
+TREES = {"plan": "org.apache.spark.sql.catalyst.plans.logical.LogicalPlan", "expression": "org.apache.spark.sql.catalyst.expressions.Expression"}
+VALUES = (
+    "org.apache.spark.sql.types.DataType", "org.apache.spark.sql.types.Decimal", "org.apache.spark.sql.types.Metadata", "org.apache.spark.unsafe.types.UTF8String",
+    "org.apache.spark.unsafe.types.CalendarInterval", "org.apache.spark.sql.util.CaseInsensitiveStringMap", "java.lang.Enum", "scala.Enumeration$Value", "java.util.UUID", "scala.math.BigDecimal",
+    "org.apache.spark.sql.catalyst.InternalRow", "org.apache.spark.sql.catalyst.util.ArrayData", "org.apache.spark.sql.catalyst.util.MapData",
+)
+
+
 def _pieces(query: str) -> list[tuple[str, str]]:
     """(kind, text): ``quoted``, ``word`` or ``other``, which is white space or one sign."""
     return [(m.lastgroup or "", m[0]) for m in PIECES.finditer(query)]
@@ -92,22 +104,50 @@ def _each(seq) -> Iterator:
     return (seq.apply(i) for i in range(seq.size()))
 
 
-def _nodes(plan) -> Iterator:
-    """Every node of a parsed plan, of its WITH parts and of the subqueries in its expressions."""
-    waiting = [plan]
-    while waiting:
-        node = waiting.pop()
-        yield node
-        for inner in (node.children(), node.innerChildren(), node.subqueries()):
-            waiting += _each(inner)
+def _parts(plan) -> Iterator[tuple[str, str, object]]:
+    """(plan or expression, its class, it) of all that a parsed plan is made of, wherever in it that stands.
 
-
-def _expressions(node) -> Iterator:
-    waiting = list(_each(node.expressions()))
+    Nodes are read field by field, through sequences, options, maps and tuples, so that what a node keeps beside its children, such
+    as the windows that a query names, is met as well. An object of an unknown kind raises.
+    """
+    waiting = [plan]
     while waiting:
         found = waiting.pop()
-        yield found
-        waiting += _each(found.children())
+        if isinstance(found, JavaArray):
+            waiting += list(found)
+        elif isinstance(found, JavaObject):  # the rest is text, numbers and null
+            kind = found.getClass()
+            of = _kind(found, kind.getName())
+            if of == "sequence":
+                waiting += _all(found.iterator())
+            elif of != "value":
+                if of in TREES:
+                    yield of, kind.getSimpleName(), found
+                    waiting += _each(found.children())
+                waiting += _all(found.productIterator())
+
+
+_kinds: dict[str, str] = {}
+
+
+def _kind(found, name: str) -> str:
+    """sequence, plan, expression, fields (a tuple or the like) or value, by the object's class."""
+    if name not in _kinds:
+        a = lambda kind: is_instance_of(SparkContext._gateway, found, kind)
+        if a("scala.collection.Iterable"):
+            _kinds[name] = "sequence"
+        elif a("scala.Product"):
+            _kinds[name] = next((kind for kind, of in TREES.items() if a(of)), "fields")
+        elif any(map(a, VALUES)):
+            _kinds[name] = "value"
+        else:
+            raise ValueError(f"only queries are allowed, this holds {name}")
+    return _kinds[name]
+
+
+def _all(iterator) -> Iterator:
+    while iterator.hasNext():
+        yield iterator.next()
 
 
 def _name(parts) -> str:
@@ -127,13 +167,13 @@ def check(spark: SparkSession, query: str, strict: bool = False) -> None:
         plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(query)
     except Exception as e:
         raise ValueError(f"not one query: {str(e).splitlines()[0]}") from None
-    nodes = list(_nodes(plan))
-    kinds = [n.getClass().getSimpleName() for n in nodes]
-    for kind in kinds:
+    found = list(_parts(plan))
+    nodes = [(node, kind) for of, kind, node in found if of == "plan"]
+    for _, kind in nodes:
         if kind not in QUERY_NODES:
             raise ValueError(f"only queries are allowed, this holds {kind}")
-    parts = {cte._1().lower() for node, kind in zip(nodes, kinds) if kind == "UnresolvedWith" for cte in _each(node.cteRelations())}
-    for node, kind in zip(nodes, kinds):
+    parts = {cte._1().lower() for node, kind in nodes if kind == "UnresolvedWith" for cte in _each(node.cteRelations())}
+    for node, kind in nodes:
         if kind == "UnresolvedRelation":
             name = list(_each(node.multipartIdentifier()))
             if node.isStreaming():
@@ -143,14 +183,15 @@ def check(spark: SparkSession, query: str, strict: bool = False) -> None:
                 raise ValueError(f"unknown table {quoted}")
         if kind == "UnresolvedTableValuedFunction" and _name(node.name()) not in TABLE_FUNCTIONS:
             raise ValueError(f"not a function for queries: {_name(node.name())}")
-        for found in _expressions(node):
-            of = found.getClass().getSimpleName()
-            if of == "ExpressionWithUnresolvedIdentifier":
-                raise ValueError("names of functions are written out")
-            if of == "UnresolvedGenerator" and found.name().funcName().lower() not in TABLE_FUNCTIONS:
-                raise ValueError(f"not a function for queries: {found.name().funcName()}")
-            if of == "UnresolvedFunction" and (_name(found.nameParts()) in REFUSED or found.nameParts().size() > 1):
-                raise ValueError(f"not a function for queries: {_name(found.nameParts())}")
+    for of, kind, node in found:
+        if of == "plan":
+            continue
+        if kind == "ExpressionWithUnresolvedIdentifier":
+            raise ValueError("names of functions are written out")
+        if kind == "UnresolvedGenerator" and node.name().funcName().lower() not in TABLE_FUNCTIONS:
+            raise ValueError(f"not a function for queries: {node.name().funcName()}")
+        if kind == "UnresolvedFunction" and (_name(node.nameParts()) in REFUSED or node.nameParts().size() > 1):
+            raise ValueError(f"not a function for queries: {_name(node.nameParts())}")
 
 
 def run_query(spark: SparkSession, query: str, args: dict | None = None, strict: bool = False) -> DataFrame:

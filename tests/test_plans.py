@@ -97,6 +97,22 @@ def test_everything_else_fails(spark, text):
         "SELECT * FROM python_worker_logs()",
         "SELECT input_file_name() FROM guard_t",
         "SELECT * FROM no_such_table",
+        *(
+            outer.format(f"SELECT id, rank() OVER w AS r FROM guard_t WINDOW w AS ({inside})")
+            for outer in ("{}", "WITH a AS ({}) SELECT * FROM a", "SELECT * FROM ({}) b", "SELECT id FROM guard_t WHERE id IN (SELECT r FROM ({}) c)", "SELECT 1 AS id, 1 AS r UNION ALL ({})")
+            for inside in (
+                "ORDER BY reflect('java.lang.System', 'setProperty', 'guard.passed', '1')",
+                "PARTITION BY java_method('java.lang.System', 'setProperty', 'guard.passed', '1') ORDER BY id",
+                "ORDER BY (SELECT max(value) FROM text.`/etc/hostname`)",
+            )
+        ),
+        "SELECT sum(id) FILTER (WHERE reflect('java.lang.System', 'getProperty', 'a') = '') FROM guard_t",
+        "SELECT id FROM guard_t GROUP BY GROUPING SETS ((id), (reflect('java.lang.System', 'getProperty', 'a')))",
+        "SELECT * FROM guard_t PIVOT (max(reflect('java.lang.System', 'getProperty', 'a')) FOR id IN (1, 2))",
+        "SELECT * FROM guard_t TABLESAMPLE (10 PERCENT) JOIN (SELECT * FROM text.`/etc/hostname`) x ON true",
+        "SELECT id FROM guard_t LIMIT (SELECT max(length(value)) FROM text.`/etc/hostname`)",
+        "SELECT * FROM VALUES (reflect('java.lang.System', 'getProperty', 'a'))",
+        "SELECT * FROM guard_t, LATERAL (SELECT * FROM text.`/etc/hostname`)",
     ],
 )
 def test_the_whole_plan_is_checked(spark, text):
@@ -113,6 +129,13 @@ def test_queries_of_every_shape_pass_the_guard(spark):
         "SELECT x FROM guard_t LATERAL VIEW explode(array(1, 2)) e AS x",
         "SELECT * FROM range(3)",
         "SELECT rank() OVER w FROM guard_t WINDOW w AS (ORDER BY id)",
+        "SELECT sum(id) OVER w AS s, min(id) OVER v FROM guard_t WINDOW v AS (PARTITION BY id % 2), w AS (PARTITION BY id % 2 ORDER BY id ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)",
+        "SELECT cast(1.5 AS decimal(9,2)), date'2024-01-01', interval 3 days, X'1A', 1e3, 2.5BD, 'é', NULL, true, array(1), map('a', 1), CASE WHEN id > 1 THEN 'x' END FROM guard_t TABLESAMPLE (50 PERCENT)",
+        "SELECT a.id FROM guard_t a LEFT JOIN guard_t b USING (id) JOIN guard_t c ON a.id = c.id NATURAL JOIN guard_t d WHERE a.id BETWEEN 0 AND 2 AND cast(a.id AS string) LIKE '%1%' OR a.id IS NOT NULL",
+        "SELECT id, count(*) AS n FROM guard_t GROUP BY ROLLUP (id) ORDER BY n DESC NULLS LAST LIMIT 3 OFFSET 1",
+        "SELECT transform(array(1, 2), x -> x + 1), count(DISTINCT id) FILTER (WHERE id > 0), percentile(id, 0.5) FROM guard_t",
+        "SELECT * FROM (SELECT id, id + 1 AS b FROM guard_t) UNPIVOT (v FOR k IN (id, b))",
+        "SELECT * FROM guard_t a, LATERAL (SELECT a.id + 1 AS next)",
         "WITH a AS (WITH b AS (SELECT 1 AS y) SELECT * FROM b) SELECT * FROM a, guard_t",
         "SELECT id FROM guard_t PIVOT (count(*) FOR id IN (1, 2))".replace("SELECT id", "SELECT *"),
     ):
