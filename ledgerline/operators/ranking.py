@@ -1,9 +1,9 @@
 """Ranks and quantiles of few large groups, without a group in one task.
 
-A window over a group sorts the whole group in one task. Here rows stand in
-buckets of their group by value; a window numbers the rows of a bucket, another, over one row for each bucket, says how
-many rows stand in the buckets before. Buckets are equal ranges of values, so they hold unequal numbers of rows; only rows
-of equal values cannot be parted.
+A window over a group sorts the whole group in one task. Here rows are sorted over all groups in ranges whose bounds Spark draws from a sample of the rows
+themselves, so a range holds about as many rows as any other, however the values lie; ties are part of the order, so equal values are parted too. The sorted rows
+are written once. A row's place is its place in its range and the rows that its group has in the ranges before, of which one
+row for each group and range is counted.
 """
 
 from __future__ import annotations
@@ -11,31 +11,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ranges of values that each group is cut into.
-BUCKETS = 4096
+from ledgerline.session import written
 
 
-def bucketed(df: DataFrame, group: str, value: str, buckets: int = BUCKETS) -> DataFrame:
-    """Adds __bucket, which grows with the value inside a group; 0 where all values of the group are equal."""
-    ends = df.groupBy(F.col(group).alias("__g")).agg(F.min(value).cast("double").alias("__low"), F.max(value).cast("double").alias("__high"))
-    width = (F.col("__high") - F.col("__low")) / buckets
-    at = F.floor(F.try_divide(F.col(value).cast("double") - F.col("__low"), width)).cast("int")
-    joined = df.join(ends, F.col(group).eqNullSafe(F.col("__g")))
-    return joined.withColumn("__bucket", F.coalesce(F.least(at, F.lit(buckets - 1)), F.lit(0))).drop("__g", "__low", "__high")
+def ranged(df: DataFrame, group: str, *order: str | Column, ranges: int | None = None) -> DataFrame:
+    """The rows sorted by group and then ``order`` in ranges, written, with ``__at``: range and place in it."""
+    keys = (F.col(group), *order)
+    dealt = df.repartitionByRange(ranges, *keys) if ranges else df.repartitionByRange(*keys)
+    return written(dealt.sortWithinPartitions(*keys).withColumn("__at", F.monotonically_increasing_id()))
 
 
-def places(df: DataFrame, group: str, value: str, ties: str, descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
-    """Adds ``place``, the row number in its group by value and then ``ties``, and ``total``, the group's rows. Values are not null."""
-    placed = bucketed(df, group, value, buckets)
-    sign = F.desc if descending else F.asc
-    counts = placed.groupBy(group, "__bucket").agg(F.count("*").alias("__n"))
-    upto = Window.partitionBy(group).orderBy(sign("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(
-        F.col(group).alias("__g"), F.col("__bucket").alias("__b"), F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__before"), F.sum("__n").over(Window.partitionBy(group)).alias("total")
-    )
-    joined = placed.join(before, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__bucket") == F.col("__b")))
-    inside = F.row_number().over(Window.partitionBy(group, "__bucket").orderBy(sign(value), ties))
-    return joined.withColumn("place", (F.col("__before") + inside).cast("bigint")).drop("__g", "__b", "__before", "__bucket")
+def places(df: DataFrame, group: str, value: str, ties: str, descending: bool = False, buckets: int | None = None) -> DataFrame:
+    """Adds ``place``, the row number in its group by value and then ``ties``, and ``total``, the group's rows.
+
+    Nulls come first, descending last. ``buckets``: ranges, where not as many as Spark shuffles into.
+    """
+    rows = ranged(df, group, F.desc(value) if descending else F.asc(value), F.col(ties), ranges=buckets)
+    part = F.shiftright("__at", 33)
+    runs = rows.groupBy(F.col(group).alias("__g"), part.alias("__range")).agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    in_group = Window.partitionBy("__g")  # one row for each range that holds a part of the group
+    before = F.coalesce(F.sum("__n").over(in_group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = runs.select("__g", "__range", (before - F.col("__first") + 1).alias("__shift"), F.sum("__n").over(in_group).alias("total"))
+    met = rows.join(starts, F.col(group).eqNullSafe(F.col("__g")) & (part == F.col("__range")))
+    return met.withColumn("place", F.col("__at") + F.col("__shift")).drop("__g", "__range", "__shift", "__at")
 
 
 def tile(tiles: int) -> Column:
@@ -53,23 +51,14 @@ def value_ranks(df: DataFrame, group: str, value: str) -> DataFrame:
     return counts.select(group, value, before.cast("bigint").alias("rank"), F.row_number().over(order).cast("bigint").alias("dense"))
 
 
-def group_quantile(df: DataFrame, group: str, value: str, q: float, name: str, buckets: int = BUCKETS) -> DataFrame:
+def group_quantile(df: DataFrame, group: str, value: str, q: float, name: str, buckets: int | None = None) -> DataFrame:
     """(group, name): the exact quantile with linear interpolation, to 6 places; groups without a value are left out.
 
-    Only the buckets that hold the two rows around the quantile are sorted.
+    Of the rows in order only the two around the quantile are read on.
     """
-    known = bucketed(df.select(group, F.col(value).cast("double").alias("__v")).where("__v is not null"), group, "__v", buckets)
-    counts = known.groupBy(group, "__bucket").agg(F.count("*").alias("__n"))
-    upto = Window.partitionBy(group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranged = counts.withColumns({"__end": F.sum("__n").over(upto), "__total": F.sum("__n").over(Window.partitionBy(group))})
-    at = q * (F.col("__total") - 1)
-    low, high = F.floor(at), F.ceil(at)
-    start = F.col("__end") - F.col("__n")
-    holding = ranged.where(((low >= start) & (low < F.col("__end"))) | ((high >= start) & (high < F.col("__end"))))
-    wanted = holding.select(F.col(group).alias("__g"), F.col("__bucket").alias("__b"), start.alias("__start"), low.alias("__low"), high.alias("__high"), (at - low).alias("__part"))
-    rows = known.join(F.broadcast(wanted), F.col(group).eqNullSafe(F.col("__g")) & (F.col("__bucket") == F.col("__b")))  # two rows for each group
-    place = F.row_number().over(Window.partitionBy(group, "__bucket").orderBy("__v")) - 1 + F.col("__start")
-    around = rows.withColumn("__place", place).groupBy(group).agg(
-        F.max(F.when(F.col("__place") == F.col("__low"), F.col("__v"))).alias("__l"), F.max(F.when(F.col("__place") == F.col("__high"), F.col("__v"))).alias("__h"), F.first("__part").alias("__part")
-    )
-    return around.select(group, (F.col("__l") + (F.col("__h") - F.col("__l")) * F.col("__part")).cast("decimal(38,6)").cast("double").alias(name))
+    known = df.select(group, F.col(value).cast("double").alias("__v"), F.monotonically_increasing_id().alias("__tie")).where("__v is not null")
+    at = q * (F.col("total") - 1)
+    low, high, place = F.floor(at), F.ceil(at), F.col("place") - 1
+    around = places(known, group, "__v", "__tie", buckets=buckets).where((place == low) | (place == high))
+    ends = around.groupBy(group).agg(F.min("__v").alias("__l"), F.max("__v").alias("__h"), F.first(at - low).alias("__part"))
+    return ends.select(group, (F.col("__l") + (F.col("__h") - F.col("__l")) * F.col("__part")).cast("decimal(38,6)").cast("double").alias(name))

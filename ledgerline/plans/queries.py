@@ -516,11 +516,11 @@ def exposition_text(spark, sf_dir):
 
 @query("""SELECT 'events-' || strftime(ts, '%Y.%m.%d') AS index_name, CAST(event_id AS VARCHAR) AS document_id, date_trunc('second', ts) AS event_time, props AS document_json FROM events""")
 def bulk_documents(spark, sf_dir):
-    """Events written as a bulk file, actions in three spellings, and read again."""
+    """Events written as a bulk file, actions in three spellings and documents that hold the text of one, and read again."""
     e = read(spark, sf_dir, "events")
     start = F.get(F.array(*(F.lit(a) for a in ('{"index":{', '{ "create" : {', '{ "index": { '))), (F.col("event_id") % 3).cast("int"))
     action = F.concat(start, F.format_string('"_index":"events-%s","_id":"%d"}}', F.date_format("ts", "yyyy.MM.dd"), "event_id"))
-    document = F.concat(F.lit('{"@timestamp":"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit('","props":'), F.col("props"), F.lit("}"))
+    document = F.concat(F.lit('{"@timestamp":"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit('","es":{"index":{"_id":5}},"props":'), F.col("props"), F.lit("}"))
     path = fresh_path(spark, "bulk")
     e.select(F.concat(action, F.lit("\n"), document).alias("value")).write.text(path)
     rows = bulk.hit_rows(bulk.bulk_hits(spark, path), "bulk", 1)

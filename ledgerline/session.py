@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(master: str | None = None, **settings: str) -> SparkSession:
@@ -42,3 +42,10 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, kind: str) -> str:
     """A path below the shared folder that nothing has."""
     return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The table, written once to the shared folder: what is drawn or numbered while it is made stays as it is, whatever is lost later."""
+    path = fresh_path(df.sparkSession, "table")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.expressions import best_effort_time, millis
@@ -37,25 +41,73 @@ def range_scan(documents: DataFrame, start, end, pattern: str = "*") -> DataFram
     return documents.where(F.col("index_name").like(like) & in_time)
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, start, block, value) of the lines of text files that are not blank; a block is the part of a file that one task reads."""
+    text = spark.read.option("lineSep", "\n").text(path)
+    read = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.rtrim("value", F.lit("\r")).alias("value"))
+    return read.where(~F.col("value").rlike(r"^\s*$")).withColumn("block", F.xxhash64("file", "start"))
+
+
+def _openings(lines: DataFrame) -> dict[int, str | None]:
+    """By block: the action whose document is the block's first line; None where it starts with an action.
+
+    Lines of a file count on from block to block, even ones are actions. One number for each block comes to the driver, and the last line
+    of the block before where that is an action.
+    """
+    blocks = lines.withColumn("__at", F.monotonically_increasing_id()).groupBy("file", "start", "block").agg(F.count("*").alias("n"), F.max_by("value", "__at").alias("last"))
+    in_file = Window.partitionBy("file").orderBy("start")  # one row for each block
+    before = F.coalesce(F.sum("n").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ends = blocks.select("file", "block", before.alias("before"), (before + F.col("n")).alias("upto"), F.lag("last").over(in_file).alias("action"), F.lead("block").over(in_file).isNull().alias("is_last"))
+    open_files = ends.where(F.col("is_last") & (F.col("upto") % 2 == 1)).select("file").first()
+    if open_files:
+        raise ValueError(f"the last action of {open_files[0]} has no document")
+    rows = ends.select("block", F.when(F.col("before") % 2 == 1, F.col("action")).alias("action")).collect()
+    found = {r["block"]: r["action"] for r in rows}
+    if len(found) < len(rows):
+        raise RuntimeError("two blocks of files have one hash")
+    return found
+
+
+def _pairs(openings):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, waiting = None, None
+        for batch in batches:
+            values, blocks = batch.column("value"), batch.column("block").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)]
+            for first, end in zip(edges, edges[1:]):
+                if first == end:
+                    continue
+                if blocks[first] != current:  # an action at the end of the block before belongs to the opening of its next
+                    current = int(blocks[first])
+                    if current not in openings.value:
+                        raise RuntimeError("files were split in another way when their lines were counted")
+                    waiting = openings.value[current]
+                lines = values.slice(first, end - first)
+                if waiting is not None:
+                    lines = pa.concat_arrays([pa.array([waiting], lines.type), lines])
+                waiting = lines[-1].as_py() if len(lines) % 2 else None
+                whole = np.arange(0, len(lines) - len(lines) % 2, 2)
+                yield pa.RecordBatch.from_arrays([lines.take(pa.array(whole)), lines.take(pa.array(whole + 1))], ["action", "_source"])
+
+    return run
+
+
 def bulk_hits(spark: SparkSession, path: str) -> DataFrame:
     """(_index, _id, _source) of bulk files, in which a line for the action (index or create) and one for the document alternate.
 
-    Files are split inside the record reader where a document is followed by an action as
-    tools write it, so they are split among tasks and never read whole. Lines that follow in such a record are further pairs,
-    whose actions are spelled otherwise. A line that is no action where one must stand raises.
+    Which a line is, its place in the file says, never what it holds: documents may hold any text. A first pass counts the lines of each
+    part of a file that one task reads, so that a second one knows with which kind its part starts and, for a document, its action;
+    documents are not shuffled. Blank lines do not count. A line that is no action where one must stand, a document that is no JSON, and a last action without
+    a document raise. A file without lines, or none, gives no row. What goes to the tasks is one number, and at most one action, for each part of a file.
     """
-    start = '{"index":'
-    text = spark.read.option("lineSep", start).text(path).where(F.trim("value") != "")
-    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
-    # The reader takes the start of an action away, but for a file that begins with another spelling.
-    first = F.concat(F.lit(start), F.get("__lines", F.lit(0)))
-    lines_of = F.when(F.get_json_object(first, "$.index").isNotNull(), F.concat(F.array(first), F.slice("__lines", 2, F.size("__lines")))).otherwise(F.col("__lines"))
-    pairs = F.transform(F.sequence(F.lit(0), F.floor((F.size("__lines") - 1) / 2).cast("int")), lambda i: F.struct(F.get("__lines", 2 * i).alias("action"), F.get("__lines", 2 * i + 1).alias("document")))
-    spread = text.select(lines.alias("__lines")).select(lines_of.alias("__lines")).select(F.explode(pairs).alias("p")).select("p.*")
+    lines = _lines(spark, path)
+    openings = spark.sparkContext.broadcast(_openings(lines))
+    pairs = lines.select("block", "value").mapInArrow(_pairs(openings), "action string, _source string")
     named = F.coalesce(F.get_json_object("action", "$.index"), F.get_json_object("action", "$.create"))
-    action = F.when(named.isNotNull(), named).otherwise(F.raise_error(F.concat(F.lit("no action: "), F.substring("action", 1, 80))).cast("string"))
-    parted = spread.select(action.alias("action"), F.col("document").alias("_source"))
-    return parted.select(F.get_json_object("action", "$._index").alias("_index"), F.get_json_object("action", "$._id").alias("_id"), "_source").where("_source is not null")
+    wrong = lambda what, c: F.raise_error(F.concat(F.lit(f"no {what}: "), F.substring(c, 1, 80))).cast("string")
+    action = F.coalesce(named, wrong("action", "action")).alias("action")
+    document = F.when(F.get_json_object("_source", "$").isNotNull(), F.col("_source")).otherwise(wrong("document", "_source")).alias("_source")
+    return pairs.select(action, document).select(F.get_json_object("action", "$._index").alias("_index"), F.get_json_object("action", "$._id").alias("_id"), "_source")
 
 
 def ordered(documents: DataFrame, field: str, *then: str) -> DataFrame:

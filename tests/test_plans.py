@@ -381,3 +381,16 @@ def test_usage_and_levels(spark):
     assert [r[0] for r in spark.createDataFrame([(0.1,), (0.5,), (2.0,)], "v double").select(x.level(F.col("v"), steps)).collect()] == ["green", "yellow", "red"]
     with pytest.raises(ValueError):
         panels.rows_of(spark.range(11), most=10)
+
+
+@pytest.mark.parametrize("values", ["outlier", "heavy", "equal"])
+def test_ranges_hold_about_equally_many_rows(spark, values):
+    """With one value far from all others, with a log-normal column, and with half of the rows equal."""
+    from ledgerline.operators import ranking
+
+    v = {"outlier": F.when(F.col("id") == 7, 1e12).otherwise(F.rand(1)), "heavy": F.exp(F.randn(2) * 3), "equal": F.when(F.col("id") % 2 == 0, 5.0).otherwise(F.rand(3) * 10)}[values]
+    df = spark.range(40_000).select("id", F.lit("g").alias("g"), v.alias("v"))
+    rows = ranking.ranged(df, "g", "v", "id", ranges=20)
+    sizes = [r["count"] for r in rows.groupBy(F.shiftright("__at", 33).alias("r")).count().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    assert [r.place for r in ranking.places(df, "g", "v", "id", buckets=20).orderBy("v", "id").collect()] == list(range(1, 40_001))

@@ -1,5 +1,6 @@
 """Decoding, documents, changes, files and sinks."""
 
+import random
 import json
 import struct
 
@@ -208,3 +209,46 @@ def test_typed_values_of_documents(spark):
     rows = [('{"id":{"$oid":"ab"},"n":{"$numberLong":"5"},"t":{"$date":17}}',), (json.dumps('{"id":"c","n":6,"t":{"$date":"2024"}}'),)]
     got = spark.createDataFrame(rows, "d string").select(changes.plain_json(F.col("d"))).collect()
     assert [json.loads(r[0]) for r in got] == [{"id": "ab", "n": 5, "t": 17}, {"id": "c", "n": 6, "t": "2024"}]
+
+
+def plain_bulk(path):
+    """Bulk files read line by line."""
+    out = []
+    for file in path.iterdir():
+        if file.suffix != ".crc":
+            lines = [x.rstrip("\r") for x in file.read_bytes().decode().split("\n") if x.strip()]
+            for action, document in zip(lines[::2], lines[1::2], strict=True):
+                found = json.loads(action)
+                head = found.get("index") or found.get("create")
+                out.append((head.get("_index"), head.get("_id"), document))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("split", ["300", "1000", "128m"])
+def test_bulk_documents_that_look_like_actions(spark, tmp_path, split):
+    """Documents that hold actions, escaped line ends and other line separators, blank lines, both ends of line, in many small splits."""
+    rng = random.Random(3)
+    odd = [{"es": {"index": 5}}, {"index": {"_index": "no", "_id": "0"}}, {"create": {"_id": "x"}}, {"t": '{"index":{"_id":"1"}}\n{"index":{}}'}, {"t": "a b\u0085c é 😀"}, {}, {"long": "x" * 900}]
+    for k in range(3):
+        with open(tmp_path / f"f{k}.ndjson", "wb") as f:
+            for i in range(150):
+                action = {rng.choice(["index", "create"]): {"_index": f"i{k}", "_id": str(i)} if i % 9 else {"_index": "i"}}
+                for part in (action, rng.choice(odd)):
+                    text = json.dumps(part, ensure_ascii=rng.random() < 0.5, separators=rng.choice([(",", ":"), (", ", " : ")]))
+                    f.write(text.encode() + rng.choice([b"\n", b"\r\n"]) + rng.choice([b"", b"", b"\n", b"  \t\r\n"]))
+    (tmp_path / "empty.ndjson").write_bytes(b"\n \n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        hits = documents.bulk_hits(spark, str(tmp_path))
+        assert sorted(map(tuple, hits.collect()), key=str) == plain_bulk(tmp_path)
+        assert split == "128m" or hits.rdd.getNumPartitions() > 30
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("text", ['{"index":{"_id":"1"}}\n', '{"index":{"_id":"1"}}\n{"a":1}\n{"a":2}\n{"a":3}\n', '{"index":{"_id":"1"}}\nno json\n', '{"delete":{"_id":"1"}}\n{"a":1}\n'])
+def test_bulk_files_that_do_not_alternate_raise(spark, tmp_path, text):
+    (tmp_path / "x.ndjson").write_text(text)
+    with pytest.raises(Exception, match="no document|no action"):
+        documents.bulk_hits(spark, str(tmp_path)).collect()
