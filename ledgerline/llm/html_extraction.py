@@ -49,6 +49,14 @@ NAMES = frozenset(
     "login popup modal overlay comment comments commentlist reply replies respond disqus footer header masthead share sharing "
     "social related recommended widget toolbar pagination pager complementary contentinfo search dialog".split()
 )
+#: Of these, words that also name content. Beside a word that is no part of a layout they are only a hint, which links must bear out.
+HINTS = frozenset("alert banner dialog header notice notices overlay related recommended search share sharing signup social subscription toolbar widget".split())
+LAYOUT = frozenset(
+    "area articles bar block box bottom buttons button center class col column container content default fixed group icon icons inner item items js left line link links list main media mobile "
+    "outer page pages panel posts primary right row secondary section site sm small lg large md top wrap wrapper".split()
+)
+#: Share of a hinted element's characters that stand in links, from which on it is furniture.
+LINKED = 0.5
 #: Whose text is never text of the page.
 MUTE = frozenset("head title script style template iframe svg canvas object select option textarea audio video map math xmp noembed noframes".split())
 #: Never templates as a whole.
@@ -65,10 +73,10 @@ CONTENT = frozenset(["article", "main"])
 class Element:
     """An open element: ``home`` is the nearest one that is not inline, ``marks`` the digests of what is in it."""
 
-    __slots__ = ("tag", "skip", "mute", "article", "name", "first", "home", "marks")
+    __slots__ = ("tag", "skip", "mute", "article", "name", "first", "home", "marks", "hint")
 
     def __init__(self, tag: str, above: Element | None):
-        self.tag, self.name, self.first, self.marks = tag, "", -1, []
+        self.tag, self.name, self.first, self.marks, self.hint = tag, "", -1, [], False
         self.skip, self.mute, self.article = (above.skip, above.mute, above.article) if above else (False, False, 0)
         self.home = above.home if above and tag in INLINE else self
 
@@ -76,7 +84,7 @@ class Element:
 class Page(NamedTuple):
     """The blocks of a page in order, and its subtrees.
 
-    ``texts`` is None for blocks that tags or names mark as furniture; ``owns`` are digests of the block's element, odd. ``trees``
+    ``texts`` is None for blocks that tags, names or links mark as furniture; ``owns`` are digests of the block's element, odd. ``trees``
     are (digest, first block, end) of all subtrees that hold more than one block or are no leaf, even.
     """
 
@@ -85,13 +93,20 @@ class Page(NamedTuple):
     trees: list[tuple[int, int, int]]
 
 
-def _names(attributes: str) -> tuple[bool, str]:
-    """(is furniture, what the element calls itself)."""
+def _names(attributes: str) -> tuple[int, str]:
+    """(2: is furniture, 1: may be, 0: is not; what the element calls itself)."""
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return False, ""
+        return 0, ""
     found = [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)]
-    words = {w for _, v in found for w in re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", v).lower())}
-    return bool(words & NAMES or HIDDEN.search(attributes)), " ".join(v for _, v in found)
+    shown = " ".join(v for _, v in found)
+    if HIDDEN.search(attributes):
+        return 2, shown
+    sign = 0
+    for name in shown.split():
+        words = {w for w in re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if w}
+        if named := words & NAMES:
+            sign = max(sign, 1 if named <= HINTS and any(not w.isdigit() for w in words - NAMES - LAYOUT) else 2)
+    return sign, shown
 
 
 def _digest(text: str) -> int:
@@ -130,14 +145,16 @@ def parse(html: str) -> Page:
     """All blocks of text of a page, furniture included, and the digests of the element subtrees around them.
 
     A subtree's digest is made of its children's, so the work grows with the page and not with its depth. Blocks
-    that tags or names mark as furniture are kept without their text; so are those outside the articles of a page that has some.
+    that tags or names mark as furniture are kept without their text. So are those of an element whose name only hints at it and whose text is
+    links for the most part; and those outside the articles, or the main part, of a page where these hold at least half of its text.
     """
     page, articles_of = Page([], [], []), []
     root = Element("", None)
-    stack, open_tags, buffer = [root], Counter(), []
-    position = articles = 0
+    stack, open_tags, buffer, linked = [root], Counter(), [], []
+    position = articles = in_links = 0
 
     def flush() -> None:
+        nonlocal in_links
         text = " ".join(entities.unescape("".join(buffer)).split())
         buffer.clear()
         if text:
@@ -147,6 +164,8 @@ def parse(html: str) -> Page:
             page.texts.append(None if top.skip else text)
             page.owns.append(own)
             articles_of.append(top.article)
+            linked.append(min(in_links, len(text)))
+        in_links = 0
 
     def pop_to(depth: int) -> None:
         while len(stack) > depth:
@@ -155,6 +174,11 @@ def parse(html: str) -> Page:
             blocks = len(page.texts) - element.first
             if element.first < 0 or not blocks:
                 continue
+            if element.hint:
+                inside = range(element.first, len(page.texts))
+                if sum(linked[i] for i in inside) >= LINKED * sum(len(page.texts[i] or "") for i in inside):
+                    for i in inside:
+                        page.texts[i] = None
             digest = _digest(f"{element.tag} {element.name} {element.marks}") & ~1
             stack[-1].home.marks.append(digest)
             if element.tag not in WHOLE and (blocks > 1 or element.tag not in LEAVES):
@@ -163,7 +187,10 @@ def parse(html: str) -> Page:
     for start, end, tag, ends, attributes in tokens(html):
         top = stack[-1]
         if start > position and not top.mute:
-            buffer.append(html[position:start])
+            # What is left out inside a line still parts the words around it.
+            buffer.append(" " if top.skip and not top.home.skip else html[position:start])
+            if open_tags["a"]:
+                in_links += start - position
         position = end
         if not tag:
             continue
@@ -197,7 +224,8 @@ def parse(html: str) -> Page:
                 element.mute = element.skip = True
             elif not above.skip:
                 in_article = bool(above.article)
-                element.skip = tag in FURNITURE or named and (tag not in WHOLE or tag == "article" and in_article)
+                element.skip = tag in FURNITURE or named == 2 and (tag not in WHOLE or tag == "article" and in_article)
+                element.hint = named == 1 and not element.skip and tag not in WHOLE and tag not in INLINE
                 if tag == "header" and in_article and not named:
                     element.skip = False  # an article's own heading
                 if tag in CONTENT and not element.skip and (not in_article or tag == "article" and above.article < 0):
@@ -211,8 +239,12 @@ def parse(html: str) -> Page:
         buffer.append(html[position:])
     flush()
     pop_to(1)
-    level = 1 if any(a > 0 for a, t in zip(articles_of, page.texts) if t) else -1 if any(a < 0 for a, t in zip(articles_of, page.texts) if t) else 0
-    page.texts[:] = [t if not level or a * level > 0 else None for a, t in zip(articles_of, page.texts)]
+    # Main text is where most of the text is: a teaser in an article does not outweigh the part that it stands in.
+    mass = [sum(len(t) for a, t in zip(articles_of, page.texts) if t and sign(a)) for sign in (lambda a: a > 0, lambda a: a < 0, lambda a: not a)]
+    if mass[0] and mass[0] >= mass[1] + (mass[2] if not mass[1] else 0):
+        page.texts[:] = [t if a > 0 else None for a, t in zip(articles_of, page.texts)]
+    elif mass[0] + mass[1] >= mass[2] and mass[0] + mass[1]:
+        page.texts[:] = [t if a else None for a, t in zip(articles_of, page.texts)]
     return page
 
 

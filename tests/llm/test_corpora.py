@@ -475,3 +475,21 @@ def test_pipeline_stage_by_stage(spark):
     order = lambda df: sorted(map(repr, df.collect()))
     assert order(whole) == order(docs)
     assert corpus_pipeline.near_duplicate(spark, docs.select("doc_id", F.lit("x").alias("text"), "lang", "source", F.lit(1).alias("n_chars")).limit(0), DATA).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<main><p>main para</p><article class="teaser"><h2>t</h2></article></main>', ["main para", "t"]),
+        ('<section class="related-work"><p>Others have tried.</p></section>', ["Others have tried."]),
+        ('<p>One.</p><div class="social-history"><p>In the village</p></div>', ["One.", "In the village"]),
+        ('<p>a<span class="share">Share</span>b</p>', ["a b"]),
+        ('<p>One.</p><div class="related-articles"><p>Two.</p></div><div class="comments"><p>Three.</p></div>', ["One."]),
+        ('<p>One.</p><div class="related-reading-x"><p><a href=a>Two three</a> or <a href=b>four</a></p></div>', ["One."]),
+        ("<div><p>A long way outside of any article.</p></div><article><p>Short.</p></article>", ["A long way outside of any article.", "Short."]),
+        ("<p>Outside.</p><article><p>A long text that the page is about.</p></article><p>Below.</p>", ["A long text that the page is about."]),
+        ("<p>Outside.</p><main><p>A part before it.</p><article><p>A long text that the page is about.</p></article></main>", ["A long text that the page is about."]),
+    ],
+)
+def test_main_text_goes_by_mass_and_hints_by_links(page, text):
+    assert shown(page) == text
