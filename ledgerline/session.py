@@ -49,3 +49,9 @@ def written(df: DataFrame) -> DataFrame:
     path = fresh_path(df.sparkSession, "table")
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path and the path as it knows it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), found
