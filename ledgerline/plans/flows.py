@@ -9,7 +9,7 @@ from ledgerline.functions import expressions as x
 from ledgerline.plans.queries import ntz, query, read
 from ledgerline.session import fresh_path
 from ledgerline.sources import keyed, metrics, paged, pushed
-from ledgerline.streaming import ledger
+from ledgerline.streaming import ledger, stateful
 
 
 @query("SELECT event_id, ts, user_id, event_type, value FROM events")
@@ -80,3 +80,57 @@ def keyed_upsert_state(spark, sf_dir):
         table.upsert(part, "o_orderdate", "o_orderkey", deleted="gone")
     table.delete("o_totalprice", 50000, 60000)
     return table.read()
+
+
+#: Rows that come when the others are there, as those of a device that was offline.
+STRAGGLERS = "event_id % 40 = 7"
+
+
+def arrivals(spark, sf_dir: str, run) -> None:
+    """Events as they come in: those of the first days, of the others, the stragglers, and at last one row of a time far ahead. ``run`` takes the stream after each."""
+    events = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value").where("ts is not null")
+    folder = fresh_path(spark, "arrivals")
+    half = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    end = events.agg((F.max("ts") + F.expr("interval 30 days")).alias("ts")).select(F.lit(-1).cast("bigint").alias("event_id"), "ts", F.lit(-1).cast("bigint").alias("user_id"), F.lit("end").alias("event_type"), F.lit(0.0).alias("value"))
+    known = events.where(~F.expr(STRAGGLERS))
+    for part in (known.where(half), known.where(~half), events.where(STRAGGLERS), end):
+        part.write.mode("append").parquet(folder)
+        run(spark.readStream.schema(events.schema).parquet(folder))
+
+
+def settled(spark, sf_dir: str, make, name: str) -> DataFrame:
+    """What a stream of results holds when the events have come in, its query stopped and started again after each part."""
+    checkpoint, out = fresh_path(spark, "checkpoint"), []
+    book = ledger.Ledger(spark, fresh_path(spark, "stateful"), name)
+
+    def run(stream: DataFrame) -> None:
+        results = make(stream)
+        results.writeStream.outputMode("append").foreachBatch(book.append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        out[:] = [results.schema]
+
+    arrivals(spark, sf_dir, run)
+    return book.table(out[0]).where("key <> '-1' and key <> 'end'")
+
+
+#: The watermark when the stragglers come: whole milliseconds, ten minutes before the latest of the others.
+_WATERMARK = f"(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTES FROM events WHERE NOT ({STRAGGLERS}))"
+_LATE = f"({STRAGGLERS} AND ts < {_WATERMARK})"
+
+
+@query(f"""SELECT 'session' AS kind, user_id, min(ts) AS session_start, max(ts) AS last_event, count(*) AS events, NULL::BIGINT AS event_id FROM (
+ SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (
+ SELECT *, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTES THEN 1 ELSE 0 END AS fresh FROM events WHERE NOT {_LATE})) GROUP BY user_id, s
+ UNION ALL SELECT 'late', user_id, NULL, NULL, NULL, event_id FROM events WHERE {_LATE}""")
+def stream_sessions_and_late(spark, sf_dir):
+    """Sessions of a stream by state and timers, and the rows that came too late for them."""
+    found = settled(spark, sf_dir, lambda s: stateful.stream_sessions(s, "user_id", "ts", "event_id"), "sessions")
+    return ntz(found.select("kind", F.col("key").cast("bigint").alias("user_id"), "session_start", "last_event", "events", F.col("id").alias("event_id")), "session_start", "last_event")
+
+
+@query(f"""SELECT 'sample' AS kind, event_type, event_id, value, CASE WHEN value >= prev THEN value - prev WHEN prev IS NOT NULL THEN value END AS increase
+ FROM (SELECT *, lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS prev FROM events WHERE NOT {_LATE} AND value IS NOT NULL)
+ UNION ALL SELECT 'late', event_type, event_id, value, NULL FROM events WHERE {_LATE} AND value IS NOT NULL""")
+def stream_counters_and_late(spark, sf_dir):
+    """Gains of counters over a stream, resets among them, and the samples that came too late."""
+    found = settled(spark, sf_dir, lambda s: stateful.stream_increases(s, "event_type", "ts", "event_id", "value"), "counters")
+    return found.select("kind", F.col("key").alias("event_type"), F.col("id").alias("event_id"), "value", "increase")
