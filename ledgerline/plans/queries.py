@@ -18,7 +18,7 @@ from ledgerline.operators import corpus, filters, joins, ranking, series, versio
 from ledgerline.plans import catalog, guarded, panels, views
 from ledgerline.schemas import OFFSETS, table_from_source
 from ledgerline.session import fresh_path
-from ledgerline.sources import changes, generators, metrics
+from ledgerline.sources import changes, metrics
 from ledgerline.sources import documents as bulk
 from ledgerline.streaming import micro_batches
 
@@ -445,17 +445,6 @@ def old_models_by_warehouse(spark, sf_dir):
     return kept.groupBy("warehouse_name").agg(F.count("*").alias("cars"))
 
 
-@query("""SELECT city, stock_status, count(*) AS cars FROM (SELECT CASE (g - 1) % 3 WHEN 0 THEN 'Tokyo' WHEN 1 THEN 'Moscow' ELSE 'Minsk' END AS city,
- CASE WHEN g % 19 = 0 THEN 'maintenance' WHEN g % 7 = 0 THEN 'reserved' ELSE 'available' END AS stock_status FROM range(1, 3001) t(g)) GROUP BY 1, 2""")
-def generated_inventory(spark, sf_dir):
-    return generators.car_inventory(spark).groupBy("city", "stock_status").agg(F.count("*").alias("cars"))
-
-
-@query("SELECT strftime(TIMESTAMP '2026-05-21 12:00:00' + to_minutes(CAST(g * 6 AS BIGINT)), '%Y.%m.%d') AS day, count(*) AS documents FROM range(720) t(g) GROUP BY 1")
-def generated_documents(spark, sf_dir):
-    return generators.log_documents(spark).groupBy(F.substring("_index", -10, 10).alias("day")).agg(F.count("*").alias("documents"))
-
-
 @query(f"SELECT city, brand, count(*) AS cars, {mean_sql('price_usd', 2)} AS avg_price_usd FROM {CARS} GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 20")
 def load_summary_top20(spark, sf_dir):
     grouped = inventory(spark, sf_dir).groupBy("city", "brand").agg(F.count("*").alias("cars"), x.exact_mean(F.col("price_usd")).alias("avg_price_usd"))
@@ -537,108 +526,49 @@ def counter_gain_by_series(spark, sf_dir):
     return grown.groupBy("event_type", "user_id").agg(F.count("*").alias("samples"), F.round(x.exact_sum(F.col("increase")), 3).alias("gained"))
 
 
-def scenario_samples(spark: SparkSession, hours: int = 72) -> DataFrame:
-    """The metric scenario as rows of the samples' table."""
-    made = generators.service_metrics(spark, hours)
-    named = F.map_concat("labels", F.create_map(F.lit("__name__"), F.col("metric_name")))
-    return metrics.sample_rows(made.select(named.alias("labels"), F.unix_millis("sample_time").alias("timestamp"), "value"), "backfill")
+def service_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as samples of services: the type is the service, the user its instance, values under 90 are up; the gauge and the counter are the value."""
+    e = read(spark, sf_dir, "events")
+    labels = F.create_map(F.lit("job"), F.lit("events"), F.lit("service"), F.col("event_type"), F.lit("instance"), F.concat("event_type", F.lit(":"), F.col("user_id").cast("string")))
+    metric = F.explode(
+        F.array(
+            F.struct(F.lit("synthetic_service_up").alias("name"), (F.col("value") < 90).cast("double").alias("value")),
+            F.struct(F.lit("synthetic_db_connections").alias("name"), F.col("value")),
+            F.struct(F.lit("synthetic_http_requests_total").alias("name"), F.col("value")),
+        )
+    )
+    spread = e.select(F.col("ts").cast("timestamp").alias("ts"), labels.alias("labels"), metric.alias("m"))
+    named = F.map_concat("labels", F.create_map(F.lit("__name__"), F.col("m.name")))
+    return metrics.sample_rows(spread.select(named.alias("labels"), F.unix_millis("ts").alias("timestamp"), F.col("m.value").alias("value")), "backfill")
 
 
-@query("""SELECT name AS metric_name, CAST(n * 4321 AS BIGINT) AS samples FROM (VALUES ('synthetic_service_up', 10), ('synthetic_incident_active', 5), ('synthetic_db_connections', 5),
- ('synthetic_db_query_duration_seconds_p95', 5), ('synthetic_db_replication_lag_seconds', 5), ('synthetic_db_disk_usage_ratio', 5), ('synthetic_process_restarts_total', 10),
- ('synthetic_log_events_total', 25), ('synthetic_http_requests_total', 30), ('synthetic_http_request_duration_seconds_p95', 15)) t(name, n)""")
-def metric_families(spark, sf_dir):
-    return scenario_samples(spark).groupBy("metric_name").agg(F.count("*").alias("samples"))
+#: Events of the last day of the data, at the milliseconds that samples have.
+LAST_DAY = "(SELECT *, date_trunc('millisecond', ts) AS moment FROM events WHERE date_trunc('millisecond', ts) > (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 24 HOURS)"
 
 
-@query("""SELECT 'mysql-billing-1:3306' AS instance, 'db-mysql-billing' AS service, turned AS "at", state FROM (VALUES (TIMESTAMP '2026-05-23 13:05:00', 'down'), (TIMESTAMP '2026-05-23 13:29:00', 'up')) t(turned, state)""")
-def targets_down_and_up(spark, sf_dir):
-    return ntz(views.transitions(scenario_samples(spark)), "at")
+@query("SELECT 'synthetic_' || name AS metric_name, count(*) AS samples FROM events, (VALUES ('service_up'), ('db_connections'), ('http_requests_total')) m(name) GROUP BY 1")
+def metric_families(spark, sf_dir):
+    return service_samples(spark, sf_dir).groupBy("metric_name").agg(F.count("*").alias("samples"))
 
 
-SERVICE_NAMES = ", ".join(f"('{t[2]}')" for t in generators.TARGETS)
+@query(f"""SELECT event_type || ':' || user_id AS instance, event_type AS service, moment AS "at", CASE WHEN up THEN 'up' ELSE 'down' END AS state FROM (
+ SELECT *, value < 90 AS up, lag(value < 90) OVER (PARTITION BY event_type, user_id ORDER BY moment) AS before FROM {LAST_DAY}) WHERE before <> up""")
+def targets_down_and_up(spark, sf_dir):
+    return ntz(views.transitions(service_samples(spark, sf_dir)), "at")
 
 
-@query(f"""SELECT service, CAST(round((1440 - CASE WHEN service = 'db-mysql-billing' THEN 24 ELSE 0 END) / 1440.0, 4) AS DOUBLE) AS availability, CAST(1440 AS BIGINT) AS samples FROM (VALUES {SERVICE_NAMES}) t(service)""")
+@query(f"SELECT event_type AS service, {mean_sql('CASE WHEN value < 90 THEN 1 ELSE 0 END', 4)} AS availability, count(*) AS samples FROM {LAST_DAY} GROUP BY 1")
 def availability_by_service(spark, sf_dir):
-    return views.availability(scenario_samples(spark), "24 hours")
-
-
-JITTER = "sin((h + m * 17) * CAST(0.013 AS DOUBLE))"
-
-
-def _hashes(suffix: str, rows: list[tuple]) -> str:
-    """Values of (service, h, ..) for SQL: the 32-bit hash of the service and a suffix, which DuckDB does not have."""
-
-    def text_hash(text: str) -> int:
-        h = 0
-        for c in text:
-            h = (h * 31 + ord(c)) % 2**32
-        return min(h, 2**32 - h)
+    return views.availability(service_samples(spark, sf_dir), "24 hours")
 
-    return ", ".join(f"('{r[0]}', {text_hash(r[0] + suffix)}, {', '.join(repr(v) for v in r[1:])})" for r in rows)
 
-
-def _minutes(hours: int) -> str:
-    """SQL of the minutes since 1970 (m) and of the day (d) in the last hours of the scenario."""
-    return f"(SELECT m, m % 1440 AS d FROM (SELECT CAST(epoch(TIMESTAMP '2026-05-24 12:00:00') AS BIGINT) // 60 - i AS m FROM range({hours * 60}) t(i)))"
-
-
-DATABASES = [(t[2], {e: v for e, *v in generators.ENGINES}[t[1]]) for t in generators.TARGETS if t[0] == "db"]
-
-
-@query(f"""SELECT service, CAST(round(max(v), 4) AS DOUBLE) AS highest, count(*) AS samples FROM (
- SELECT service, least(0.98, base + CASE WHEN service = 'db-mongodb-events' AND d BETWEEN 1020 AND 1155 THEN 0.28 ELSE 0 END + (sin((d + 180) / 1440.0 * 2 * pi()) + 1) / 2 * 0.05 + abs({JITTER} * 0.015)) AS v
- FROM {_minutes(24)} CROSS JOIN (VALUES {_hashes(":disk", [(s, v[2]) for s, v in DATABASES])}) t(service, h, base)) GROUP BY 1""")
-def disk_usage_by_service(spark, sf_dir):
-    found = views.gauge_by(scenario_samples(spark), "synthetic_db_disk_usage_ratio", "service", "24 hours")
-    return found.select("service", F.round("highest", 4).alias("highest"), "samples")
-
-
-@query(f"""SELECT service, CAST(round(max(v), 4) AS DOUBLE) AS highest, count(*) AS samples FROM (
- SELECT service, CASE WHEN service = 'db-mysql-billing' AND d BETWEEN 785 AND 808 THEN 180 ELSE CASE WHEN service = 'db-postgres-primary' AND d BETWEEN 135 AND 190 THEN 45
- WHEN service = 'db-mongodb-events' AND d BETWEEN 1020 AND 1155 THEN 18 ELSE 1.5 END + abs({JITTER} * 3) END AS v
- FROM {_minutes(24)} CROSS JOIN (VALUES {_hashes(":lag", [(s, 0) for s, _ in DATABASES])}) t(service, h, base)) GROUP BY 1""")
-def replication_lag_by_service(spark, sf_dir):
-    found = views.gauge_by(scenario_samples(spark), "synthetic_db_replication_lag_seconds", "service", "24 hours")
-    return found.select("service", F.round("highest", 4).alias("highest"), "samples")
-
-
-@query(f"""SELECT service, CAST(round(max(v), 4) AS DOUBLE) AS highest, count(*) AS samples FROM (
- SELECT service, CASE WHEN service = 'db-mysql-billing' AND d BETWEEN 785 AND 808 THEN 0 ELSE greatest(0.005, base * CASE WHEN service = 'db-postgres-primary' AND d BETWEEN 135 AND 190 THEN 6
- WHEN service = 'db-mongodb-events' AND d BETWEEN 1020 AND 1155 THEN 3.8 ELSE 1 END + {JITTER} * 0.008) END AS v
- FROM {_minutes(24)} CROSS JOIN (VALUES {_hashes(":query", [(s, v[1]) for s, v in DATABASES])}) t(service, h, base)) GROUP BY 1""")
-def query_time_by_service(spark, sf_dir):
-    found = views.gauge_by(scenario_samples(spark), "synthetic_db_query_duration_seconds_p95", "service", "24 hours")
-    return found.select("service", F.round("highest", 4).alias("highest"), "samples")
-
-
-@query(f"""SELECT service, CAST(max(v) AS DOUBLE) AS highest, count(*) AS samples FROM (
- SELECT service, CASE WHEN service = 'db-mysql-billing' AND d BETWEEN 785 AND 808 THEN 0 ELSE round_even(base + (sin((d - 240) / 1440.0 * 2 * pi()) + 1) / 2 * 26 + {JITTER} * 6, 0) END AS v
- FROM {_minutes(24)} CROSS JOIN (VALUES {_hashes(":conn", [(s, v[0]) for s, v in DATABASES])}) t(service, h, base)) GROUP BY 1""")
+@query(f"SELECT event_type AS service, max(value) AS highest, {mean_sql('value', 6)} AS mean, count(*) AS samples FROM {LAST_DAY} GROUP BY 1")
 def connections_by_service(spark, sf_dir):
-    return views.gauge_by(scenario_samples(spark), "synthetic_db_connections", "service", "24 hours").select("service", "highest", "samples")
-
-
-ROUTE_LATENCY = [(f"{s}:{r}", latency, s, 1.2 if r == "/login" else 1.6 if r == "/send" else 1.0) for s, _, latency, _, rs in generators.SERVICES for r in rs]
-
-
-@query(f"""SELECT service, CAST(round(max(v), 4) AS DOUBLE) AS highest, count(*) AS samples FROM (
- SELECT service, greatest(0.01, base * weight * CASE WHEN service = 'payment-service' AND d BETWEEN 570 AND 625 THEN 8 WHEN service = 'notification-service' AND d BETWEEN 1260 AND 1340 THEN 3.2 ELSE 1 END
- + {JITTER} * 0.025) AS v FROM {_minutes(24)} CROSS JOIN (VALUES {_hashes(":lat", ROUTE_LATENCY)}) t(name, h, base, service, weight)) GROUP BY 1""")
-def request_latency_by_service(spark, sf_dir):
-    found = views.gauge_by(scenario_samples(spark), "synthetic_http_request_duration_seconds_p95", "service", "24 hours")
-    return found.select("service", F.round("highest", 4).alias("highest"), "samples")
+    return views.gauge_by(service_samples(spark, sf_dir), "synthetic_db_connections", "service", "24 hours").select("service", "highest", "mean", "samples")
 
 
-@query(f"""SELECT service, CAST(round(sum(CASE WHEN v >= p THEN v - p WHEN p IS NOT NULL THEN v END), 0) AS DOUBLE) AS gained, count(*) AS samples FROM (SELECT *, lag(v) OVER (PARTITION BY service, status ORDER BY m) AS p FROM (
- SELECT service, m, status, greatest(0, m * (greatest(1, base * (0.65 + (sin((d - 360) / 1440.0 * 2 * pi()) + 1) / 2 * 0.7) + {JITTER} * base * 0.04) / 3
- * CASE WHEN status = 0 THEN 1 - (errors + abs(sin((e + m * 17) * CAST(0.013 AS DOUBLE)) * errors)) ELSE errors + abs(sin((e + m * 17) * CAST(0.013 AS DOUBLE)) * errors) END) + n * CASE WHEN status = 0 THEN 1 ELSE 7 END) AS v
- FROM {_minutes(1)} CROSS JOIN (SELECT a.service, a.h, a.base, a.errors, a.n, b.h AS e FROM (VALUES {_hashes("", [(s, r, er, len(rs[0])) for s, r, _, er, rs in generators.SERVICES])}) a(service, h, base, errors, n)
- JOIN (VALUES {_hashes(":err", [(s, 0) for s, *_ in generators.SERVICES])}) b(service, h, z) ON a.service = b.service) CROSS JOIN (VALUES (0), (1)) s(status))) GROUP BY 1""")
+@query(f"""SELECT event_type AS service, CAST(round(sum(CAST(gain AS DECIMAL(28,6))), 3) AS DOUBLE) AS gained, count(*) AS samples FROM (
+ SELECT event_type, CASE WHEN value >= before THEN value - before ELSE CASE WHEN before IS NOT NULL THEN value END END AS gain FROM (
+ SELECT *, lag(value) OVER (PARTITION BY event_type, user_id ORDER BY moment) AS before FROM {LAST_DAY})) GROUP BY 1""")
 def requests_by_service(spark, sf_dir):
-    """Gain of one route's counters, the first of each service, over the last hour."""
-    first = [rs[0] for *_, rs in generators.SERVICES]
-    samples = scenario_samples(spark).where(F.get_json_object("labels_json", "$.route").isin(first))
-    found = views.counter_by(samples, "synthetic_http_requests_total", "service", "1 hour")
-    return found.select("service", F.round("gained", 0).alias("gained"), "samples")
+    return views.counter_by(service_samples(spark, sf_dir), "synthetic_http_requests_total", "service", "24 hours")
