@@ -26,6 +26,8 @@ RULES = (
 URL_PARTS = r"^(?s:.*?)://([^/?#]*)([^?#]*)(\??[^#]*)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MOST_INLINE_RULES = 500
+#: Where tags are text: comments, and elements whose content is none.
+UNSEEN = r"(?is)<!--.*?(?:-->|\z)|" + "|".join(rf"<{name}\b.*?(?:</{name}\b|\z)" for name in ("script", "style", "textarea", "title", "template"))
 
 
 def host(url: Column) -> Column:
@@ -118,14 +120,15 @@ def resolved(url: Column, reference: Column) -> Column:
 def links(pages: DataFrame) -> DataFrame:
     """Edges (a, b) between the nodes of pages and the targets of all their canonical links and refreshes.
 
-    References are decoded and resolved against the page's URL.
+    References are decoded and resolved against the page's URL. Tags in comments and in the text of scripts, styles, titles, templates and
+    text fields link nothing.
     """
     html = F.col("html")
     value = r"""(?:"([^"]*)"|'([^']*)'|["']?([^\s"'>]+))"""
-    some = pages.where("url is not null and html is not null").where(html.rlike(r"(?i)<(link|meta)\b[^>]*\b(canonical|refresh)\b"))
+    some = pages.where("url is not null and html is not null").where(html.rlike(r"(?i)\b(?:canonical|refresh)\b"))
     # With quotes that do not match, a tag ends at the next >.
     tag = r"""(?is)<(?:link|meta)\b(?:(?:[^>"']++|"[^"]*+"|'[^']*+'){0,500}+>|[^>]*+>)"""
-    tags = some.select("url", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(tag), F.lit(0)))).alias("__tag"))
+    tags = some.select("url", F.explode(F.array_distinct(F.regexp_extract_all(F.regexp_replace("html", UNSEEN, " "), F.lit(tag), F.lit(0)))).alias("__tag"))
 
     def attribute(name: str) -> Column:
         start = rf"(?is)\s{name}\s*=\s*{value}"
@@ -176,5 +179,9 @@ def judge_urls(pages: DataFrame, edges: DataFrame, rules=RULES) -> DataFrame:
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule and verdict of every page, whose aliases are those of its canonical links and refreshes.
+
+    URLs of any length are read whole; null and odd ones fit no rule and have no alias.
+    """
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return judge_urls(pages.drop("html"), links(pages)).select("page_id", "host", "path", "rule", "verdict")

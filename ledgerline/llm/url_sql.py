@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm.url_filters import LOWER, RULES, UPPER, URL_PARTS
+from ledgerline.llm.url_filters import LOWER, RULES, UNSEEN, UPPER, URL_PARTS
 
 _RULES = ", ".join("('{}', '{}', '{}', '{}')".format(rule, verdict, rule.split("/")[0], rule[rule.index("/") :]) for rule, verdict in RULES)
 _VALUE = """(?:"([^"]*)"|''([^'']*)''|["'']?([^\\s"''>]+))"""
@@ -48,7 +48,7 @@ _DOTS = """list_reduce(list_transform(string_split(full_path, '/'), lambda s: [s
 OP2_SQL = f"""WITH RECURSIVE rules(rule, verdict, h, p) AS (VALUES {_RULES}),
  parts AS (SELECT page_id, url, html, {_host('url')} AS host, {_part('url', 2)} AS path, {_node('url')} AS node FROM pages),
  judged AS (SELECT page_id, host, path, node, {_best('rule', 'parts')} AS rule, {_best('verdict', 'parts')} AS own FROM parts),
- tags AS (SELECT url, host, path, node, unnest(list_distinct(regexp_extract_all(html, '{_TAG}'))) AS tag FROM parts WHERE node IS NOT NULL AND html IS NOT NULL),
+ tags AS (SELECT url, host, path, node, unnest(list_distinct(regexp_extract_all(regexp_replace(html, '{UNSEEN}', ' ', 'g'), '{_TAG}'))) AS tag FROM parts WHERE node IS NOT NULL AND html IS NOT NULL),
  attributes AS (SELECT *, {_attribute('rel')} AS rel, {_decoded(_attribute('href'))} AS href, {_attribute('http-equiv')} AS kind, {_decoded(_attribute('content'))} AS content FROM tags),
  found AS (SELECT url, host, path, node, trim(CASE WHEN regexp_matches(tag, '(?i)^<link') AND regexp_matches(rel, '(?i)(^|\\s)canonical(\\s|$)') THEN href
   WHEN regexp_matches(tag, '(?i)^<meta') AND regexp_matches(kind, '(?i)^\\s*refresh\\s*$') THEN {_groups('content', _AFTER)} END) AS ref FROM attributes),

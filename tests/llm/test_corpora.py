@@ -493,3 +493,17 @@ def test_pipeline_stage_by_stage(spark):
 )
 def test_main_text_goes_by_mass_and_hints_by_links(page, text):
     assert shown(page) == text
+
+
+def test_links_that_are_text_and_tags_with_signs_in_quotes(spark, tmp_path):
+    """Edges by hand: a tag that holds > in quotes links, tags in comments, scripts, styles, titles and fields do not; the SQL agrees."""
+    link = '<link title="a>b" rel="canonical" href="http://q.net/es/{}">'
+    shown = {1: link.format(1), 2: f"<!-- {link.format(2)} -->", 3: f"<script>var s = '{link.format(3)}'</script>", 4: f"<style>{link.format(4)}</style>", 5: f"<textarea>{link.format(5)}</textarea>"}
+    shown |= {6: f"<title>{link.format(6)}</title>", 7: f"<!-- open {link.format(7)}", 8: f"<script>'<!--'</script>{link.format(8)}<!-- -->", 9: f"<!-- <script> -->{link.format(9)}</script>", 10: f"<template>{link.format(10)}</template>"}
+    shown |= {11: f"<SCRIPT type=x>a</SCRIPT >{link.format(11)}<script>open {link.format(111)}"}
+    rows = [(i, f"http://a.org/{i}", f"<html>{h}<body>x") for i, h in shown.items()]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    edges = url_filters.links(spark.read.parquet(str(tmp_path / "pages.parquet"))).collect()
+    assert sorted((r.a, r.b) for r in edges) == sorted((f"a.org/{i}", f"q.net/es/{i}") for i in (1, 8, 9, 11))
+    got = sorted(map(tuple, url_filters.op2_url_filters(spark, str(tmp_path)).collect()))
+    assert got == sorted(sql_rows(tmp_path, OP2_SQL)) and [r[0] for r in got if r[4] == "block"] == [1, 8, 9, 11]
