@@ -32,8 +32,8 @@ from ledgerline.llm.common import table, text_or_empty
 NEVER = 1 << 60
 #: Unicode's White_Space, as the vocabulary file's pattern means it.
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Words remembered by each Python worker; others are encoded again when they recur.
-REMEMBERED = 400_000
+#: Words remembered by a task; others are encoded again when they recur. A worker's process outlives its task, so the task forgets them when it ends.
+REMEMBERED = 200_000
 #: Bytes of a word up to which its ranks are scanned.
 SHORT = 96
 
@@ -141,6 +141,10 @@ class Bpe:
             self.known[word] = found
         return found
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.known_ids.clear()
+
     def segments(self, text: str) -> Iterator[tuple[str, bool]]:
         """Parts of the raw text between special tokens, and the special tokens."""
         if not self.special_split or "<|" not in text:
@@ -216,6 +220,7 @@ def _digests(path: str):
                 [*keys, pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())],
                 [*names, "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        bpe.forget()
 
     return run
 
@@ -229,6 +234,7 @@ def _encoded(path: str):
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *found])))
             names = [c for c in batch.schema.names if c != "__text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), ids], [*names, "ids"])
+        bpe.forget()
 
     return run
 
