@@ -32,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import connected_components, discard, shingles, stash, table, words
+from ledgerline.llm.common import arrow_rows, connected_components, discard, shingles, stash, table, words
 
 DARTS, ROWS = 192, 6  # 32 bands: a pair at similarity 0.8 shares none with probability 6e-5
 LEAST = 0.8
 #: Ends of the rank cells: darts of one cell are thrown together. The last length is used again for higher ranks.
 CELLS = tuple(2.0**i for i in range(-7, 4))
+#: Texts of an Arrow batch: their shingles are arrays, and a comparison has two of them.
+TEXTS = 2000
 #: Shingles whose darts are thrown together, if no single text has more.
 AT_ONCE = 1 << 14
 
@@ -152,7 +154,11 @@ def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     and not by their ids, so a null or repeated id may stand in several classes: ``component`` names the class, and
     ``class`` is its smallest id, null if it has none. Repeated rows come out once; an empty table gives an empty one.
     """
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    with arrow_rows(docs.sparkSession, TEXTS):
+        return _classes(docs.select(F.col("doc_id").alias("id"), "text"), least)
+
+
+def _classes(texts: DataFrame, least: float) -> DataFrame:
     signed = (
         texts.withColumn("__w", words(F.col("text")))
         .select("id", F.sha2(F.array_join("__w", " "), 256).alias("key"), shingles(F.col("__w")).alias("grams"))
