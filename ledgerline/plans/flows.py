@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import expressions as x
+from ledgerline.operators import sketches, tables, vector_index
 from ledgerline.plans.queries import ntz, query, read
-from ledgerline.session import fresh_path
-from ledgerline.sources import keyed, metrics, paged, pushed
+from ledgerline.session import fresh_path, written
+from ledgerline.sources import keyed, metrics, paged, pushed, variants
 from ledgerline.streaming import ledger, stateful
 
 
@@ -134,3 +135,85 @@ def stream_counters_and_late(spark, sf_dir):
     """Gains of counters over a stream, resets among them, and the samples that came too late."""
     found = settled(spark, sf_dir, lambda s: stateful.stream_increases(s, "event_type", "ts", "event_id", "value"), "counters")
     return found.select("kind", F.col("key").alias("event_type"), F.col("id").alias("event_id"), "value", "increase")
+
+
+@query("SELECT date_trunc('day', ts) AS day, event_type, count(value) AS samples, true AS within FROM events WHERE value IS NOT NULL GROUP BY 1, 2")
+def day_p95_from_minutes(spark, sf_dir):
+    """Daily 95th percentiles merged from minute states; within says that the rank error over the raw rows is as stated."""
+    events = read(spark, sf_dir, "events")
+    kind, day = F.col("event_type"), F.date_trunc("day", "ts")
+    minutes = written(sketches.quantile_states(events, {"event_type": kind, "minute": F.date_trunc("minute", "ts")}, "value"))
+    days = sketches.merged_quantiles(minutes, {"event_type": kind, "day": F.date_trunc("day", "minute")})
+    estimates = days.withColumn("p95", sketches.quantile(0.95))
+    measured = sketches.rank_error(events, estimates, {"event_type": kind, "day": day}, "value", "p95", 0.95)
+    return ntz(measured.select("day", "event_type", F.col("rows").alias("samples"), (F.col("error") <= sketches.ERROR).alias("within")), "day")
+
+
+@query("SELECT date_trunc('day', ts) AS day, event_type, count(DISTINCT user_id) AS users FROM events WHERE user_id IS NOT NULL GROUP BY 1, 2")
+def day_users_from_hours(spark, sf_dir):
+    """Daily distinct users rolled up from hourly bitmaps."""
+    events = read(spark, sf_dir, "events")
+    hours = written(sketches.distinct_states(events, {"event_type": F.col("event_type"), "hour": F.date_trunc("hour", "ts")}, "user_id"))
+    days = sketches.merged_distinct(hours, {"event_type": F.col("event_type"), "day": F.date_trunc("day", "hour")})
+    return ntz(sketches.distinct_counts(days, ["day", "event_type"], "users"), "day")
+
+
+_UNIT = "(SELECT vec_id, embedding AS e, sqrt(list_sum(list_transform(embedding, lambda a: CAST(a AS DOUBLE) * CAST(a AS DOUBLE)))) AS n FROM embeddings)"
+
+
+@query(f"""SELECT query, id, similarity, place FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY similarity DESC, id) AS place FROM (
+ SELECT q.vec_id AS query, v.vec_id AS id, round(list_sum(list_transform(list_zip(q.e, v.e), lambda z: CAST(z[1] AS DOUBLE) * CAST(z[2] AS DOUBLE))) / (q.n * v.n), 4) AS similarity
+ FROM {_UNIT} q, {_UNIT} v WHERE q.vec_id % 100 = 0)) WHERE place <= 10""")
+def vector_search_exact(spark, sf_dir):
+    """The ten nearest vectors of every hundredth one, against all of them."""
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = vector_index.VectorIndex(vectors, "vec_id", "embedding").search(vectors.where("vec_id % 100 = 0"), "vec_id", "embedding", 10, probes=None)
+    return found.withColumn("place", F.col("place").cast("bigint"))
+
+
+@query("SELECT count(*) AS queries, 10 * count(*) AS found, true AS recall_90 FROM embeddings WHERE vec_id % 100 = 0")
+def vector_search_recall(spark, sf_dir):
+    """The same by the nearest lists only, and whether at least nine in ten of the exact result are found."""
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index, asked = vector_index.VectorIndex(vectors, "vec_id", "embedding"), vectors.where("vec_id % 100 = 0")
+    near = written(index.search(asked, "vec_id", "embedding", 10, probes=index.probes_for(asked, "vec_id", "embedding", 10)))
+    exact = index.search(asked, "vec_id", "embedding", 10, probes=None).select(F.col("query"), F.col("id"), F.lit(1).alias("hit"))
+    met = exact.join(near.select("query", "id", F.lit(1).alias("got")), ["query", "id"], "left")
+    share = met.agg(F.avg(F.coalesce("got", F.lit(0))).alias("recall"))
+    return near.agg(F.countDistinct("query").alias("queries"), F.count("*").alias("found")).select("queries", "found", (share.scalar() >= 0.9).alias("recall_90"))
+
+
+@query("""SELECT event_id, event_type AS service, CAST(json_extract_string(props, '$.k') AS INT) AS status_code, CASE WHEN value >= 50 THEN 'ERROR' ELSE 'INFO' END AS level,
+ NULL::VARCHAR AS city, event_id % 7 = 3 AS broken FROM events""")
+def variant_fields(spark, sf_dir):
+    """Events as log documents, some cut off, stored as variants; fields come from the stored table."""
+    e = read(spark, sf_dir, "events")
+    level = F.when(F.col("value") >= 50, "ERROR").otherwise("INFO")
+    nested = F.struct(F.struct(F.col("event_type").alias("name")).alias("service"), F.struct(level.alias("level")).alias("log"), F.struct(F.get_json_object("props", "$.k").cast("int").alias("status_code")).alias("http"))
+    text = F.to_json(nested)
+    broken = F.col("event_id") % 7 == 3
+    cut = F.when(broken, F.left(text, F.length(text) - 1)).otherwise(text)
+    stored = written(variants.parsed(e.select("event_id", text.alias("whole"), cut.alias("document_json"))))
+    again = variants.parsed(stored.where("document is null").select("event_id", F.col("whole").alias("document_json")))
+    fields = ["event_id", "service", "status_code", "level", "city"]
+    good = stored.where("document is not null").select(*fields, F.lit(False).alias("broken"))
+    return good.unionByName(again.join(stored.where("document_text is not null").select("event_id"), "event_id", "left_semi").select(*fields, F.lit(True).alias("broken")))
+
+
+@query("""SELECT c_custkey, c_name, o_orderkey, o_orderdate FROM customer, LATERAL (SELECT o_orderkey, o_orderdate FROM orders WHERE o_custkey = c_custkey ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 3)""")
+def latest_three_orders(spark, sf_dir):
+    customer, orders = read(spark, sf_dir, "customer").select("c_custkey", "c_name"), read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    found = tables.first_of_each(customer, orders, {"c_custkey": "o_custkey"}, [F.desc("o_orderdate"), F.desc("o_orderkey")], 3)
+    return found.select("c_custkey", "c_name", "o_orderkey", "o_orderdate")
+
+
+@query("""SELECT event_type AS receiver, json_extract_string(props, '$.k') AS k, CAST(epoch_us(ts) // 1000 AS BIGINT) AS timestamp, value FROM events""")
+def decoded_by_table_function(spark, sf_dir):
+    """Write requests numbered by their receiver, one for each type, and each sent twice, decoded by a table function over every receiver's payloads."""
+    series = series_of(read(spark, sf_dir, "events"))
+    hour = F.array_min("samples.timestamp")
+    numbered = Window.partitionBy("receiver").orderBy(hour, F.element_at("labels", "k"))  # one row for each series and hour
+    named = written(series.select(F.element_at("labels", "__name__").alias("receiver"), "labels", "samples").withColumn("number", F.row_number().over(numbered).cast("bigint")))
+    payloads = metrics.write_payloads(named, "receiver", "number")
+    found = tables.decoded(spark, payloads.unionByName(payloads))
+    return found.select("receiver", F.element_at("labels", "k").alias("k"), "timestamp", "value")

@@ -121,12 +121,13 @@ def _encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             pairs = b"".join(_message(1, _message(1, k.encode()) + _message(2, v.encode())) for k, v in sorted(dict(labels).items()))
             readings = b"".join(_message(2, b"\x09" + struct.pack("<d", s["value"]) + b"\x10" + _number(s["timestamp"] % 2**64)) for s in samples)
             bodies.append(pa.compress(_message(1, pairs + readings), codec="snappy", asbytes=True))
-        yield pd.DataFrame({"content": bodies})
+        yield batch.drop(columns=["labels", "samples"]).assign(content=bodies)
 
 
-def write_payloads(series: DataFrame) -> DataFrame:
-    """``content``, a compressed write request for each row of (labels, samples array of timestamp and value): what pushed_series() reads."""
-    return series.select("labels", "samples").mapInPandas(_encoded, "content binary")
+def write_payloads(series: DataFrame, *kept: str) -> DataFrame:
+    """``kept`` columns and ``content``, a compressed write request for each row of (labels, samples array of timestamp and value): what pushed_series() reads."""
+    columns = "".join(f"`{c}` {series.schema[c].dataType.simpleString()}, " for c in kept)
+    return series.select(*kept, "labels", "samples").mapInPandas(_encoded, f"{columns}content binary")
 
 
 def landed_payloads(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
