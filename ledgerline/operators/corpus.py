@@ -40,6 +40,41 @@ def file_id(path: Column, sha256: Column) -> Column:
     return F.concat(F.trim(F.regexp_replace(path, r"[^A-Za-z0-9]+", "-"), F.lit("-")), F.lit("-"), F.substring(sha256, 1, 16))
 
 
+def sync_plan(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """(path, action, sha256, file_id, old_file_id) of every path in ``files`` (path, sha256) or ``manifest`` (path, sha256, file_id).
+
+    index: new or changed; skip: as it was; remove: gone, or no longer of a supported type; unsupported: never indexed. ``old_file_id`` is what is to be deleted.
+    """
+    now = files.select("path", "sha256", F.lit(True).alias("__there"))
+    then = manifest.select("path", F.col("sha256").alias("__sha"), F.col("file_id").alias("__id"))
+    both = now.join(then, "path", "full")
+    there, known, good = F.col("__there").isNotNull(), F.col("__sha").isNotNull(), supported(F.col("path"))
+    same = there & known & (F.col("sha256") == F.col("__sha"))
+    action = F.when(known & ~(there & good), "remove").when(~good, "unsupported").when(same, "skip").otherwise("index")
+    own = F.when(action == "index", file_id(F.col("path"), F.col("sha256"))).when(action == "skip", F.col("__id"))
+    old = F.when((action == "remove") | (action == "index"), F.col("__id"))
+    return both.select("path", action.alias("action"), "sha256", own.alias("file_id"), old.alias("old_file_id"))
+
+
+def sync_report(plan: DataFrame, results: DataFrame) -> DataFrame:
+    """(path, state, file_id, error): indexed, skipped, removed, unsupported or failed, from ``results`` (path, error) of what was to be indexed.
+
+    A path without a result has failed as well: nobody knows that it is indexed. Of several results of a path an error counts.
+    """
+    outcome = results.groupBy("path").agg(F.max("error").alias("error"), F.lit(True).alias("__tried"))
+    met = plan.join(outcome, "path", "left")
+    tried, to_do = F.col("__tried").isNotNull(), F.col("action") == "index"
+    wrong = F.when(to_do, F.coalesce("error", F.when(~tried, "no result")))
+    done = F.when(wrong.isNotNull(), "failed").when(to_do, "indexed").when(F.col("action") == "skip", "skipped").when(F.col("action") == "remove", "removed").otherwise("unsupported")
+    return met.select("path", done.alias("state"), "file_id", wrong.alias("error"), "sha256")
+
+
+def synced_manifest(report: DataFrame) -> DataFrame:
+    """The manifest after a run: what is indexed or was skipped. A failed path has no entry, so the next run tries it again."""
+    kept = report.where(F.col("state").isin("indexed", "skipped"))
+    return kept.select("path", "sha256", "file_id")
+
+
 def chunks(docs: DataFrame, text: str = "text", size: int = 1500, overlap: int = 100) -> DataFrame:
     """A row per stretch of ``size`` characters, each starting ``overlap`` before the end of the one before."""
     step = size - overlap

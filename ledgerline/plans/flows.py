@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import expressions as x
-from ledgerline.operators import sketches, tables, vector_index
+from ledgerline.operators import corpus, sketches, tables, vector_index
 from ledgerline.plans.queries import ntz, query, read
 from ledgerline.session import fresh_path, written
 from ledgerline.sources import keyed, metrics, paged, pushed, variants
@@ -217,3 +217,29 @@ def decoded_by_table_function(spark, sf_dir):
     payloads = metrics.write_payloads(named, "receiver", "number")
     found = tables.decoded(spark, payloads.unionByName(payloads))
     return found.select("receiver", F.element_at("labels", "k").alias("k"), "timestamp", "value")
+
+
+_KIND = "CASE WHEN lang = 'en' THEN '.md' WHEN lang = 'fr' THEN '.html' WHEN lang = 'de' THEN '.bin' ELSE '' END"
+_FILES = f"(SELECT source || '/' || doc_id || {_KIND} AS path, sha256(text) AS sha, doc_id, length(text) AS n FROM documents)"
+
+
+@query(f"""SELECT path, state, error, regexp_replace(path, '[^A-Za-z0-9]+', '-', 'g') || '-' || substr(sha, 1, 16) = file_id AS own_id FROM (
+ SELECT f.path, f.sha, CASE WHEN m.doc_id IS NOT NULL AND NOT good THEN 'removed' WHEN NOT good THEN 'unsupported' WHEN m.quality = 1 THEN 'skipped' WHEN f.n > 5000 THEN 'failed' ELSE 'indexed' END AS state,
+  CASE WHEN good AND NOT coalesce(m.quality = 1, false) AND f.n > 5000 THEN 'too long' END AS error,
+  CASE WHEN good AND coalesce(m.quality = 1, false) THEN 'known-' || f.doc_id WHEN good THEN regexp_replace(f.path, '[^A-Za-z0-9]+', '-', 'g') || '-' || substr(f.sha, 1, 16) END AS file_id
+  FROM (SELECT *, path LIKE '%.md' OR path LIKE '%.html' AS good FROM {_FILES}) f LEFT JOIN labels m ON m.doc_id = f.doc_id)
+ UNION ALL SELECT 'gone/' || item_id || '.txt', 'removed', NULL, NULL FROM benchmark""")
+def corpus_sync(spark, sf_dir):
+    """Documents as files against a manifest of the labelled ones, those of low quality with another hash, and of passages that are gone; long ones fail."""
+    d, labels, items = (read(spark, sf_dir, n) for n in ("documents", "labels", "benchmark"))
+    kind = F.when(F.col("lang") == "en", ".md").when(F.col("lang") == "fr", ".html").when(F.col("lang") == "de", ".bin").otherwise("")
+    named = d.select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), kind).alias("path"), F.sha2("text", 256).alias("sha256"), "doc_id", F.length("text").alias("n"))
+    known = named.join(labels.select("doc_id", "quality"), "doc_id").select(
+        "path", F.when(F.col("quality") == 1, F.col("sha256")).otherwise("old").alias("sha256"), F.concat(F.lit("known-"), F.col("doc_id").cast("string")).alias("file_id")
+    )
+    gone = items.select(F.concat(F.lit("gone/"), F.col("item_id").cast("string"), F.lit(".txt")).alias("path"), F.lit("x").alias("sha256"), F.lit("y").alias("file_id"))
+    plan = corpus.sync_plan(named.select("path", "sha256"), known.unionByName(gone))
+    results = plan.where("action = 'index'").join(named.select("path", "n"), "path").select("path", F.when(F.col("n") > 5000, "too long").alias("error"))
+    report = corpus.sync_report(plan, results)
+    own = corpus.file_id(F.col("path"), F.col("sha256")) == F.col("file_id")
+    return report.select("path", "state", "error", own.alias("own_id"))

@@ -236,9 +236,28 @@ def exposition_lines(samples: DataFrame) -> DataFrame:
     return samples.select(F.format_string("%s{%s} %s %d", "metric_name", F.array_join(pairs, ","), F.col("value").cast("string"), F.unix_seconds(F.col("sample_time").cast("timestamp"))).alias("value"))
 
 
+def fault(line: Column) -> Column:
+    """What is wrong with a line of exposition text; null for a sample, a comment or a blank line."""
+    names = F.regexp_extract_all(F.regexp_extract(line, LINE, 2), F.lit(LABEL), F.lit(1))
+    reading = F.lower(F.regexp_extract(line, LINE, 3))
+    number = reading.try_cast("double").isNotNull() | reading.isin("nan", "+inf", "-inf", "inf")
+    return (
+        F.when(line.isNull() | line.startswith("#") | line.rlike(r"^\s*$"), None)
+        .when(F.regexp_extract(line, LINE, 1) == "", "no sample")
+        .when(F.size(F.array_distinct(names)) < F.size(names), "a label twice")
+        .when(~number, "no number")
+    )
+
+
+def bad_lines(lines: DataFrame) -> DataFrame:
+    """(value, fault) of the lines that exposition_rows() leaves out, comments and blank lines aside."""
+    return lines.withColumn("fault", fault(F.col("value"))).where("fault is not null").select("value", "fault")
+
+
 def exposition_rows(lines: DataFrame, ingest_mode: str = "backfill") -> DataFrame:
-    """Rows of prometheus_samples from exposition text (column ``value``); comments and lines that do not parse go."""
+    """Rows of prometheus_samples from exposition text (column ``value``); comments go, and so do lines with a fault: see bad_lines()."""
     v = F.col("value")
+    lines = lines.where(fault(v).isNull())
     name = F.regexp_extract(v, LINE, 1)
     names = F.regexp_extract_all(F.regexp_extract(v, LINE, 2), F.lit(LABEL), F.lit(1))
     values = F.transform(F.regexp_extract_all(F.regexp_extract(v, LINE, 2), F.lit(LABEL), F.lit(2)), _plain)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -34,16 +34,17 @@ def run_micro_batch(
     """Loads [checkpoint - lookback, end) and returns the offsets with the new checkpoint.
 
     The rows are written before the checkpoint moves, so a crash in between repeats the
-    interval; versions collapse repeats. Without a row the checkpoint stays. A
+    interval; versions collapse repeats. Without a row nothing is written and the checkpoint stays. ``write`` must write, not only plan to. A
     record that comes later than the lookback after the last one seen is not loaded.
     """
     last = latest_checkpoint(offsets, source_name, checkpoint_name).select("last_event_time").first()
     start = (last["last_event_time"] if last else end) - lookback
     batch = source.where((F.col(time) >= F.lit(start)) & (F.col(time) < F.lit(end)))
-    top = batch.agg(F.max(F.struct(time, id)).alias("top")).first()["top"]
-    if top is None:
+    if batch.isEmpty():
         return offsets
-    write(batch)
+    seen = Observation()
+    write(batch.observe(seen, F.max(F.struct(time, id)).alias("top")))  # the last record is noted while the rows are written
+    top = seen.get["top"]
     row = [(source_name, checkpoint_name, top[0], top[1], end)]
     return offsets.unionByName(offsets.sparkSession.createDataFrame(row, OFFSETS))
 
@@ -72,10 +73,11 @@ def stream_routed(df: DataFrame, routes: dict[str, str], folder: str, checkpoint
     return writer.trigger(availableNow=True).start() if once else writer.trigger(processingTime="30 seconds").start()
 
 
-def start_or_replace(df: DataFrame, name: str, start: Callable[[DataFrame], StreamingQuery]) -> StreamingQuery:
-    """Starts a named stream after stopping one of that name."""
+def start_or_replace(df: DataFrame, name: str, start: Callable[[DataFrame], StreamingQuery], instead_of: Iterable[str] = ()) -> StreamingQuery:
+    """Starts a named stream after stopping one of that name, and those named in ``instead_of``: sources of which one may be active."""
+    gone = {name, *instead_of}
     for query in df.sparkSession.streams.active:
-        if query.name == name:
+        if query.name in gone:
             query.stop()
             query.awaitTermination()
     return start(df)

@@ -252,3 +252,43 @@ def test_bulk_files_that_do_not_alternate_raise(spark, tmp_path, text):
     (tmp_path / "x.ndjson").write_text(text)
     with pytest.raises(Exception, match="no document|no action"):
         documents.bulk_hits(spark, str(tmp_path)).collect()
+
+
+def test_lines_with_faults_are_reported(spark):
+    lines = ["# HELP x", "", "  ", "x 1", 'x{a="1",a="2"} 3', "x{", "x one", 'x{a="b"} NaN', "y +Inf 5", "!"]
+    df = spark.createDataFrame([(v,) for v in [*lines, None]], "value string")
+    assert {r.value: r.fault for r in metrics.bad_lines(df).collect()} == {'x{a="1",a="2"} 3': "a label twice", "x{": "no sample", "x one": "no number", "!": "no sample"}
+    assert metrics.exposition_rows(df).count() == 3
+
+
+def test_long_files_are_hashed_in_pieces(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    (tmp_path / "in").mkdir()
+    contents = {"a.txt": b"", "b.md": b"short", "c.bin": bytes(range(256)) * 10}
+    for name, body in contents.items():
+        (tmp_path / "in" / name).write_bytes(body)
+    monkeypatch.setattr(files, "PIECE", 100)
+    got = {r.path: (r.length, r.sha256, r.supported) for r in files.folder_files(spark, str(tmp_path / "in")).collect()}
+    assert got == {n: (len(b), hashlib.sha256(b).hexdigest(), not n.endswith(".bin")) for n, b in contents.items() if b}
+
+
+def test_a_run_of_a_corpus(spark):
+    """New, changed, failed, removed, unsupported files, one that became unsupported, and the run after it."""
+    from ledgerline.operators import corpus
+
+    now = spark.createDataFrame([("n.md", "1"), ("c.md", "2"), ("s.md", "3"), ("u.exe", "4"), ("f.md", "5"), ("lost.md", "6"), ("was.exe", "7")], "path string, sha256 string")
+    before = spark.createDataFrame([("c.md", "0", "c-id"), ("s.md", "3", "s-id"), ("gone.md", "9", "g-id"), ("was.exe", "7", "w-id")], "path string, sha256 string, file_id string")
+    plan = corpus.sync_plan(now, before)
+    assert {r.path: (r.action, r.old_file_id) for r in plan.collect()} == {
+        "n.md": ("index", None), "c.md": ("index", "c-id"), "s.md": ("skip", None), "u.exe": ("unsupported", None),
+        "f.md": ("index", None), "lost.md": ("index", None), "gone.md": ("remove", "g-id"), "was.exe": ("remove", "w-id"),
+    }
+    results = spark.createDataFrame([("n.md", None), ("c.md", None), ("c.md", None), ("f.md", None), ("f.md", "boom")], "path string, error string")
+    report = corpus.sync_report(plan, results)
+    states = {r.path: (r.state, r.error) for r in report.collect()}
+    assert states["n.md"] == states["c.md"] == ("indexed", None) and states["f.md"] == ("failed", "boom") and states["lost.md"] == ("failed", "no result")
+    assert (states["s.md"][0], states["u.exe"][0], states["gone.md"][0], states["was.exe"][0]) == ("skipped", "unsupported", "removed", "removed")
+    after = corpus.synced_manifest(report)
+    assert {r.path for r in after.collect()} == {"n.md", "c.md", "s.md"}
+    assert {r.path: r.action for r in corpus.sync_plan(now, after).collect()} == {"n.md": "skip", "c.md": "skip", "s.md": "skip", "u.exe": "unsupported", "f.md": "index", "lost.md": "index", "was.exe": "unsupported"}
