@@ -2,9 +2,10 @@
 
 import json
 import threading
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 from http.server import BaseHTTPRequestHandler, HTTPServer
 from pathlib import Path
+from urllib.parse import parse_qs, urlparse
 
 import duckdb
 import pytest
@@ -13,7 +14,7 @@ from pyspark.sql.datasource import GreaterThanOrEqual, LessThan
 
 from ledgerline.plans import flows
 from ledgerline.plans.queries import ORACLE_SQL
-from ledgerline.sources import keyed, metrics, paged, pushed
+from ledgerline.sources import keyed, metrics, paged, pushed, range_queries
 from ledgerline.streaming.ledger import Ledger
 
 DATA = "/root/testdata/sf0.001"
@@ -327,3 +328,59 @@ def test_a_crash_before_the_swap_leaves_the_old_version(spark, tmp_path, monkeyp
         other._swap(files, 1)  # it read version 1
     with pytest.raises(ValueError):
         keyed.KeyedTable(spark, str(tmp_path), rows.schema, ["none"])
+
+
+# Range queries
+
+
+@pytest.fixture
+def ranges():
+    """A metric server's range queries: value is the time; every fourth answer fails once, over 50 points are refused."""
+    state = {"asked": 0, "steps": []}
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            q = {k: v[0] for k, v in parse_qs(urlparse(self.path).query).items()}
+            state["asked"] += 1
+            start, end, step = float(q["start"]), float(q["end"]), range_queries.seconds(q["step"])
+            steps = [start + k * step for k in range(int((end - start) / step + 1e-6) + 1)]
+            if state["asked"] % 4 == 0:
+                code, body = 500, {}
+            elif len(steps) > 50 or q["query"] == "bad(":
+                code, body = 400, {"status": "error", "error": "exceeded or bad"}
+            else:
+                state["steps"] += steps
+                code, body = 200, {"status": "success", "data": {"result": [{"metric": {"job": "j"}, "values": [[t, str(t % 100)] for t in steps]}]}}
+            data = json.dumps(body).encode()
+            self.send_response(code)
+            self.send_header("Content-Length", str(len(data)))
+            self.end_headers()
+            self.wfile.write(data)
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}", state
+    server.shutdown()
+
+
+def test_range_queries_in_stretches(spark, ranges):
+    url, state = ranges
+    asked = {"queries": ["up", "rate(x[5m])"], "start": "2024-01-01T00:00:00Z", "end": "2024-01-01T02:05:30Z", "step": "1m"}
+    answers = range_queries.range_answers(spark, url, asked, points=50)
+    assert answers.rdd.getNumPartitions() == 6  # 126 steps of two queries
+    rows = metrics.range_rows(answers).collect()
+    for query in asked["queries"]:
+        times = sorted(r.sample_time.timestamp() for r in rows if r.metric_name == query)
+        assert times == [datetime(2024, 1, 1, tzinfo=UTC).timestamp() + 60 * k for k in range(126)]
+    assert {r.query: r.inserted for r in metrics.backfill_details(range_queries.range_answers(spark, url, asked, points=50)).collect()} == {"up": 126, "rate(x[5m])": 126}
+    with pytest.raises(Exception, match="400"):
+        range_queries.range_answers(spark, url, asked | {"queries": ["bad("]}, points=50).collect()
+    assert range_queries.range_answers(spark, url, asked | {"end": "2023-01-01T00:00:00Z"}).collect() == []
+
+
+@pytest.mark.parametrize(("step", "want"), [("60s", 60), ("1m30s", 90), ("250ms", 0.25), ("15", 15), ("2h", 7200)])
+def test_steps(step, want):
+    assert range_queries.seconds(step) == want
