@@ -100,22 +100,42 @@ def shape(word: str) -> str:
         return "punct"
     if len(core) >= 16 and re.fullmatch(r"[0-9a-fA-F]+", core) and re.search(r"[a-fA-F]", core):
         return "longhex"
+    if re.fullmatch(r"[A-Z]{4}[A-Z0-9]{12,}", core) and re.search(r"[0-9]", core):
+        return "longcaps"
     if len(core) >= 16 and LONG.fullmatch(core) and len(SWITCH.findall(core)) >= 4:
         return "longmix"
     out = re.sub(r"[^\W\d_]+", lambda m: "x" if m[0].islower() else "X", core)
     return re.sub(r"[0-9]+", lambda m: "d" + (str(len(m[0])) if len(m[0]) < 7 else "many"), out)[:24]
 
 
+#: Words before a number that say what it counts or names.
+COUNTED = frozenset(
+    "page pages pp p journal vol volume volumes score scores line lines row rows seats section sections isbn issn part parts model flight room chapter chapters verse verses years year "
+    "paragraph article figure table note issue edition series match matches width height ratio order item invoice ticket version".split()
+)
+NAMED_BY = frozenset("call calls phone phones tel telephone mobile cell fax dial ring contact number ssn security iban account konto passport taxpayer token key secret password bearer".split())
+
+
+SECRET = re.compile(r"(?:^|[_-])(?:key|token|secret|passw|pwd|auth)|(?:key|token|secret|password|pwd)$")
+
+
+def _class(word: str) -> str:
+    plain = word.strip(PUNCTUATION).lower()
+    return "counted" if plain in COUNTED else "named" if plain in NAMED_BY or SECRET.search(plain) else ""
+
+
 def features(words: list[str], i: int) -> list[str]:
     """Of the word at i: its shape, its neighbours' shapes and their lower-case cue words."""
     at = lambda j: shape(words[j]) if 0 <= j < len(words) else "edge"
     cue = lambda j: words[j].strip(PUNCTUATION).lower()[:12] if 0 <= j < len(words) else ""
+    before = [_class(words[j]) if j >= 0 else "" for j in (i - 1, i - 2)]
+    said = before[0] or before[1]
     named = NAMED.match(words[i])
     own = named[0].strip("\"'=:").lower()[:12] if named else ""
-    return ["bias", f"0={at(i)}", f"-1={at(i - 1)}", f"+1={at(i + 1)}", f"-1|0={at(i - 1)}|{at(i)}", f"w-1={cue(i - 1)}", f"w-2={cue(i - 2)}", f"w0={own}", f"named={int(bool(own))}|{at(i)}", f"eq={int('=' in (words[i - 1] if i else ''))}"]
+    return ["bias", f"0={at(i)}", f"-1={at(i - 1)}", f"+1={at(i + 1)}", f"-1|0={at(i - 1)}|{at(i)}", f"w-1={cue(i - 1)}", f"c={said}", f"c|0={said}|{at(i)}", f"w-2={cue(i - 2)}", f"w0={own}", f"named={int(bool(own))}|{at(i)}", f"eq={int('=' in (words[i - 1] if i else ''))}"]
 
 
-def labelled_table(rows: int = 480, seed: int = 7) -> list[tuple[str, str, str]]:
+def labelled_table(rows: int = 720, seed: int = 7) -> list[tuple[str, str, str]]:
     """(text before, identifier or other number, label) examples from fixed templates; all words of the second have the label."""
     rng = random.Random(seed)
     d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
@@ -124,6 +144,10 @@ def labelled_table(rows: int = 480, seed: int = 7) -> list[tuple[str, str, str]]
     w = lambda: "".join(rng.choice(["an", "the", "re", "ou", "st", "ing", "da", "lo"]) for _ in range(rng.randint(1, 4)))
     w = lambda lower=w: lower().capitalize() if rng.random() < 0.3 else lower()
     one = lambda *of: rng.choice(of)
+    x = lambda n: "".join(rng.choice("ABCDEFGHJKLMNPRSTUVWXYZ") for _ in range(n))
+    kk = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(n))
+    # Of the same shapes as identifiers; only what stands before tells.
+    plain = lambda: one("page", "pages", "pp.", "journal", "vol.", "volume", "score", "scores", "lines", "rows", "seats", "section", "isbn", "issn", "part", "model", "flight", "room", "chapter", "verses", "years")
     made = [
         lambda: (one("token =", "api_key =", "secret =", "password =", "TOKEN ="), f'"{one(h(32), h(40), h(64), k(24), k(40))}"', "secret"),
         lambda: (one("key", "bearer", w()), one(h(40), f"sk_live_{k(24)}", f"key-{k(32)}", k(36)), "secret"),
@@ -139,6 +163,15 @@ def labelled_table(rows: int = 480, seed: int = 7) -> list[tuple[str, str, str]]
         lambda: (w(), one("size", "width", "id", "page", "n", "ratio") + one("=", ":") + one(d(1), d(2), d(4), f"{d(1)}.{d(2)}"), "other"),
         lambda: (w(), one(f"{w()}.{d(2)}@mail{d(1)}.example.com", f"{d(2)}.{d(3)}.{d(2)}.{d(3)}", d(16), f"http://{w()}.com/{d(4)}/{w()}-{d(2)}"), "other"),
         lambda: (f"+{d(1)}", f"({d(3)})", "other"),
+        lambda: (one(w(), f"{w()} {w()}"), one(f"{d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}"), "local_phone"),
+        lambda: (w(), one(f"{d(16)} {d(16)}", f"{d(15)} {d(16)}", f"{d(16)}"), "other"),
+        lambda: (f"{w()} {plain()}", one(f"{d(3)}-{d(4)}", f"{d(3)}-{d(4)}", f"{d(3)}.{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"{d(3)}-{d(2)}-{d(4)}"), "other"),
+        lambda: (plain(), one(f"{d(3)}-{d(4)}", f"{d(3)}-{d(2)}-{d(4)}", f"{d(1)}-{d(3)}-{d(5)}", f"{x(1)}{d(7)}", f"{x(2)}{d(7)}", d(9)), "other"),
+        lambda: (one("key", "id", "aws", w(), w()), f"{one('AKIA', 'ASIA', 'AROA')}{kk(16)}", "secret"),
+        lambda: (one("iban", "IBAN", "account", "konto", w()), one(f"{x(2)}{d(20)}", f"{x(2)}{d(2)}{x(4)}{d(14)}", f"{x(2)}{d(2)} " + " ".join(d(4) for _ in range(4)) + f" {d(2)}", f"{x(2)}{d(2)} " + " ".join(d(4) for _ in range(5))), "national_id"),
+        lambda: (one("passport", "passport no.", "passport number", "Passport"), one(f"{x(1)}{d(8)}", f"{x(2)}{d(7)}", d(9)), "national_id"),
+        lambda: (one("call", "phone", "dial", "mobile", "tel", "fax"), one(f"{d(1)} {d(3)}-{d(4)}", f"{d(3)} {d(4)}", f"{d(3)} {d(3)} {d(4)}"), "local_phone"),
+        lambda: (one("order", "item", "invoice", "ticket", "code", w()), one(f"{x(1)}{d(3)}", f"{x(2)}{d(4)}", f"{x(2)}-{d(4)}", f"{d(6)}", f"{d(4)} {d(4)}"), "other"),
     ]
     return [made[i % len(made)]() for i in range(rows)]
 
@@ -281,7 +314,10 @@ def neighbourhoods(text: str, reach: int = 2) -> list[list[tuple[int, int]]]:
 
 
 def found_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, str]]]:
-    """All spans of each text: base spans, and the random field's, one for each word, where they overlap none of them."""
+    """All spans of each text: base spans, and the random field's, where they overlap none of them.
+
+    Words that follow each other with one label are one identifier where one of them has too few digits to be one, as the groups of a long number have.
+    """
     base = [base_spans(t) for t in texts]
     places, sequences, known = [], [], {}
     for i, text in enumerate(texts):
@@ -294,15 +330,30 @@ def found_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, str
             sequences.append(known[key])
     extra: list[list[tuple[int, int, str]]] = [[] for _ in texts]
     for (i, spans), path in zip(places, viterbi(sequences, field.move) if sequences else []):
+        before = 0
         for (start, end), label in zip(spans, path):
             if label:
                 first, last = (start + x for x in core_of(texts[i][start:end]))
                 if first < last and not any(first < e and s < last for s, e, _ in base[i]):
-                    extra[i].append((first, last, LABELS[label]))
+                    if before == label and extra[i] and _parts_of_one(texts[i], extra[i][-1][:2], (first, last)):
+                        extra[i][-1] = (extra[i][-1][0], last, LABELS[label])
+                    else:
+                        extra[i].append((first, last, LABELS[label]))
+            before = label
     rank = {k: n for n, k in enumerate((*KINDS, *LABELS))}
     return [sorted(b + x, key=lambda s: (s[0], rank[s[2]])) for b, x in zip(base, extra)]
 
 
+#: Digits that an identifier of its own has at least.
+WHOLE = 7
+
+
+def _parts_of_one(text: str, one: tuple[int, int], two: tuple[int, int]) -> bool:
+    """Whether two spans with nothing but space or brackets between them are one number: the second is short, or the first is."""
+    digits = lambda span: sum("0" <= c <= "9" for c in text[slice(*span)])
+    return not text[one[1] : two[0]].strip(" ()") and min(digits(one), digits(two)) < WHOLE
+
+
 def _line(spans: Iterable[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for s, e, k in spans)
 
