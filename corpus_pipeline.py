@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that the stage before kept,
 and returns the columns of documents; the last one returns token ids. Null and empty texts
-fail the quality rules and go in the first stage.
+fail the quality rules and go in the first stage. Further columns of a table are dropped by the first stage, whatever their
+names; repeated rows are near duplicates of each other, of which one stays; texts of any length are read whole; no documents
+give none. Ties go by the smallest id, null last.
 """
 
 from __future__ import annotations

@@ -253,7 +253,7 @@ def _decoded(path: str):
 def encode(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """``docs`` with ids array<int> instead of ``text``; no ids for null and empty texts.
 
-    Whole texts of any length, in Arrow batches, without a shuffle.
+    A column of the caller's named ids gives way to the new one; other columns and repeated rows stay, an empty table stays empty. Whole texts of any length, in Arrow batches, without a shuffle.
     """
     kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in (text, "ids")), F.col(text).alias("__text"))
     schema = kept.drop("__text").schema.add("ids", ArrayType(IntegerType()))
@@ -261,7 +261,10 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None) -> Data
 
 
 def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
-    """``encoded`` with decoded string instead of ``ids``; null and no ids give an empty string."""
+    """``encoded`` with decoded string instead of ``ids``; null and no ids give an empty string.
+
+    A column of the caller's named decoded gives way to the new one; other columns and repeated rows stay.
+    """
     kept = encoded.select(*(F.col(f"`{c}`") for c in encoded.columns if c not in (ids, "decoded")), F.col(ids).alias("__ids"))
     schema = kept.drop("__ids").schema.add("decoded", StringType())
     return kept.mapInArrow(_decoded(path or default_vocabulary()), schema)
@@ -275,4 +278,5 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """digests() of all documents; null texts are encoded as empty ones."""
     return digests(table(spark, sf_dir, "documents"))

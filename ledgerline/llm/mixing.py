@@ -227,6 +227,10 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, its source's size and target, and the words and copies that the mix takes of every document.
+
+    A null text has no words, a null source is one like others; rows that agree in id and text have one decision.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sizes = stash(
         docs.withColumns({"size": word_count(F.col("text")), "u": draw("doc_id", "text")}).drop("text")

@@ -381,7 +381,8 @@ def _found(field: Field):
 def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """doc_id, counts of base spans, base_sha256 and spans of every row of ``docs`` (doc_id, text).
 
-    Null and empty texts have no spans; repeated rows come out as often as they are.
+    Null and empty texts have no spans; repeated rows come out as often as they are; an empty table gives an empty one. Spans of one start are
+    ordered by kind. Whole texts of any length; further columns are not passed on, whatever their names.
     """
     narrow = docs.select("doc_id", text_or_empty(F.col("text")).alias("__text"))
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
@@ -414,9 +415,13 @@ def _scrubbed(field: Field, text: str):
 
 
 def scrub(docs: DataFrame, text: str = "text", field: Field | None = None) -> DataFrame:
-    """``docs`` with all spans of ``text`` replaced; null texts stay null, other columns as they are."""
+    """``docs`` with all spans of ``text`` replaced; null texts stay null, other columns, whatever their names, and repeated rows as they are.
+
+    Of spans that overlap the first one's kind stands for all. An empty table stays empty; texts of any length are read whole.
+    """
     return docs.mapInArrow(_scrubbed(field or train(labelled_table()), text), docs.schema)
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """find() in all documents."""
     return find(table(spark, sf_dir, "documents"))

@@ -120,7 +120,9 @@ def classify(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, least
 
     ``docs`` has doc_id, text, site and path (null is a group like others); ``labels`` has doc_id and quality
     (0 or 1; other values are left out). Null and empty texts have zero counts. Without labels all evidence
-    is 0.5 and everything is kept. Rows are never dropped; an empty table stays empty.
+    is 0.5 and everything is kept. Rows are never dropped; an empty table stays empty. Repeated rows come out as often as they
+    are and count as often in their site's and path's means; a document with several labels stands in the fit once for each. Whole texts of any length;
+    further columns are not passed on, whatever their names.
     """
     weights = fit(docs, labels, fit_rows)
     score = F.lit(float(weights[-1]))

@@ -165,6 +165,7 @@ def judge(docs: DataFrame, text: str = "text", least: float = LEAST, keep_text:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """judge() of all documents, without their texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return judge(docs, keep_text=False).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"

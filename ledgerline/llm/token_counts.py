@@ -168,7 +168,8 @@ def count_tokens(docs: DataFrame, path: str | None = None, size: int = SEGMENT)
 
     ``docs`` has doc_id, text and edits, array<struct<start:int,end:int,new:string>> of code points, applied in
     order, each to the text that the one before left; places outside the text count as its ends, null edits as none.
-    Null and empty texts have no tokens. Whole texts of any length; no shuffle.
+    Null and empty texts have no tokens. Repeated rows come out as often as they are; an empty table gives an empty one; further columns are not
+    passed on, whatever their names. Whole texts of any length; no shuffle.
     """
     narrow = docs.select("doc_id", text_or_empty(F.col("text")).alias("__text"), F.col("edits").alias("__edits"))
     schema = (
@@ -190,5 +191,6 @@ def sample_edits(text: str = "text") -> Column:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """count_tokens() of all documents, each with the three edits of sample_edits()."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs.withColumn("edits", sample_edits())).drop("segment_tokens")

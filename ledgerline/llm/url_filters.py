@@ -152,7 +152,8 @@ def judge_urls(pages: DataFrame, edges: DataFrame, rules=RULES) -> DataFrame:
 
     ``edges`` has the columns a and b of node() names. Null URLs and URLs without ``://`` have an
     empty host and path, fit no rule and are allowed. Rows are never dropped, and repeated URLs
-    get the same verdict; without edges a URL that no rule fits is allowed. Columns of ``pages`` that have
+    get the same verdict; without edges a URL that no rule fits is allowed. URLs may be of any length; of rules of one length that fit
+    the last by name counts; an empty table stays empty. Columns of ``pages`` that have
     the added names are replaced.
     """
     pages = pages.drop("host", "path", "rule", "verdict")
