@@ -384,3 +384,19 @@ def test_range_queries_in_stretches(spark, ranges):
 @pytest.mark.parametrize(("step", "want"), [("60s", 60), ("1m30s", 90), ("250ms", 0.25), ("15", 15), ("2h", 7200)])
 def test_steps(step, want):
     assert range_queries.seconds(step) == want
+
+
+def test_one_source_at_a_time(spark, tmp_path):
+    """A source that is started in place of others stops them; streams of other names go on."""
+    from ledgerline.streaming import micro_batches
+
+    start = lambda name: lambda df: df.writeStream.format("noop").queryName(name).option("checkpointLocation", str(tmp_path / name)).start()
+    stream = spark.readStream.format("rate").load()
+    sources = ["cdc-postgres", "cdc-mysql"]
+    try:
+        for name in ("cdc-postgres", "other", "cdc-mysql"):
+            micro_batches.start_or_replace(stream, name, start(name), sources if name in sources else ())
+        assert sorted(q.name for q in spark.streams.active) == ["cdc-mysql", "other"]
+    finally:
+        for q in spark.streams.active:
+            q.stop()
