@@ -217,11 +217,19 @@ def summary_rollup_sum(spark, sf_dir):
     return summary.groupBy("city").agg(F.sum("cars").alias("cars"), F.sum("available_cars").alias("available_cars"))
 
 
-@query("""SELECT 'c_mktsegment' AS "column", count(*) AS "rows", count(*) FILTER (c_mktsegment IS NULL) AS nulls, count(DISTINCT c_mktsegment) AS distinct_values,
- min(c_mktsegment) AS least, max(c_mktsegment) AS greatest FROM customer
- UNION ALL SELECT 'c_nationkey', count(*), count(*) FILTER (c_nationkey IS NULL), count(DISTINCT c_nationkey), CAST(min(c_nationkey) AS VARCHAR), CAST(max(c_nationkey) AS VARCHAR) FROM customer""")
+PROFILED = {"customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]}
+PROFILE = " UNION ALL ".join(
+    f"""SELECT '{t}' AS "table", '{c}' AS "column", count(*) AS "rows", count(*) FILTER ({c} IS NULL) AS nulls, count(DISTINCT {c}) AS distinct_values,
+ CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest FROM {t}"""
+    for t, columns in PROFILED.items()
+    for c in columns
+)
+
+
+@query(PROFILE)
 def table_profile(spark, sf_dir):
-    return catalog.profile(read(spark, sf_dir, "customer"), ["c_mktsegment", "c_nationkey"])
+    found = [catalog.profile(read(spark, sf_dir, t), columns).select(F.lit(t).alias("table"), "*") for t, columns in PROFILED.items()]
+    return found[0].unionByName(found[1])
 
 
 @query("SELECT event_type, count(*) AS n FROM events WHERE value > 100 GROUP BY 1")
@@ -471,14 +479,17 @@ def cdc_flatten(spark, sf_dir):
     return changes.flat_rows(envelopes, schema).drop("__order")
 
 
-@query("""SELECT event_id, user_id, event_type FROM events""")
+@query("""SELECT event_id, user_id, event_type, CASE WHEN event_type = 'error' THEN 'true' ELSE 'false' END AS "__deleted" FROM events""")
 def cdc_flatten_documents(spark, sf_dir):
-    """The same for documents: images are JSON texts with typed values."""
+    """The same for documents: images are JSON texts with typed values, in quotes or as they are; views are updates, errors deletes with the image before."""
     document = F.format_string('{"event_id":{"$numberLong":"%d"},"user_id":{"$numberLong":"%d"},"event_type":"%s"}', "event_id", "user_id", "event_type")
     quoted = F.concat(F.lit('"'), F.replace(document, F.lit('"'), F.lit('\\"')), F.lit('"'))
-    envelopes = read(spark, sf_dir, "events").select(F.lit("c").alias("op"), F.lit(None).cast("string").alias("before"), quoted.alias("after"), F.lit(0).alias("lsn"))
+    image, kind = F.when(F.col("event_id") % 2 == 0, quoted).otherwise(document), F.col("event_type")
+    gone, old = kind == "error", F.when(kind.isin("view", "error"), image)
+    op = F.when(gone, "d").when(kind == "view", "u").when(kind == "click", "r").otherwise("c")
+    envelopes = read(spark, sf_dir, "events").select(op.alias("op"), old.alias("before"), F.when(~gone, image).alias("after"), F.unix_micros(F.col("ts").cast("timestamp")).alias("lsn"))
     schema = table_from_source([("event_id", "bigint", False), ("user_id", "bigint", False), ("event_type", "text", False)])
-    return changes.document_rows(envelopes, schema).select("event_id", "user_id", "event_type")
+    return changes.document_rows(envelopes, schema).select("event_id", "user_id", "event_type", "__deleted")
 
 
 @query("""SELECT event_type AS metric_name, '{"__name__":' || to_json(event_type) || ',"k":' || to_json(json_extract_string(props, '$.k')) || '}' AS labels_json,
@@ -572,3 +583,14 @@ def connections_by_service(spark, sf_dir):
  SELECT *, lag(value) OVER (PARTITION BY event_type, user_id ORDER BY moment) AS before FROM {LAST_DAY})) GROUP BY 1""")
 def requests_by_service(spark, sf_dir):
     return views.counter_by(service_samples(spark, sf_dir), "synthetic_http_requests_total", "service", "24 hours")
+
+
+@query("""SELECT event_type AS metric_name, user_id, moment, value FROM (SELECT *, date_trunc('millisecond', ts) AS moment,
+ row_number() OVER (PARTITION BY event_type ORDER BY date_trunc('millisecond', ts) DESC, sha256('{"__name__":' || to_json(event_type) || ',"user":' || to_json(CAST(user_id AS VARCHAR)) || '}')) AS rn FROM events) WHERE rn <= 5""")
+def latest_samples(spark, sf_dir):
+    """The latest five samples of each metric."""
+    e = read(spark, sf_dir, "events")
+    labels = F.create_map(F.lit("__name__"), F.col("event_type"), F.lit("user"), F.col("user_id").cast("string"))
+    made = metrics.sample_rows(e.select(labels.alias("labels"), F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"), "value"))
+    found = views.latest_samples(made, 5)
+    return ntz(found.select("metric_name", F.get_json_object("labels_json", "$.user").cast("bigint").alias("user_id"), F.col("sample_time").alias("moment"), "value"), "moment")

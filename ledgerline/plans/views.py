@@ -6,9 +6,10 @@ row that was loaded twice counts once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.arguments import bounded_limit
 from ledgerline.functions.expressions import best_effort_time, exact_mean, exact_sum, hour, json_text, latest_value, minute, p95
 from ledgerline.operators.filters import recent
 from ledgerline.operators.series import changes, increases
@@ -129,6 +130,20 @@ def label_values(samples: DataFrame, metric: str, label: str) -> DataFrame:
     return samples.where(F.col("metric_name") == metric).select(value.alias("label_value")).where("label_value is not null").distinct().orderBy("label_value")
 
 
+def latest_samples(samples: DataFrame, limit: object = None, metric: str | None = None) -> DataFrame:
+    """The latest samples of each metric, or of one; of one time those of the least fingerprint first.
+
+    At most ``limit`` of each are kept while they are read, so a metric of very many samples is not sorted in one task.
+    """
+    kept = samples if metric is None else samples.where(F.col("metric_name") == metric)
+    most = bounded_limit(limit, 20, 200)
+    ranked = kept.withColumn("__first", F.struct((-F.unix_micros("sample_time")).alias("t"), "fingerprint", "value"))
+    spread = ranked.withColumn("__part", F.pmod(F.xxhash64("fingerprint", "sample_time"), F.lit(256)))
+    near = spread.withColumn("__n", F.row_number().over(Window.partitionBy("metric_name", "__part").orderBy("__first"))).where(F.col("__n") <= most)
+    best = near.withColumn("__n", F.row_number().over(Window.partitionBy("metric_name").orderBy("__first"))).where(F.col("__n") <= most)
+    return best.select(*samples.columns)
+
+
 #: Fixed value: the job whose target is the exporter of the metrics itself.
 EXPORTER = "synthetic-exporter"
 
