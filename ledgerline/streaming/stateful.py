@@ -1,9 +1,10 @@
 """Sessions and counters over a stream, with late rows reported.
 
-State is kept by key: open sessions, or the samples that the watermark has not passed and the last one before them. Spark's watermark moves event-time timers, and when it has
-passed a session or a sample that is final. A row that comes when the watermark has passed its time is late: it comes out as such and is in no other result,
-so results and late rows together are all rows. Spark itself drops late rows before a stateful operator by the mark that a watermark leaves on its column,
-so the operator gets the time as another column.
+Keys share groups by their hash, and a group's rows are kept in blocks of Arrow data: open sessions, or the samples that the watermark has not passed, by their time, and the last one of each key
+before them. So a batch costs a few calls to the state for a group, not some for each row, and a task holds a piece of the rows that come and some hours of those that become final.
+One event-time timer a group, which Spark's watermark moves, wakes it when the watermark has passed a session or a sample: that is final. A row that comes when the
+watermark has passed its time is late: it comes out as such and is in no other result, so results and late rows together are all rows. Spark itself drops late rows before a
+stateful operator by the mark that a watermark leaves on its column, so the operator gets the time as another column.
 """
 
 from __future__ import annotations
@@ -11,21 +12,49 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 SESSION = "kind string, key string, first long, last long, events long, at long, id long"
 SAMPLE = "kind string, key string, at long, id long, value double, increase double"
+#: Groups that keys are dealt to: part of a stream's state, so not to be changed under a checkpoint.
+GROUPS = 64
+#: Rows that a task gathers before it puts them into the state or makes them final, and microseconds of samples that share a block.
+HELD, SLOT = 250_000, 6 * 3_600_000_000
 
 
-def _frame(schema: str, kind: str, key: str, **columns: Any) -> pd.DataFrame:
+def _packed(frame: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(frame, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(block: Any) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(block)).read_pandas()
+
+
+def _frame(schema: str, kind: str, **columns: Any) -> pd.DataFrame:
     """Rows of one kind; columns that are not given are null."""
-    rows = len(next(iter(columns.values())))
+    rows = len(columns["key"])
     kinds = {"string": "object", "long": "Int64", "double": "Float64"}
-    given = {"kind": [kind] * rows, "key": [key] * rows, **columns}
-    return pd.DataFrame({n: pd.array(given.get(n, [None] * rows), dtype=kinds[t]) for n, t in (c.split() for c in schema.split(", "))})
+    given = {"kind": [kind] * rows, **columns}
+    return pd.DataFrame({n: given[n] if n in given else pd.array([None] * rows, dtype=kinds[t]) for n, t in (c.split() for c in schema.split(", "))})
+
+
+def _ids(frame: pd.DataFrame) -> pd.arrays.IntegerArray:
+    return pd.arrays.IntegerArray(frame["id"].to_numpy(np.int64), frame["no_id"].to_numpy(bool))
+
+
+def _keys(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each row's key, keys by number); null is a key."""
+    codes, keys = pd.factorize(rows["key"], use_na_sentinel=False)
+    return codes, np.array([None if pd.isna(k) else k for k in keys], object)
 
 
 class Finals(StatefulProcessor):
@@ -33,27 +62,54 @@ class Finals(StatefulProcessor):
 
     schema = ""
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.due = handle.getValueState("due", "at long")
+
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        frame = pd.concat(list(rows))
-        late = frame[frame["at"] < watermark]
-        if len(late):
-            yield _frame(self.schema, "late", key[0], **{c: late[c].tolist() for c in late.columns if c in ("at", "id", "value")})
-        self.keep(frame[frame["at"] >= watermark])
+        held: list[pd.DataFrame] = []
+        for frame in rows:
+            late = frame["at"] < watermark
+            if late.any():
+                yield self.late(frame[late])
+            held.append(frame[~late])
+            if sum(map(len, held)) >= HELD:
+                self.keep(pd.concat(held))
+                held = []
+        if sum(map(len, held)):
+            self.keep(pd.concat(held))
+
+    def late(self, rows: pd.DataFrame) -> pd.DataFrame:
+        given = {"key": rows["key"].to_numpy(), "at": rows["at"].to_numpy(), "id": _ids(rows)}
+        return _frame(self.schema, "late", **given, **({"value": rows["value"].to_numpy()} if "value" in rows else {}))
 
     def keep(self, rows: pd.DataFrame) -> None:
         raise NotImplementedError
 
     def wake(self, after: int) -> None:
-        """A timer for when the watermark has passed a time."""
-        self.handle.registerTimer(after // 1000 + 1)
+        """A timer for when the watermark has passed a time; a group has one, the earliest that was asked for."""
+        at, due = int(after) // 1000 + 1, self.due.get()
+        if due is None or at < due[0]:
+            if due is not None:
+                self.handle.deleteTimer(due[0])
+            self.handle.registerTimer(at)
+            self.due.update((at,))
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        self.due.clear()
+        yield from self.finals(timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def finals(self, watermark: int) -> Iterator[pd.DataFrame]:
+        """What the watermark has passed, taken out of the state."""
+        raise NotImplementedError
 
     def close(self) -> None:
         pass
 
 
 class Sessions(Finals):
-    """(key, at, id) to the sessions of a key: runs of rows with less than ``gap`` between neighbours."""
+    """(key, at, id) to the sessions of each key: runs of rows with less than ``gap`` between neighbours."""
 
     schema = SESSION
 
@@ -61,73 +117,120 @@ class Sessions(Finals):
         self.gap = gap
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getMapState("open", "first long", "last long, events long")
+        super().init(handle)
+        self.open = handle.getListState("open", "data binary")
+
+    def joined(self, parts: pd.DataFrame) -> pd.DataFrame:
+        """(key, first, last, events) of parts of sessions, with those that belong together as one."""
+        codes, keys = _keys(parts)
+        order = np.lexsort((parts["first"].to_numpy(), codes))
+        codes, (first, last, events) = codes[order], (parts[c].to_numpy()[order] for c in ("first", "last", "events"))
+        upto = pd.Series(last).groupby(codes).cummax().to_numpy()
+        fresh = np.ones(len(codes), bool)
+        fresh[1:] = (codes[1:] != codes[:-1]) | (first[1:] >= upto[:-1] + self.gap)
+        starts = np.flatnonzero(fresh)
+        ends = np.append(starts[1:], len(codes)) - 1
+        return pd.DataFrame({"key": keys[codes[starts]], "first": first[starts], "last": upto[ends], "events": np.add.reduceat(events, starts)})
 
     def keep(self, rows: pd.DataFrame) -> None:
-        before = {first[0]: tuple(rest) for first, rest in self.open.iterator()}
-        now = dict(before)
-        for t in sorted(rows["at"].tolist()):
-            first, last, events = t, t, 1
-            for f, (e, n) in list(now.items()):
-                if t < e + self.gap and f < t + self.gap:
-                    first, last, events = min(first, f), max(last, e), events + n
-                    del now[f]
-            now[first] = (last, events)
-        for first in before.keys() - now.keys():
-            self.open.removeKey((first,))
-        for first, rest in now.items():
-            if before.get(first) != rest:
-                self.open.updateValue((first,), rest)
-                self.wake(rest[0] + self.gap)
+        parts = self.joined(pd.DataFrame({"key": rows["key"].to_numpy(), "first": rows["at"].to_numpy(), "last": rows["at"].to_numpy(), "events": np.ones(len(rows), np.int64)}))
+        self.open.appendValue((_packed(parts),))
+        self.wake(parts["last"].min() + self.gap)
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        done = sorted((first[0], *rest) for first, rest in self.open.iterator() if rest[0] + self.gap <= watermark)
-        for first, *_ in done:
-            self.open.removeKey((first,))
-        if done:
-            first, last, events = map(list, zip(*done))
-            yield _frame(SESSION, "session", key[0], first=first, last=last, events=events)
+    def finals(self, watermark: int) -> Iterator[pd.DataFrame]:
+        blocks = [_unpacked(data) for (data,) in self.open.get()]
+        if not blocks:
+            return
+        found = self.joined(pd.concat(blocks))
+        done = found["last"] + self.gap <= watermark
+        self.open.clear()
+        if not done.all():
+            self.open.appendValue((_packed(found[~done]),))
+            self.wake(found["last"][~done].min() + self.gap)
+        if done.any():
+            yield _frame(SESSION, "session", **{c: found[c][done].to_numpy() for c in found.columns})
 
 
 class Increases(Finals):
-    """(key, at, id, value) to what a counter gained since the sample before; after a reset the value itself."""
+    """(key, at, id, value) to what each counter gained since the sample before; after a reset the value itself."""
 
     schema = SAMPLE
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getMapState("waiting", "at long, id long", "value double")
-        self.last = handle.getValueState("last", "value double")
+        super().init(handle)
+        self.waiting = handle.getMapState("waiting", "slot long, part long", "data binary")
+        self.parts = handle.getValueState("parts", "next long")
+        self.last = handle.getValueState("last", "data binary")
+
+    def put(self, rows: pd.DataFrame) -> None:
+        """Rows into the blocks of their slots, which are numbered as they come."""
+        slots = rows["at"].to_numpy() // SLOT
+        order = np.argsort(slots, kind="stable")
+        rows, slots = rows.iloc[order], slots[order]
+        part = self.parts.get()[0] if self.parts.exists() else 0
+        for start, end in zip(starts := np.flatnonzero(np.append(True, slots[1:] != slots[:-1])), np.append(starts[1:], len(slots))):
+            self.waiting.updateValue((int(slots[start]), part), (_packed(rows.iloc[start:end]),))
+        self.parts.update((part + 1,))
 
     def keep(self, rows: pd.DataFrame) -> None:
-        for at, id, value in zip(rows["at"].tolist(), rows["id"].tolist(), rows["value"].tolist()):
-            self.waiting.updateValue((at, id), (value,))
-        for at in set(rows["at"].tolist()):
-            self.wake(at)
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        done = sorted((*k, v[0]) for k, v in self.waiting.iterator() if k[0] < watermark)
-        if not done:
-            return
-        before, grown = self.last.get()[0] if self.last.exists() else None, []
-        for at, id, value in done:
-            self.waiting.removeKey((at, id))
-            grown.append(None if before is None else value - before if value >= before else value)
-            before = value
-        self.last.update((before,))
-        ats, ids, values = map(list, zip(*done))
-        yield _frame(SAMPLE, "sample", key[0], at=ats, id=ids, value=values, increase=grown)
-
-
-def _final(stream: DataFrame, key: str, time: str, late: str, columns: dict[str, str], processor: Finals) -> DataFrame:
+        self.put(rows[["key", "at", "id", "no_id", "value"]])
+        self.wake(rows["at"].min())
+
+    def finals(self, watermark: int) -> Iterator[pd.DataFrame]:
+        places = sorted(self.waiting.keys())
+        later = [slot * SLOT for slot, _ in places if slot * SLOT >= watermark]
+        before: dict = {}
+        if self.last.exists():
+            last = _unpacked(self.last.get()[0])
+            before = dict(zip(last["key"].to_numpy(object, na_value=None), last["value"].tolist()))
+        blocks: list[pd.DataFrame] = []
+        passed = [place for place in places if place[0] * SLOT < watermark]
+        for place, after in zip(passed, [*passed[1:], None]):
+            blocks.append(_unpacked(self.waiting.getValue(place)[0]))
+            self.waiting.removeKey(place)
+            if after and (after[0] == place[0] or sum(map(len, blocks)) < HELD):  # a slot is never parted
+                continue
+            rows, blocks = pd.concat(blocks), []
+            done = rows["at"] < watermark
+            if not done.all():
+                self.put(rows[~done])
+                later.append(rows["at"][~done].min())
+            if done.any():
+                yield self.grown(rows[done], before)
+        if before:
+            self.last.update((_packed(pd.DataFrame({"key": pd.Series(list(before), dtype=object), "value": list(before.values())})),))
+        if later:
+            self.wake(min(later))
+
+    def grown(self, rows: pd.DataFrame, before: dict) -> pd.DataFrame:
+        """Samples in the order of key, time and id with what they gained; ``before`` has the last value of each key and is brought up to date."""
+        rows = rows.drop_duplicates(["key", "at", "id", "no_id"], keep="last")
+        codes, names = _keys(rows)
+        order = np.lexsort((rows["id"].to_numpy(), rows["no_id"].to_numpy(), rows["at"].to_numpy(), codes))
+        rows, codes = rows.iloc[order], codes[order]
+        values = rows["value"].to_numpy(np.float64)
+        starts = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+        previous, unknown = np.append(0.0, values[:-1]), np.zeros(len(rows), bool)
+        for start in starts:
+            name = names[codes[start]]
+            unknown[start] = name not in before
+            previous[start] = before.get(name, 0.0)
+        for end in np.append(starts[1:], len(rows)) - 1:
+            before[names[codes[end]]] = float(values[end])
+        gained = np.where(values >= previous, values - previous, values)
+        return _frame(SAMPLE, "sample", key=names[codes], at=rows["at"].to_numpy(), id=_ids(rows), value=values, increase=pd.arrays.FloatingArray(gained, unknown))
+
+
+def _final(stream: DataFrame, key: str, time: str, late: str, id: str, columns: dict[str, str], processor: Finals) -> DataFrame:
     spark = stream.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    named = stream.where(F.col(time).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(time).cast("timestamp").alias("__time"), *(F.col(c).cast(t).alias(n) for n, (c, t) in columns.items()))
+    number = F.col(id).cast("bigint")
+    named = stream.where(F.col(time).isNotNull()).select(
+        F.col(key).cast("string").alias("key"), F.col(time).cast("timestamp").alias("__time"), F.coalesce(number, F.lit(0)).alias("id"), number.isNull().alias("no_id"), *(F.col(c).cast(t).alias(c) for c, t in columns.items())
+    )
     unmarked = named.withWatermark("__time", late).withColumn("at", F.unix_micros("__time")).drop("__time")
-    return unmarked.groupBy("key").transformWithStateInPandas(processor, processor.schema, "Append", "EventTime")
+    dealt = unmarked.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(GROUPS)))
+    return dealt.groupBy("group").transformWithStateInPandas(processor, processor.schema, "Append", "EventTime")
 
 
 def stream_sessions(stream: DataFrame, key: str, time: str, id: str, gap_seconds: int = 1800, late: str = "10 minutes") -> DataFrame:
@@ -135,7 +238,7 @@ def stream_sessions(stream: DataFrame, key: str, time: str, id: str, gap_seconds
 
     ``kind`` is session, with start, end and number, or late, with the row's time and id. Null keys are one key, rows without a time are left out.
     """
-    found = _final(stream, key, time, late, {"id": (id, "bigint")}, Sessions(gap_seconds * 1_000_000))
+    found = _final(stream, key, time, late, id, {}, Sessions(gap_seconds * 1_000_000))
     return found.select("kind", "key", F.timestamp_micros("first").alias("session_start"), F.timestamp_micros("last").alias("last_event"), "events", F.timestamp_micros("at").alias("at"), "id")
 
 
@@ -144,6 +247,6 @@ def stream_increases(stream: DataFrame, key: str, time: str, id: str, value: str
 
     Samples of one key, time and id are one sample; those without a time or a value are left out.
     """
-    known = stream.where(F.col(value).isNotNull())
-    found = _final(known, key, time, late, {"id": (id, "bigint"), "value": (value, "double")}, Increases())
+    known = stream.where(F.col(value).isNotNull()).select(F.col(key).alias("key"), F.col(time).alias("time"), F.col(id).alias("id"), F.col(value).alias("value"))
+    found = _final(known, "key", "time", late, "id", {"value": "double"}, Increases())
     return found.withColumn("at", F.timestamp_micros("at"))
