@@ -5,6 +5,8 @@ before them. So a batch costs a few calls to the state for a group, not some for
 One event-time timer a group, which Spark's watermark moves, wakes it when the watermark has passed a session or a sample: that is final. A row that comes when the
 watermark has passed its time is late: it comes out as such and is in no other result, so results and late rows together are all rows. Spark itself drops late rows before a
 stateful operator by the mark that a watermark leaves on its column, so the operator gets the time as another column.
+
+Each partition of a state has a store that every batch loads and commits, rows or none, so ``started`` gives a stream no more of them than there are groups.
 """
 
 from __future__ import annotations
@@ -15,9 +17,9 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 SESSION = "kind string, key string, first long, last long, events long, at long, id long"
 SAMPLE = "kind string, key string, at long, id long, value double, increase double"
@@ -233,6 +235,17 @@ def _final(stream: DataFrame, key: str, time: str, late: str, id: str, columns:
     return dealt.groupBy("group").transformWithStateInPandas(processor, processor.schema, "Append", "EventTime")
 
 
+def started(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
+    """Starts a stream of sessions or increases with at most as many partitions as there are groups; one that goes on from a checkpoint keeps those it has there."""
+    name = "spark.sql.shuffle.partitions"
+    given = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(given), GROUPS)))  # a stream takes the settings that hold when it starts
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(name, given)
+
+
 def stream_sessions(stream: DataFrame, key: str, time: str, id: str, gap_seconds: int = 1800, late: str = "10 minutes") -> DataFrame:
     """(kind, key, session_start, last_event, events, at, id) as a stream: sessions that are final, and late rows.
 
